@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import enrich, staging
 from tidemark.operators.dedup import latest_change_per_key
-from tidemark.schemas import FACT_COLUMNS
+from tidemark.schemas import STAGING_MODEL_COLUMNS
 from tidemark.sources.change_events import change_log
 from tidemark.sources.tables import sales_rows
 from tidemark.streaming.envelope import parse_envelopes
@@ -57,12 +57,8 @@ def changes(spark: SparkSession, sf: str) -> DataFrame:
     """One change per key from all versions since the cut: valid live rows and deletes."""
     rows = after_cut(spark, sf)
     live = enrich.passed(checked(rows)).drop("is_amount_valid", "validation_failure_reason")
-    both = staging.union_live_and_markers(live, staging.split_deleted(rows).select(*live_columns(live, rows)))
-    return latest_change_per_key(both)
-
-
-def live_columns(live: DataFrame, rows: DataFrame) -> list[str]:
-    return [name for name in live.columns if name in rows.columns]
+    deleted = staging.split_deleted(rows).select(*STAGING_MODEL_COLUMNS)
+    return latest_change_per_key(staging.union_live_and_markers(live, deleted))
 
 
 def raw_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -72,5 +68,3 @@ def raw_events(spark: SparkSession, sf: str) -> DataFrame:
 def staged_events(spark: SparkSession, sf: str) -> DataFrame:
     return parse_envelopes(raw_events(spark, sf), EVENTS_AS_OF)
 
-
-FACT_DATA = [name for name in FACT_COLUMNS]

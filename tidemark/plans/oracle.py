@@ -106,7 +106,6 @@ def chain(prefix: str, where: str, stamp: str) -> dict[str, str]:
     }
 
 
-_NULLED = ["net_amount", "gross_profit"]
 CHANGES = f"""changes AS (
   SELECT {DATA_LIST}, is_deleted FROM (
     SELECT *, row_number() OVER (PARTITION BY sale_id

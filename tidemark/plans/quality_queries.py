@@ -11,8 +11,10 @@ from tidemark.operators import aggregates, gate, merge, quality, staging
 from tidemark.plans import inputs
 from tidemark.plans.oracle import AS_OF, CUT, quotient, sql
 from tidemark.plans.registry import query
+from tidemark.plans.row_queries import DAY
 from tidemark.schemas import CRITICAL_COLUMNS
-from tidemark.sources.tables import table
+from tidemark.sources.extract import consolidate, extract_window
+from tidemark.sources.tables import REGIONS, table
 
 
 def _live(spark: SparkSession, sf: str) -> DataFrame:
@@ -137,13 +139,7 @@ FROM region LEFT JOIN (SELECT region, count(*) AS n FROM sales WHERE status = 'c
     )
 )
 def extraction_counts(spark: SparkSession, sf: str) -> DataFrame:
-    from tidemark.plans.row_queries import DAY
-    from tidemark.sources.extract import extract_window
-    from tidemark.sources.tables import REGIONS
-
     rows = inputs.sales(spark, sf)
-    from tidemark.sources.extract import consolidate
-
     parts = {r.lower(): extract_window(rows.filter(F.col("region") == r), DAY) for r in REGIONS}
     regions = table(spark, sf, "region").select(F.lower("r_name").alias("name"))
     return gate.extraction_counts(consolidate(parts, "19980602"), regions)
@@ -200,8 +196,6 @@ def test_not_null(spark: SparkSession, sf: str) -> DataFrame:
     )
 )
 def test_accepted(spark: SparkSession, sf: str) -> DataFrame:
-    from tidemark.sources.tables import REGIONS
-
     tests = [
         quality.accepted_values("payment_method", ["credit", "cash", "debit"]),
         quality.accepted_values("region", REGIONS),
@@ -252,8 +246,8 @@ def test_generic(spark: SparkSession, sf: str) -> DataFrame:
     return quality.row_test_results(inputs.staged_events(spark, sf), tests)
 
 
-# The dimension as built before the cut: stores seen only since then are orphans.
-_OLD_STORES = "(SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1995-06-01')"
+# Customers known from early orders only, so that later ones lack a parent.
+_EARLY_CUSTOMERS = "(SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1995-06-01')"
 
 
 @query(
@@ -264,7 +258,7 @@ _OLD_STORES = "(SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate < TIMEST
             "customer_id",
             "warn",
             "count(*)",
-            f"sales WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT CAST(o_custkey AS VARCHAR) FROM {_OLD_STORES} o)",
+            f"sales WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT CAST(o_custkey AS VARCHAR) FROM {_EARLY_CUSTOMERS} o)",
         ),
     )
 )
@@ -278,12 +272,12 @@ def test_relationships(spark: SparkSession, sf: str) -> DataFrame:
     sql(
         "sales",
         "SELECT store_id, count(*) AS orphan_count FROM sales WHERE store_id NOT IN "
-        "(SELECT CAST(l_suppkey AS VARCHAR) FROM lineitem WHERE l_shipdate < TIMESTAMP '1995-02-15') GROUP BY store_id",
+        "(SELECT CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_acctbal > 1000) GROUP BY store_id",
     )
 )
 def orphan_stores(spark: SparkSession, sf: str) -> DataFrame:
-    early = table(spark, sf, "lineitem").filter(F.col("l_shipdate") < F.lit("1995-02-15").cast("timestamp_ntz"))
-    stores = early.select(F.col("l_suppkey").cast("string").alias("store_id"))
+    solvent = table(spark, sf, "supplier").filter(F.col("s_acctbal") > 1000)
+    stores = solvent.select(F.col("s_suppkey").cast("string").alias("store_id"))
     return quality.orphan_keys(inputs.sales(spark, sf), stores, "store_id")
 
 

@@ -53,7 +53,7 @@ def batch_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    "SELECT event_id, user_id, TIMESTAMP '1970-01-01' + to_milliseconds(epoch_ms(ts)) AS source_ts, "
+    "SELECT event_id, user_id, date_trunc('milliseconds', ts) AS source_ts, "
     "CAST(value AS DECIMAL(10,2)) AS amount FROM events"
 )
 def wire_decoding(spark: SparkSession, sf: str) -> DataFrame:

@@ -12,6 +12,7 @@ from tidemark.plans.registry import query
 from tidemark.schemas import FACT_COLUMNS, STAGE_COLUMNS, schema_of
 from tidemark.session import fresh_path
 from tidemark.sinks import fact_table
+from tidemark.sources.change_events import LATE_OFFSET, change_log
 from tidemark.streaming import monitor, pipeline, windows
 
 _FACT_LIST = ", ".join(c for c in FACT_COLUMNS if not c.startswith("_row"))
@@ -145,8 +146,6 @@ def stream_daily_window(spark: SparkSession, sf: str) -> DataFrame:
 )
 def stream_lag(spark: SparkSession, sf: str) -> DataFrame:
     landed = inputs.raw_events(spark, sf).select("_kafka_partition", "_kafka_offset")
-    from tidemark.sources.change_events import change_log
-
     merged = change_log(spark, sf, noise=False).select("_kafka_partition", "_kafka_offset")
     return monitor.stream_lag(landed, merged)
 
@@ -158,8 +157,6 @@ def stream_lag(spark: SparkSession, sf: str) -> DataFrame:
     )
 )
 def landing_freshness(spark: SparkSession, sf: str) -> DataFrame:
-    from tidemark.sources.change_events import LATE_OFFSET
-
     late = inputs.raw_events(spark, sf).filter(
         (F.col("_kafka_offset") >= LATE_OFFSET) & (F.col("_kafka_offset") < 2 * LATE_OFFSET)
     )
