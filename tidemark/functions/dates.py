@@ -47,10 +47,7 @@ def date_spine(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
 
 def from_epoch_millis(millis: Column) -> Column:
     """Milliseconds since 1970 as a zone-free timestamp, whatever the session zone."""
-    seconds = (millis.cast("decimal(20,0)") / F.lit(1000)).cast("decimal(18,6)")
-    return F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), seconds
-    )
+    return F.timestamp_add("MILLISECOND", millis, F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz"))
 
 
 def epoch_millis(ts: Column) -> Column:
@@ -62,4 +59,5 @@ def epoch_millis(ts: Column) -> Column:
 
 def wire_timestamp(text: Column) -> Column:
     """A timestamp sent either as epoch milliseconds or as ISO text; NULL if neither."""
-    return F.coalesce(from_epoch_millis(text.try_cast("bigint")), text.try_cast("timestamp_ntz"))
+    is_number = text.rlike(r"^-?\d{1,18}$")
+    return F.when(is_number, from_epoch_millis(text.cast("bigint"))).otherwise(text.try_cast("timestamp_ntz"))

@@ -16,13 +16,14 @@ def cents_to_dollars(cents: Column | str, precision: int = 2) -> Column:
 
 
 def exact_avg(value: Column | str, result: str = "decimal(10,2)") -> Column:
-    """Average of a numeric column, rounded once.
+    """Average of an integer or two-place decimal column, rounded once.
 
     The built-in decimal average first rounds to four more places, so casting
-    it again can round twice; the quotient of the sums keeps full precision.
+    it again can round twice; the quotient of sum and count keeps full
+    precision, and shares the sum with other aggregates of the same column.
     """
-    amount = _col(value).cast("decimal(18,2)")
-    return (F.sum(amount) / F.nullif(F.count(amount), F.lit(0))).cast(result)
+    value = _col(value)
+    return (F.sum(value).cast("decimal(20,2)") / F.nullif(F.count(value), F.lit(0))).cast(result)
 
 
 def percent_change(current: Column, previous: Column) -> Column:

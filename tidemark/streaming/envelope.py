@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import from_epoch_millis, region_label, wire_timestamp
+from tidemark.operators.enrich import derive_date_parts
 from tidemark.schemas import COMPLETED, STAGE_COLUMNS, conform
 
 # Only these fields are parsed out of a record; others are skipped. Money
@@ -23,9 +24,14 @@ METADATA = ["_kafka_topic", "_kafka_partition", "_kafka_offset", "_kafka_timesta
 
 
 def open_envelopes(raw: DataFrame, content: str = "record_content") -> DataFrame:
-    """Drop empty records (tombstones) and parse the others once, into ``e``."""
+    """Drop empty records (tombstones) and parse the others once, into ``e``.
+
+    Exploding the one-element array holds the parsed record as a column of its
+    own; as a plain expression it would be parsed again for every condition
+    and field that refers to it.
+    """
     parsed = F.from_json(F.col(content), ENVELOPE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    return raw.filter(F.col(content).isNotNull()).withColumn("e", parsed)
+    return raw.filter(F.col(content).isNotNull()).select("*", F.explode(F.array(parsed)).alias("e"))
 
 
 def rejection_reason() -> Column:
@@ -86,39 +92,33 @@ def parse_envelopes(
     if completed_only:
         opened = completed_or_deleted(opened)
     zero = F.lit(0).cast("decimal(10,2)")
-    total = F.coalesce(_money("total_amount"), zero)
-    discount = F.coalesce(_money("discount_amount"), zero)
-    tax = F.coalesce(_money("tax_amount"), zero)
-    sale_date = wire_timestamp(F.col("e.after.sale_date"))
-    now = F.lit(as_of).cast("timestamp_ntz")
-    rows = opened.select(
+    fields = opened.select(
         after_or_before("sale_id").alias("sale_id"),
-        F.col("e.after.customer_id").alias("customer_id"),
-        F.col("e.after.product_id").alias("product_id"),
-        sale_date.alias("sale_date"),
-        F.col("e.after.quantity").alias("quantity"),
+        *[F.col(f"e.after.{name}") for name in ("customer_id", "product_id", "store_id", "payment_method", "quantity")],
         _money("unit_price").alias("unit_price"),
         _money("total_amount").alias("total_amount"),
+        F.coalesce(_money("discount_amount"), zero).alias("discount_amount"),
+        F.coalesce(_money("tax_amount"), zero).alias("tax_amount"),
         region_label(region_code(), labels).alias("region"),
-        F.col("e.after.store_id").alias("store_id"),
-        F.col("e.after.payment_method").alias("payment_method"),
-        discount.alias("discount_amount"),
-        tax.alias("tax_amount"),
-        (total - discount).alias("net_amount"),
-        (total - discount - tax).alias("gross_profit"),
-        F.year(sale_date).alias("sale_year"),
-        F.month(sale_date).alias("sale_month"),
-        F.dayofmonth(sale_date).alias("sale_day"),
+        wire_timestamp(F.col("e.after.sale_date")).alias("sale_date"),
         wire_timestamp(F.col("e.after.created_at")).alias("created_at"),
         wire_timestamp(after_or_before("updated_at")).alias("updated_at"),
         delete_flag().alias("is_deleted"),
-        now.alias("etl_loaded_at"),
-        F.date_format(now, "yyyyMMdd").alias("etl_batch_id"),
         F.col("e.op").alias("_cdc_operation"),
         from_epoch_millis(F.col("e.ts_ms")).alias("_cdc_source_ts"),
-        F.col("_kafka_offset"),
+        "_kafka_offset",
+    )
+    net = F.coalesce("total_amount", zero) - F.col("discount_amount")
+    now = F.lit(as_of).cast("timestamp_ntz")
+    derived = derive_date_parts(fields).withColumns(
+        {
+            "net_amount": net,
+            "gross_profit": net - F.col("tax_amount"),
+            "etl_loaded_at": now,
+            "etl_batch_id": F.date_format(now, "yyyyMMdd"),
+        }
     )
-    return conform(rows, STAGE_COLUMNS)
+    return conform(derived, STAGE_COLUMNS)
 
 
 def route_topic(raw: DataFrame, pattern: str, topic: str) -> DataFrame:
