@@ -122,10 +122,13 @@ def transform_metrics(extract: DataFrame, transformed: DataFrame, batch_id: str)
         F.count(F.lit(1)).alias("total_extracted"),
         (F.count_if(live) - F.count_distinct(F.when(live, F.col("sale_id")))).alias("duplicates_removed"),
         F.count_if("is_deleted").alias("delete_markers"),
-    ).withColumn("etl_batch_id", F.lit(batch_id))
-    after = transformed.agg(F.count_if(live).alias("transformed_records")).withColumn("etl_batch_id", F.lit(batch_id))
-    return before.join(after, on="etl_batch_id").withColumn(
-        "status", F.when(F.col("total_extracted") == 0, "no_data").otherwise("success")
+    )
+    loaded = transformed.agg(F.count_if(live).alias("transformed_records")).scalar()
+    return before.select(
+        F.lit(batch_id).alias("etl_batch_id"),
+        "*",
+        loaded.alias("transformed_records"),
+        F.when(F.col("total_extracted") == 0, "no_data").otherwise("success").alias("status"),
     )
 
 

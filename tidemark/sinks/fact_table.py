@@ -4,7 +4,8 @@ A merge rewrites only partitions it touches:
 
 1. locate: which months hold a changed key now, and which will after the merge
 2. merge those months with the changes, into a run folder on shared storage
-3. publish the run folder over the table with dynamic partition overwrite
+3. publish the run folder over the table with dynamic partition overwrite, and
+   drop touched months that have no rows left
 
 The run folder is named by the run and complete before anything in the table
 moves. A run that died during step 3 is finished by calling it again: the
@@ -82,7 +83,7 @@ def touched_months(target: DataFrame, changes: DataFrame, keys: Sequence[str] =
     Scans the key column of the table only.
     """
     now = target.select(*keys, *PARTITION_BY).join(changes.select(*keys), on=list(keys), how="left_semi")
-    return now.select(_month().alias("month")).unionByName(changes.select(_month().alias("month"))).distinct()
+    return now.select(*PARTITION_BY).unionByName(changes.select(*PARTITION_BY)).distinct()
 
 
 def merge_into_fact(
@@ -105,7 +106,8 @@ def merge_into_fact(
     if not exists(spark, f"{run_path}/_SUCCESS"):
         _stage_merge(spark, path, schema, changes, as_of, run_path, newest_only, keys)
     staged = spark.read.schema(schema.add(ACTION, "string")).parquet(run_path)
-    _publish(spark, path, staged, columns, newest_only)
+    months = spark.read.schema(schema_of(PARTITION_BY)).parquet(f"{run_path}-months")
+    _publish(spark, path, staged, months, columns, newest_only)
     return merge_tally(staged)
 
 
@@ -122,13 +124,16 @@ def _stage_merge(
     changes = written(changes, "changes")
     if exists(spark, path):
         target = spark.read.schema(schema).parquet(path)
+        touched_months(target, changes, keys).write.mode("overwrite").parquet(f"{run_path}-months")
         # One number per month of the table: bounded by the table's partition
         # list, which the driver holds for any scan, not by its rows.
-        months = [row.month for row in touched_months(target, changes, keys).limit(MAX_NAMED_PARTITIONS + 1).collect()]
+        stored = spark.read.schema(schema_of(PARTITION_BY)).parquet(f"{run_path}-months")
+        months = [row.month for row in stored.select(_month().alias("month")).limit(MAX_NAMED_PARTITIONS + 1).collect()]
         if len(months) <= MAX_NAMED_PARTITIONS:
             target = target.filter(_month().isin(months))
     else:
         target = spark.createDataFrame([], schema)
+        touched_months(target, changes, keys).write.mode("overwrite").parquet(f"{run_path}-months")
     merge = merge_newest if newest_only else merge_changes
     actions = merge(target, changes, as_of, keys=keys)
     (
@@ -140,11 +145,12 @@ def _stage_merge(
     )
 
 
-def _publish(spark: SparkSession, path: str, staged: DataFrame, columns: Sequence[str], newest_only: bool) -> None:
-    gone = F.lit(False) if newest_only else F.col(ACTION).isin("delete", "skip")
+def _publish(
+    spark: SparkSession, path: str, staged: DataFrame, months: DataFrame, columns: Sequence[str], newest_only: bool
+) -> None:
+    remaining = staged if newest_only else staged.filter(~F.col(ACTION).isin("delete", "skip"))
     (
-        staged.filter(~gone)
-        .select(*columns)
+        remaining.select(*columns)
         .hint("rebalance", *PARTITION_BY)
         .sortWithinPartitions(*PARTITION_BY, *CLUSTER_BY)
         .write.mode("overwrite")
@@ -152,9 +158,11 @@ def _publish(spark: SparkSession, path: str, staged: DataFrame, columns: Sequenc
         .partitionBy(*PARTITION_BY)
         .parquet(path)
     )
-    # Dynamic overwrite leaves a partition alone that has no new rows; those
-    # that lost their last row have to go. Again one row per month at most.
-    emptied = staged.groupBy(*PARTITION_BY).agg(F.bool_and(gone).alias("empty")).filter("empty")
+    # Dynamic overwrite leaves a partition alone that gets no rows; touched
+    # months whose last row was deleted or moved away have to go. Again one
+    # row per month at most.
+    filled = remaining.select(_month().alias("month")).distinct()
+    emptied = months.withColumn("month", _month()).join(filled, on="month", how="left_anti")
     for row in emptied.collect():
         names = ["__HIVE_DEFAULT_PARTITION__" if v is None else v for v in (row.sale_year, row.sale_month)]
         _drop_folder(spark, f"{path}/sale_year={names[0]}/sale_month={names[1]}")

@@ -135,13 +135,11 @@ def offset_range(batch: DataFrame) -> DataFrame:
 
 def audit_row(batch: DataFrame, tally: DataFrame, batch_id: int, as_of: dt.datetime) -> DataFrame:
     """One row about one merge: counts, offset range, status."""
-    numbered = offset_range(batch).withColumn("merge_id", F.lit(batch_id).cast("bigint"))
-    return numbered.join(tally.withColumn("merge_id", F.lit(batch_id).cast("bigint")), on="merge_id").select(
-        "merge_id",
+    done = {name: tally.select(name).scalar() for name in tally.columns}
+    return offset_range(batch).select(
+        F.lit(batch_id).cast("bigint").alias("merge_id"),
         F.lit(as_of).cast("timestamp_ntz").alias("merge_timestamp"),
-        "rows_inserted",
-        "rows_updated",
-        "rows_deleted",
+        *[count.alias(name) for name, count in done.items()],
         "events",
         "min_kafka_offset",
         "max_kafka_offset",
