@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import functions as fn
-from tidemark.operators import aggregates, dedup, enrich, gate, merge, quality, snapshot, staging
+from tidemark.operators import aggregates, dedup, enrich, gate, incremental, merge, quality, snapshot, staging
 from tidemark.schemas import EXTRACT_COLUMNS, FACT_COLUMNS, schema_of
 
 T = dt.datetime
@@ -127,6 +127,14 @@ def test_batch_window():
     assert window == (T(2024, 1, 15), T(2024, 1, 16), "20240116")
 
 
+def test_month_slices():
+    day = dt.date
+    assert incremental.month_slices(day(2023, 11, 1), day(2024, 3, 1), 3) == [
+        (day(2023, 11, 1), day(2024, 2, 1)),
+        (day(2024, 2, 1), day(2024, 3, 1)),
+    ]
+
+
 def test_split_leaves_out_null_flag(spark):
     df = spark.createDataFrame([(10, False), (20, False), (30, True), (40, False), (50, None)], "sale_id long, is_deleted boolean")
     assert staging.split_live(df).count() == 3

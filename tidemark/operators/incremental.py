@@ -79,10 +79,14 @@ def incremental_daily_touched(
     return kept.unionByName(daily_sales(in_touched.drop("_day"), as_of))
 
 
-def time_slices(start: dt.datetime, end: dt.datetime, step: dt.timedelta) -> Sequence[tuple[dt.datetime, dt.datetime]]:
-    """Half-open slices covering ``[start, end)`` for slice-wise rebuilds."""
-    slices = []
-    while start < end:
-        slices.append((start, min(start + step, end)))
-        start += step
-    return slices
+def month_slices(start: dt.date, end: dt.date, months: int) -> list[tuple[dt.date, dt.date]]:
+    """Half-open slices of whole months covering ``[start, end)`` for slice-wise rebuilds.
+
+    Edges fall on month starts, so slices never share a month partition.
+    """
+    if start.day != 1 or end.day != 1:
+        raise ValueError("slices start and end on the first day of a month")
+    first, last = start.year * 12 + start.month - 1, end.year * 12 + end.month - 1
+    edges = [*range(first, last, months), last]
+    days = [dt.date(edge // 12, edge % 12 + 1, 1) for edge in edges]
+    return list(zip(days, days[1:]))

@@ -254,13 +254,11 @@ def insert_overwrite(spark: SparkSession, sf: str) -> DataFrame:
 def microbatch_rebuild(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_path(spark, "fact")
     fact = written(inputs.fact(spark, sf), "fact")
-    for start, end in incremental.time_slices(dt.datetime(1995, 1, 1), dt.datetime(2002, 1, 1), dt.timedelta(days=365 * 3)):
+    for start, end in incremental.month_slices(dt.date(1995, 1, 1), dt.date(2002, 1, 1), 36):
         low, high = (F.lit(edge).cast("timestamp_ntz") for edge in (start, end))
-        day = F.col("sale_date")
-        partitions.replace_slices(
-            fact.filter((day >= low) & (day < high)).withColumn("day", F.to_date(day)), path, ["day"]
-        )
-    return spark.read.parquet(path).select(*FACT_COLUMNS)
+        part = fact.filter((F.col("sale_date") >= low) & (F.col("sale_date") < high))
+        partitions.replace_slices(part, path, fact_table.PARTITION_BY)
+    return fact_table.read_fact(spark, path)
 
 
 @query(sql("fact", f"SELECT {_FACT_LIST} FROM fact WHERE sale_year = 1998 AND sale_month = 6 AND region = 'ASIA'"))
