@@ -12,7 +12,7 @@ from tidemark.operators.merge import cdc_merge
 from tidemark.plans import inputs
 from tidemark.plans.oracle import AS_OF, average, cents, money, quotient, sql
 from tidemark.plans.registry import query
-from tidemark.sources.tables import REGIONS, events, table
+from tidemark.sources.tables import REGIONS, events
 
 _DAYS = (dt.date(2001, 1, 1), dt.date(2001, 8, 1))
 

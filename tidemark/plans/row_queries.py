@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import functions as fn
 from tidemark.operators import dedup, enrich, gate, staging
 from tidemark.plans import inputs
-from tidemark.plans.oracle import CONTENT, DATA_LIST, STAGED_LIST, sql
+from tidemark.plans.oracle import CONTENT, DATA_LIST, sql
 from tidemark.plans.registry import query
 from tidemark.schemas import SOURCE_COLUMNS
 from tidemark.sources import extract, files
