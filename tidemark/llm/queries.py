@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing, packing, sharding
+from tidemark.llm import exact_dedup, fingerprints, html_text, language_id, mixing, packing, secret_scan, sharding
 from tidemark.llm.common import written
 
 QUERIES = {}
@@ -87,3 +87,39 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "pieces",
     )
     return packing.packed(pieces, pieces.count()).drop("piece")
+
+
+@query()
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page from its text, declaration, address suffix and host."""
+    model = language_id.fit_text_model(table(spark, sf_dir, "documents"))
+    return language_id.page_languages(table(spark, sf_dir, "pages"), model).select(
+        "page_id", "host", "declared", "suffix", "language", "text_language", F.round("confidence", 6).alias("confidence")
+    )
+
+
+@query()
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visible text of every page."""
+    text = html_text.rendered(table(spark, sf_dir, "pages"))
+    return text.select("page_id", "text", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
+@query()
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and their edited texts."""
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate for a secret in all documents, with the forest's score and verdict."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "position",
+        F.sha2("secret", 256).alias("secret_sha256"),
+        F.col("label").cast("int").alias("rule_label"),
+        F.round("score", 6).alias("score"),
+        (F.col("score") >= 0.5).alias("is_secret"),
+    )
