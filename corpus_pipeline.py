@@ -1,10 +1,63 @@
-"""The corpus pipeline: language ID, exact and near duplicates, mixing, packing."""
+"""A corpus pipeline: language ID, exact and near duplicates, mixing to target weights, packing.
+
+Every stage but the last takes and returns a table with the columns of
+``documents``; its result is written and read again as the next one's input.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm import exact_dedup, language_id, mixing, near_dedup, packing
+from tidemark.llm.common import without_rows, written
+from tidemark.llm.queries import TOKENIZER
+
+
+def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that have text and whose language is one of the labelled ones."""
+    model = language_id.fit_text_model(docs)
+    found = written(language_id.document_languages(docs, model), "pipeline-languages")
+    return without_rows(docs, found, f"language = '{language_id.UNKNOWN}' or grams = 0")
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
+    return exact_dedup.kept_documents(docs)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of texts alike by five-word shingles."""
+    groups = near_dedup.near_groups(docs, words=5, num=80, den=100)
+    gone = written(groups.filter("component_id != doc_id").select(F.col("doc_id").alias("__gone")).distinct(), "pipeline-near")
+    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti").select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as the mix takes them: a row per document and pass."""
+    return mixing.mixed_documents(docs, mixing.mix(docs))
+
+
+def in_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents' tokens with their places in sequences."""
+    return packing.packed_documents(docs, TOKENIZER)
+
+
+STAGES = [
+    ("language_id", in_known_language),
+    ("exact_dedup", without_copies),
+    ("ngram_jaccard_join", without_near_copies),
+    ("mixing", mixed),
+    ("packing", in_sequences),
+]
+
+# Language ID is a fitted model and the mix follows pseudorandom draws.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

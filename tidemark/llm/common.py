@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import written
 
-__all__ = ["SPACE", "WORD", "count_words", "running_total", "salted_join", "spread", "without_space", "written"]
+__all__ = ["SPACE", "WORD", "count_words", "running_total", "salted_join", "single_rows", "spread", "without_rows", "without_space", "written"]
 
 # White space as the contracts have it, and a word.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -64,14 +64,23 @@ def spread(rows: int, each: int) -> int:
 
 
 def single_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """``docs`` with ``text_hash``, rows of one id and one text reduced to one of them.
+    """``docs`` with ``__hash`` (of the text), rows of one id and one text reduced to one of them.
 
     ``keys`` holds doc_id and text_hash of every row. Only ids that repeat are
     regrouped, so texts move only for them.
     """
-    doubles = written(keys.groupBy("doc_id", "text_hash").count().filter("count > 1").select("doc_id", "text_hash"), "doubles")
-    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
-    again = hashed["doc_id"].eqNullSafe(doubles["doc_id"]) & (hashed["text_hash"] == doubles["text_hash"])
+    many = keys.groupBy("doc_id", "text_hash").count().filter("count > 1")
+    doubles = written(many.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__again")), "doubles")
+    hashed = docs.withColumn("__hash", F.xxhash64("text"))
+    again = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__hash") == F.col("__again"))
     return hashed.join(doubles, again, "left_anti").unionByName(
-        hashed.join(doubles, again, "left_semi").dropDuplicates(["doc_id", "text_hash"])
+        hashed.join(doubles, again, "left_semi").dropDuplicates(["doc_id", "__hash"])
     )
+
+
+def without_rows(docs: DataFrame, keys: DataFrame, gone: str) -> DataFrame:
+    """``docs`` without the rows for which ``gone`` holds in ``keys`` (doc_id, text_hash), one row per id and text."""
+    out = keys.groupBy("doc_id", "text_hash").agg(F.min(F.expr(gone)).alias("__gone")).filter("__gone")
+    listed = written(out.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__out")), "gone")
+    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__hash") == F.col("__out"))
+    return single_rows(docs, keys).join(listed, same, "left_anti").select(*docs.columns)

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import single_rows, text_of, without_space, written
+from tidemark.llm.common import text_of, without_rows, without_space, written
 
 # Quotients in one range; a range's filters meet in one task.
 RANGE_BITS = 15
@@ -147,9 +147,4 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with its columns. Texts move only for rows that go or repeat."""
-    groups = written(exact_groups(docs), "exact-groups")
-    keys = ["doc_id", "text_hash"]
-    gone = written(groups.groupBy(*keys).agg(F.max("kept").alias("kept")).filter("not kept").select(*keys), "exact-gone")
-    rows = single_rows(docs, groups)
-    same = rows["doc_id"].eqNullSafe(gone["doc_id"]) & (rows["text_hash"] == gone["text_hash"])
-    return rows.join(gone, same, "left_anti").select(*docs.columns)
+    return without_rows(docs, written(exact_groups(docs), "exact-groups"), "not kept")

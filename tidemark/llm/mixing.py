@@ -200,15 +200,15 @@ def mixed_documents(docs: DataFrame, mixed: Mix) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("from_word", "words"))).alias("_parts"), F.sum("words").alias("_words"))
     )
     plan = takes.join(mixed.documents.filter("size > 0"), ["source_no", "start"]).select(
-        F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "_parts", "_words", F.col("size").alias("_size")
+        F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__plan"), F.col("_parts").alias("__parts"), F.col("_words").alias("__words"), F.col("size").alias("__size")
     )
     rows = single_rows(docs, mixed.documents)
-    joined = rows.join(plan, rows["doc_id"].eqNullSafe(plan["_doc"]) & (rows["text_hash"] == plan["_hash"]))
+    joined = rows.join(plan, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__hash") == F.col("__plan")))
     words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
     part = F.array_join(
-        F.flatten(F.transform("_parts", lambda p: F.slice(words, (p["from_word"] + 1).cast("int"), p["words"].cast("int")))), " "
+        F.flatten(F.transform("__parts", lambda p: F.slice(words, (p["from_word"] + 1).cast("int"), p["words"].cast("int")))), " "
     )
-    joined = joined.withColumn("text", F.when(F.col("_words") == F.col("_size"), F.col("text")).otherwise(part))
+    joined = joined.withColumn("text", F.when(F.col("__words") == F.col("__size"), F.col("text")).otherwise(part))
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return joined.select(*docs.columns)

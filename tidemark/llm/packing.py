@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import spread, text_of
+from tidemark.llm.common import spread, text_of, written
 
 CAPACITY = 4096
 END_TOKEN = 2
@@ -155,3 +155,14 @@ def packed(pieces: DataFrame, rows: int, capacity: int = CAPACITY, group_pieces:
         return group.drop(columns="group")
 
     return whole.unionByName(part.groupBy("group").applyInPandas(pack, schema))
+
+
+def packed_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
+    """Documents to packed pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+
+    Only checksums of the ids are stored here; ``tokenised`` has the ids.
+    """
+    tokens = tokenised(docs, tokenizer_path, capacity)
+    number = F.monotonically_increasing_id().alias("piece")
+    pieces = written(tokens.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", number), "pieces")
+    return packed(pieces, pieces.count(), capacity).drop("piece")

@@ -6,8 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, fingerprints, html_text, language_id, mixing, packing, secret_scan, sharding
-from tidemark.llm.common import written
+from tidemark.llm import (
+    exact_dedup,
+    fingerprints,
+    html_text,
+    language_id,
+    mixing,
+    near_dedup,
+    packing,
+    secret_scan,
+    sharding,
+    substring_dedup,
+)
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -74,19 +84,7 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of all documents' token sequences and their places in sequences of 4096."""
-    tokens = packing.tokenised(table(spark, sf_dir, "documents"), TOKENIZER)
-    pieces = written(
-        tokens.select(
-            "doc_id",
-            "start",
-            "length",
-            F.crc32("ids").alias("ids_crc32"),
-            "doc_tokens",
-            F.monotonically_increasing_id().alias("piece"),
-        ),
-        "pieces",
-    )
-    return packing.packed(pieces, pieces.count()).drop("piece")
+    return packing.packed_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
 @query()
@@ -123,3 +121,56 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round("score", 6).alias("score"),
         (F.col("score") >= 0.5).alias("is_secret"),
     )
+
+
+@query(
+    r"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+        FROM documents
+    ), grams AS (
+        SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN []
+            WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+            ELSE list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' ')) END) AS gram
+        FROM w
+    ), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+    shared AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM grams a JOIN grams b USING (gram) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+    ), links AS MATERIALIZED (
+        SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * i >= 90 * (x.n + y.n - i)
+    ), reach(doc_id, other) AS (
+        SELECT doc_id, doc_id FROM documents
+        UNION
+        SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
+    ), least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM documents JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
+    """
+)
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the component of their links at nine tenths of common three-word shingles."""
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
+
+
+@query(
+    r"""
+    WITH w AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+    ), places AS (
+        SELECT doc_id, unnest(range(1, greatest(len(words) - 11, 1))) AS i, words FROM w
+    ), windows AS (
+        SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS win FROM places
+    ), firsts AS (SELECT win, min(doc_id) AS least FROM windows GROUP BY win),
+    hits AS (SELECT doc_id, i FROM windows JOIN firsts USING (win) WHERE least < doc_id),
+    gone AS (SELECT DISTINCT doc_id, i + k AS i FROM hits, range(13) t(k)),
+    singles AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w),
+    kept AS (
+        SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+        FROM singles ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+    )
+    SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+    FROM w LEFT JOIN kept USING (doc_id)
+    """
+)
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without passages of 13 words and more that a smaller id has."""
+    return substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
