@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, count_words, running_total, salted_join, single_rows, text_of, written
+from tidemark.llm.common import WORD, count_words, running_total, salted_join, single_rows, spread, text_of, written
 
 BLOCK_WORDS = 256
 SHARD_BLOCKS = 1024
@@ -144,14 +144,16 @@ def _slots(sources: DataFrame, block_words: int, shard_blocks: int, seed: int) -
         "*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / SLOTS_A_ROW))).alias("_row")
     )
     last = F.least(F.col("slots"), (F.col("_row") + 1) * SLOTS_A_ROW) - 1
-    numbered = rows.repartition("source_no", "_row").select(
+    total = sources.agg(F.sum("slots")).first()[0] or 0
+    numbered = rows.repartition(spread(total, 8 * SLOTS_A_ROW), "source_no", "_row").select(
         "*", F.explode(F.sequence(F.col("_row") * SLOTS_A_ROW, last)).alias("slot")
     )
     number = F.col("first_slot") + F.col("slot")
     ordered = permuted(F.col("_at"), F.greatest(F.col("full"), F.lit(1)), F.lit(seed), F.col("source_no"), F.col("pass"))
     words = F.when(F.col("block") < F.col("full"), F.lit(block_words)).otherwise(F.col("source_size") - F.col("full") * block_words)
     left = F.when(F.col("pass") < F.col("passes"), words).otherwise(F.least(words, F.col("rest") - F.col("_at") * block_words))
-    return (
+    # Stored, so that the join that follows knows how many slots there are.
+    return written(
         numbered.withColumn("_drawn", permuted(number, F.col("all_slots"), F.lit(seed)))
         .withColumn("shard", F.floor(F.col("_drawn") / shard_blocks))
         .withColumn("place", F.col("_drawn") % shard_blocks)
@@ -159,7 +161,8 @@ def _slots(sources: DataFrame, block_words: int, shard_blocks: int, seed: int) -
         .withColumn("_at", F.col("slot") % F.col("blocks"))
         .withColumn("block", F.when(F.col("_at") < F.col("full"), ordered).otherwise(F.col("_at")))
         .withColumn("used", left)
-        .select("shard", "place", "source_no", "pass", "block", "used")
+        .select("shard", "place", "source_no", "pass", "block", "used"),
+        "mix-slots",
     )
 
 
