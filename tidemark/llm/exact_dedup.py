@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_of, without_rows, without_space, written
+from tidemark.llm.common import salted_join, text_of, without_rows, without_space, written
 
 # Quotients in one range; a range's filters meet in one task.
 RANGE_BITS = 15
@@ -133,7 +133,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
         .filter(F.when(F.col("texts") == 1, F.lit(True)).otherwise(F.raise_error(F.lit("different bytes under one digest")).cast("boolean")))
         .select("fp", "text_sha256", F.col("best.doc_id").alias("_keep"), (-F.col("best.row")).alias("_row"), "group_size")
     )
-    joined = prints.join(groups, ["fp", "text_sha256"], "left")
+    joined = salted_join(prints, groups, ["fp", "text_sha256"], F.col("row"), "left")
     alone = F.col("_row").isNull()
     return joined.select(
         "doc_id",
