@@ -15,6 +15,7 @@ pieces share the id.
 from __future__ import annotations
 
 import heapq
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,19 +29,43 @@ CAPACITY = 4096
 END_TOKEN = 2
 GROUP_PIECES = 1024
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long"
-# Entries of the word cache; it is emptied when full.
-CACHE_WORDS = 400_000
+# Entries of a generation of a word cache; two generations are held.
+CACHE_WORDS = 250_000
+# Marks that the tokenizer always separates from the letters before them.
+MARKS = ".,;:!?"
+LATIN_END = "\u0250"
 
 _encoders: dict[str, Callable[[str], bytes]] = {}
 
 
+class Cache(dict):
+    """Values made by a function, in two generations: what is not used while one fills up is dropped."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, word: str) -> bytes:
+        value = self.old.get(word)
+        if value is None:
+            value = self.make(word)
+        if len(self) >= CACHE_WORDS:
+            self.old = dict(self)
+            self.clear()
+        if len(word) <= 64:
+            self[word] = value
+        return value
+
+
 def word_encoder(tokenizer_path: str) -> Callable[[str], bytes]:
     """Text to its token ids as little-endian 32-bit integers.
 
     The tokenizer drops white space and never joins what it separates, so the
-    ids of a text are those of its words one after another, and each distinct
-    word is encoded once per worker as long as the cache holds it. Only spaces
-    and line feeds split; other white space is left to the tokenizer.
+    ids of a text are those of its words one after another, and a word is
+    encoded once as long as a worker's cache holds it. Words of letters share an
+    entry with and without closing marks, in upper and lower case, as the
+    tokenizer folds case and splits marks off. Only spaces and line feeds
+    split words; other white space is left to the tokenizer.
     """
     if tokenizer_path not in _encoders:
         import os
@@ -50,17 +75,31 @@ def word_encoder(tokenizer_path: str) -> Callable[[str], bytes]:
 
         tokenizer = Tokenizer.from_file(tokenizer_path)
 
-        class Words(dict):
-            def __missing__(self, word: str) -> bytes:
-                if len(self) >= CACHE_WORDS:
-                    self.clear()
-                ids = tokenizer.encode(word, add_special_tokens=False).ids
-                value = np.asarray(ids, "<u4").tobytes()
-                if len(word) <= 64:
-                    self[word] = value
-                return value
-
-        words = Words()
+        model = tokenizer.model
+        # Bytes as the byte-level alphabet writes them: printable Latin-1 as it is, the others from 256 on.
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in printable]
+        alphabet = {b: 256 + k for k, b in enumerate(others)}
+
+        def encoded(word: str) -> bytes:
+            return array("I", tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+        def of_letters(stem: str) -> bytes:
+            # A word of letters is one piece for the tokenizer's model.
+            piece = stem if stem.isascii() else stem.encode().decode("latin-1").translate(alphabet)
+            return array("I", [token.id for token in model.tokenize(piece)]).tobytes()
+
+        letters, marks = Cache(of_letters), Cache(encoded)
+
+        def by_parts(word: str) -> bytes:
+            stem = word.rstrip(MARKS)
+            low = stem.lower()
+            # Latin letters whose lower case is one letter each, composed already.
+            if not stem.isalpha() or max(stem) >= LATIN_END or len(low) != len(stem) or not low.isalpha():
+                return encoded(word)
+            return letters[low] + (marks[word[len(stem) :]] if len(stem) < len(word) else b"")
+
+        words = Cache(by_parts)
         _encoders[tokenizer_path] = lambda text: b"".join(map(words.__getitem__, text.replace("\n", " ").split(" ")))
     return _encoders[tokenizer_path]
 
