@@ -10,9 +10,9 @@ import xxhash
 from pyspark import TaskContext
 
 # Entries of the word cache of a worker; it is emptied when full.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 # Bytes of text that are worked on at once.
-CHUNK_BYTES = 6_000_000
+CHUNK_BYTES = 2_000_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -109,6 +109,8 @@ def shared_grams(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
                 rows_of = single[ends[part] : ends[part + 1]]
                 at, counts = runs(doc[rows_of])
                 head = (None,) * 4
+                if not len(rows_of) and several_ends[part] == several_ends[part + 1] and part != number % (1 << bits):
+                    continue
                 if part == number % (1 << bits):
                     ids = np.array([d[0] for d in chunk], np.int64)
                     head = (ids.tobytes(), packed(sizes), keys[~alone].tobytes(), packed(local_counts))
