@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 
@@ -72,7 +72,24 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begin, np.diff(np.r_[begin, len(values)])
 
 
-def document_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, list[tuple[int, bytes]]]]:
+def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, bytes]]:
+    """Ids and UTF-8 texts of Arrow batches with doc_id and text, one by one, so that no batch is copied whole."""
+    for batch in batches:
+        large = pa.types.is_large_string(batch.schema.field("text").type)
+        data = batch.column("text").cast(pa.large_binary() if large else pa.binary())
+        for doc_id, text in zip(batch.column("doc_id"), data, strict=True):
+            yield doc_id.as_py(), text.as_py()
+
+
+def record_batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    """Rows as an Arrow batch of a schema of longs, strings and binaries."""
+    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    fields = [pa.field(name, kinds[kind]) for name, kind in (c.split() for c in schema.split(", "))]
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)], schema=pa.schema(fields))
+
+
+def document_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[int, bytes]]]]:
     """Documents (id and UTF-8 text) in chunks of bounded size, sorted by id, with a number no other chunk has.
 
     Numbers follow from the partition and the order in it. Both are those of
@@ -81,13 +98,11 @@ def document_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, list
     number = TaskContext.get().partitionId() << 32
     held: list[tuple[int, bytes]] = []
     size = 0
-    for batch in batches:
-        for doc_id, text in zip(batch["doc_id"].to_numpy(), batch["text"], strict=True):
-            data = text.encode("utf-8", "replace")
-            held.append((int(doc_id), data))
-            size += len(data)
-            if size >= CHUNK_BYTES:
-                yield number, sorted(held, key=lambda d: d[0])
-                held, size, number = [], 0, number + 1
+    for document in texts(batches):
+        held.append(document)
+        size += len(document[1])
+        if size >= CHUNK_BYTES:
+            yield number, sorted(held, key=lambda d: d[0])
+            held, size, number = [], 0, number + 1
     if held:
         yield number, sorted(held, key=lambda d: d[0])

@@ -36,10 +36,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrays import document_chunks, hashes, mixed, packed, runs, sequences, unpacked
+from tidemark.llm.arrays import document_chunks, hashes, mixed, packed, record_batch, runs, sequences, unpacked
 from tidemark.llm.common import running_total, text_of, written
 from tidemark.llm.graph import components
 
@@ -88,7 +89,7 @@ def shared_grams(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     # Keys keep as many bits as a slice can carry.
     mask = ~np.uint64((1 << (64 - 8 * KEY_BYTES - bits)) - 1)
 
-    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, chunk in document_chunks(batches):
             sets = [np.unique(gram_set(text, words) & mask) for _, text in chunk]
             sizes = np.array([len(s) for s in sets])
@@ -118,7 +119,7 @@ def shared_grams(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
                     (part, number, _six(keys[rows_of], bits), packed(doc[rows_of][at]), packed(counts))
                     + (_six(several[several_ends[part] : several_ends[part + 1]], bits), *head)
                 )
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in SLICES.split(", ")])
+            yield record_batch(rows, SLICES)
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
         part = int(group["part"].iloc[0])
@@ -158,7 +159,7 @@ def shared_grams(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
 
     return (
         docs.select("doc_id", "text")
-        .mapInPandas(send, SLICES)
+        .mapInArrow(send, SLICES)
         .groupBy("part")
         .applyInPandas(meet, RETURNED)
         .groupBy("chunk")

@@ -20,9 +20,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.arrays import CHUNK_BYTES, record_batch, texts
 from tidemark.llm.common import spread, text_of, written
 
 CAPACITY = 4096
@@ -30,7 +32,7 @@ END_TOKEN = 2
 GROUP_PIECES = 1024
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long"
 # Entries of a generation of a word cache; two generations are held.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 350_000
 # Marks that the tokenizer always separates from the letters before them.
 MARKS = ".,;:!?"
 LATIN_END = "\u0250"
@@ -113,20 +115,23 @@ def cuts(tokens: int, capacity: int) -> list[int]:
 def tokenised(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_token: int = END_TOKEN) -> DataFrame:
     """The pieces of every document of a table with doc_id and text, with their ids."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_encoder(tokenizer_path)
-        end = np.asarray([end_token], "<u4").tobytes()
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = encode(text) + end
-                bounds = cuts(len(ids) // 4, capacity)
-                for begin, stop in zip(bounds, bounds[1:], strict=False):
+        end = array("I", [end_token]).tobytes()
+        rows, size = [], 0
+        for doc_id, text in texts(batches):
+            ids = encode(text.decode()) + end
+            bounds = cuts(len(ids) // 4, capacity)
+            for begin, stop in zip(bounds, bounds[1:], strict=False):
+                if stop > begin:
                     rows.append((doc_id, begin, stop - begin, ids[4 * begin : 4 * stop], len(ids) // 4))
-            frame = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids", "doc_tokens"])
-            yield frame.astype({"doc_id": "Int64"})
+            size += len(ids)
+            if size >= CHUNK_BYTES:
+                yield record_batch(rows, PIECES)
+                rows, size = [], 0
+        yield record_batch(rows, PIECES)
 
-    return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInPandas(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(run, PIECES)
 
 
 def differenced(sizes: np.ndarray, windows: int) -> np.ndarray:

@@ -30,11 +30,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrays import document_chunks, hashes, mixed, packed, runs, sequences, unpacked
+from tidemark.llm.arrays import CHUNK_BYTES, document_chunks, hashes, mixed, packed, record_batch, runs, sequences, texts, unpacked
 from tidemark.llm.common import text_of, written
 
 WORDS = 13
@@ -69,7 +70,7 @@ def repeated_fragments(docs: DataFrame, words: int = WORDS, minimizer_words: int
     bits = max(3, math.ceil(math.log2(max(1, size / PART_BYTES))))
     parts = 1 << bits
 
-    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, chunk in document_chunks(batches):
             split = [text.split() for _, text in chunk]
             counts = np.array([len(s) for s in split])
@@ -120,7 +121,7 @@ def repeated_fragments(docs: DataFrame, words: int = WORDS, minimizer_words: int
                         here.tobytes() if p == number % parts else b"",
                     )
                 )
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in SLICES.split(", ")])
+            yield record_batch(rows, SLICES)
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
         keys, ids, tags, pos, found = [], [], [], [], []
@@ -151,7 +152,7 @@ def repeated_fragments(docs: DataFrame, words: int = WORDS, minimizer_words: int
         return pd.DataFrame(np.concatenate(found), columns=FIELDS)
 
     known = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), text_of().alias("text"))
-    return known.mapInPandas(send, SLICES).groupBy("part").applyInPandas(meet, FRAGMENT)
+    return known.mapInArrow(send, SLICES).groupBy("part").applyInPandas(meet, FRAGMENT)
 
 
 def paths(found: DataFrame) -> DataFrame:
@@ -169,21 +170,24 @@ def paths(found: DataFrame) -> DataFrame:
     )
 
 
-REQUEST = "array<struct<start:long,length:long>>"
+SMALL = "doc_id long, tag long, data binary"
 CHECKED = "doc_id long, tag long, n_words long, n_removed long, kept_sha256 string, {}own array<string>, asked array<string>"
 
 
-def applied(docs: DataFrame, spans: DataFrame, words: int, texts: bool) -> tuple[DataFrame, DataFrame]:
+def applied(docs: DataFrame, spans: DataFrame, words: int, with_text: bool) -> tuple[DataFrame, DataFrame]:
     """Documents without the words under their spans, with digests of the words of own spans and of asked sources."""
     import zstandard
 
-    def shrink(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            data = [t.encode("utf-8", "replace") for t in batch["text"]]
-            yield pd.DataFrame(
-                {"doc_id": batch["doc_id"].astype("Int64"), "tag": [tag_of(d) for d in data], "data": [press.compress(d) for d in data]}
-            )
+        rows, size = [], 0
+        for doc_id, data in texts(batches):
+            rows.append((doc_id, tag_of(data), press.compress(data)))
+            size += len(data)
+            if size >= CHUNK_BYTES:
+                yield record_batch(rows, SMALL)
+                rows, size = [], 0
+        yield record_batch(rows, SMALL)
 
     def digest(split: list[bytes], request) -> list[str]:
         return [
@@ -209,8 +213,8 @@ def applied(docs: DataFrame, spans: DataFrame, words: int, texts: bool) -> tuple
                 else:
                     kept, removed = b" ".join(split), 0
                 value = (row.doc_id, row.tag, len(split), removed, hashlib.sha256(kept).hexdigest())
-                rows.append((*value, *([kept.decode()] if texts else []), digest(split, own), digest(split, asked)))
-            names = ["doc_id", "tag", "n_words", "n_removed", "kept_sha256", *(["text"] if texts else []), "own", "asked"]
+                rows.append((*value, *([kept.decode()] if with_text else []), digest(split, own), digest(split, asked)))
+            names = ["doc_id", "tag", "n_words", "n_removed", "kept_sha256", *(["text"] if with_text else []), "own", "asked"]
             yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
 
     interval = F.array_sort(F.collect_set(F.struct("start", "length")))
@@ -221,8 +225,8 @@ def applied(docs: DataFrame, spans: DataFrame, words: int, texts: bool) -> tuple
         .agg(interval.alias("asked"))
     )
     asks = written(own.join(asked, ["doc_id", "tag"], "full"), "substring-asks")
-    small = docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInPandas(shrink, "doc_id long, tag long, data binary")
-    return small.join(asks, ["doc_id", "tag"], "left").mapInPandas(cut, CHECKED.format("text string, " if texts else "")), asks
+    small = docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(shrink, SMALL)
+    return small.join(asks, ["doc_id", "tag"], "left").mapInPandas(cut, CHECKED.format("text string, " if with_text else "")), asks
 
 
 def verified(checked: DataFrame, asks: DataFrame, spans: DataFrame) -> None:
@@ -245,10 +249,10 @@ def verified(checked: DataFrame, asks: DataFrame, spans: DataFrame) -> None:
         raise RuntimeError("two different passages have one hash; change the word hash and run again")
 
 
-def without_repeats(docs: DataFrame, words: int = WORDS, texts: bool = False) -> DataFrame:
+def without_repeats(docs: DataFrame, words: int = WORDS, with_text: bool = False) -> DataFrame:
     """Every document of a table with doc_id and text: words, words removed, digest of the kept ones (and their text)."""
     spans = written(paths(written(repeated_fragments(docs, words), "substring-fragments")), "substring-spans")
-    result, asks = applied(docs, spans, words, texts)
+    result, asks = applied(docs, spans, words, with_text)
     checked = written(result, "substring-checked")
     verified(checked, asks, spans)
     return checked.drop("own", "asked", "tag")
