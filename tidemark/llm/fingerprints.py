@@ -30,9 +30,11 @@ INTERVALS = 64
 WIDE = 1 << 24
 
 
-def sample(term: Column, number: int, weight: Column) -> Column:
-    """A word's value (high bits) and the hash of word and step (low 32 bits), as one number to take the least of."""
-    bits = F.xxhash64(term, F.lit(number))
+def sample(bits: Column, weight: Column) -> Column:
+    """A word's value (high bits) and the hash of word and step (low 32 bits), as one number to take the least of.
+
+    ``bits`` is the hash of word and sample number.
+    """
 
     def uniform(first: int, count: int) -> Column:
         part = F.shiftrightunsigned(bits, first).bitwiseAND(F.lit((1 << count) - 1))
@@ -104,30 +106,54 @@ def in_order(docs: DataFrame) -> DataFrame:
     )
 
 
+def facts(rows: DataFrame) -> tuple[list[str], list[Column]]:
+    """What is kept of a document besides its samples, as names and numbers."""
+    digest = F.sha2("edited", 256)
+    quarters = [F.conv(F.substring(digest, 1 + 16 * k, 16), 16, -10).cast("long") for k in range(4)]
+    return ["doc_id", "n_chars", "guest", "sha0", "sha1", "sha2", "sha3"], [F.col("doc_id"), F.col("n_chars"), F.col("guest").cast("long"), *quarters]
+
+
 def signatures(rows: DataFrame, samples: int = SAMPLES) -> DataFrame:
-    """The samples of the texts and the edited texts of rows keyed by bucket and number, as arrays."""
-    both = F.array(
+    """Of rows keyed by bucket and number: facts, and the samples of the texts and the edited texts as arrays.
+
+    Words carry odd numbers. The facts travel as words of their own with even
+    numbers, so that the texts need not be shuffled for them a second time.
+    """
+    names, values = facts(rows)
+    said = F.concat_ws(" ", *[F.concat(F.lit(f"{2 * k}:"), v.cast("string")) for k, v in enumerate(values)])
+    three = F.array(
         F.struct(F.col("text").alias("t"), F.lit(1).alias("own"), F.lit(0).alias("edit")),
         F.struct(F.col("edited").alias("t"), F.lit(0).alias("own"), F.lit(1).alias("edit")),
+        F.struct(said.alias("t"), F.lit(0).alias("own"), F.lit(0).alias("edit")),
     )
     words = (
-        rows.select("bucket", "number", F.explode(both).alias("v"))
+        rows.select("bucket", "number", F.explode(three).alias("v"))
         .select("bucket", "number", "v.own", "v.edit", F.explode(F.split(F.lower("v.t"), SPACE)).alias("word"))
         .filter("word != ''")
     )
-    terms = words.groupBy("bucket", "number", F.xxhash64("word").alias("term")).agg(F.sum("own").alias("own"), F.sum("edit").alias("edit"))
-    own, edit = F.col("own"), F.col("edit")
-    base = F.when(own > 0, own).otherwise(edit)
+    fact = (F.col("own") + F.col("edit")) == 0
+    term = F.when(fact, F.substring_index("word", ":", 1).cast("long")).otherwise(F.xxhash64("word").bitwiseOR(F.lit(1)))
+    own = F.when(fact, F.substring_index("word", ":", -1).cast("long")).otherwise(F.col("own").cast("long"))
+    terms = words.groupBy("bucket", "number", term.alias("term")).agg(F.sum(own).alias("own"), F.sum("edit").alias("edit"))
+    hashed = terms.withColumns({f"h{j}": F.xxhash64("term", F.lit(j)) for j in range(samples)}).withColumn(
+        "word", F.col("term").bitwiseAND(F.lit(1)) == 1
+    )
+    base = F.when(F.col("own") > 0, F.col("own")).otherwise(F.col("edit"))
     least = []
     for j in range(samples):
-        first = sample(F.col("term"), j, base)
-        again = F.when(edit == base, first).otherwise(sample(F.col("term"), j, edit))
-        least += [F.min(F.when(own > 0, first)).alias(f"a{j}"), F.min(F.when(edit > 0, again)).alias(f"b{j}")]
+        first = sample(F.col(f"h{j}"), base)
+        again = F.when(F.col("edit") == base, first).otherwise(sample(F.col(f"h{j}"), F.col("edit")))
+        least += [
+            F.min(F.when(F.col("word") & (F.col("own") > 0), first)).alias(f"a{j}"),
+            F.min(F.when(F.col("word") & (F.col("edit") > 0), again)).alias(f"b{j}"),
+        ]
+    kept = [F.max(F.when(F.col("term") == 2 * k, F.col("own"))).alias(name) for k, name in enumerate(names)]
     low = F.lit(0xFFFFFFFF)
-    found = terms.groupBy("bucket", "number").agg(*least)
+    found = hashed.groupBy("bucket", "number").agg(*kept, *least)
     return found.select(
         "bucket",
         "number",
+        *names,
         *[
             F.when(F.col(f"{side}0").isNotNull(), F.array(*[F.col(f"{side}{j}").bitwiseAND(low) for j in range(samples)])).alias(name)
             for side, name in (("a", "signature"), ("b", "edited_signature"))
@@ -149,17 +175,16 @@ def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
 
 def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """Every document's fingerprint, its edited text's, and how like they and the next document's are."""
-    rows = in_order(docs)
-    keys = rows.select("bucket", "number", "guest", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
     order = Window.partitionBy("bucket").orderBy("number")
+    digest = F.concat(*[F.lower(F.lpad(F.hex(f"sha{k}"), 16, "0")) for k in range(4)])
     return (
-        keys.join(signatures(rows, samples), ["bucket", "number"], "left")
+        signatures(in_order(docs), samples)
         .withColumn("_next", F.lag("signature").over(order))
         .filter("guest = 0")
         .select(
             "doc_id",
             "n_chars",
-            "edited_sha256",
+            digest.alias("edited_sha256"),
             as_text(F.col("signature")).alias("fingerprint"),
             as_text(F.col("edited_signature")).alias("edited_fingerprint"),
             likeness(F.col("signature"), F.col("edited_signature"), samples).alias("near_edited"),
