@@ -51,11 +51,17 @@ def running_total(df: DataFrame, order: list[str], value: str, out: str, purpose
     )
 
 
-def salted_join(df: DataFrame, small: DataFrame, on: list[str], by: Column, how: str = "inner", salts: int = 16) -> DataFrame:
-    """Join on keys of which one may hold a large share of ``df``: ``small`` is repeated once per salt."""
+def salted_join(
+    df: DataFrame, small: DataFrame, on: list[str], by: Column, how: str = "inner", salts: int = 16, grows: bool = False
+) -> DataFrame:
+    """Join on keys of which one may hold a large share of ``df``: ``small`` is repeated once per salt.
+
+    Spark does not count the repeats when it sizes a broadcast, so a side that
+    ``grows`` with the data is always joined by merging.
+    """
     left = df.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    return left.join(right.hint("merge") if grows else right, [*on, "_salt"], how).drop("_salt")
 
 
 def spread(rows: int, each: int) -> int:

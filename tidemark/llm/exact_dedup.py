@@ -133,7 +133,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
         .filter(F.when(F.col("texts") == 1, F.lit(True)).otherwise(F.raise_error(F.lit("different bytes under one digest")).cast("boolean")))
         .select("fp", "text_sha256", F.col("best.doc_id").alias("_keep"), (-F.col("best.row")).alias("_row"), "group_size")
     )
-    joined = salted_join(prints, groups, ["fp", "text_sha256"], F.col("row"), "left")
+    joined = salted_join(prints, groups, ["fp", "text_sha256"], F.col("row"), "left", grows=True)
     alone = F.col("_row").isNull()
     return joined.select(
         "doc_id",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import salted_join, written
+from tidemark.llm.common import written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,8 +14,8 @@ def components(edges: DataFrame) -> DataFrame:
     Rounds of large and small stars: every node hands its neighbours to the
     least of them, which ends in one star per component after a number of
     rounds that grows with the logarithm of its size. Minima are taken before
-    the shuffle and joined back with salts, so a node may have any share of the
-    edges. Every round is stored.
+    the shuffle; where a node has a large share of the edges, adaptive execution
+    splits its side of the join. Every round is stored.
     """
     now = written(_pairs(edges.select("a", "b")), "edges")
     while True:
@@ -42,7 +42,7 @@ def _pairs(edges: DataFrame) -> DataFrame:
 
 def _to_least(edges: DataFrame) -> DataFrame:
     """Edges with the least neighbour of ``a``."""
-    return salted_join(edges, edges.groupBy("a").agg(F.min("b").alias("least")), ["a"], F.col("b"))
+    return edges.join(edges.groupBy("a").agg(F.min("b").alias("least")), "a")
 
 
 def _mark(edges: DataFrame) -> tuple:

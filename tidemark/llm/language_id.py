@@ -166,7 +166,7 @@ def fused(evidence: DataFrame, languages: list[str], key: str) -> DataFrame:
     domains = total("domain").select("domain", F.col("s").alias("_ds"), F.col("n").alias("_dn")).filter("domain is not null")
     joined = salted_join(alone, likelihood("declared"), ["declared"], uid, "left")
     joined = salted_join(joined, likelihood("suffix"), ["suffix"], uid, "left")
-    joined = salted_join(joined, hosts.join(domains, "domain"), ["domain", "host"], uid, "left")
+    joined = salted_join(joined, hosts.join(domains, "domain"), ["domain", "host"], uid, "left", grows=True)
 
     def prior(i: int) -> Column:
         own = F.col("p")[i]

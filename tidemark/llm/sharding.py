@@ -55,7 +55,7 @@ def units_of(rows: DataFrame, target: int) -> tuple[DataFrame, DataFrame]:
     weights = rows.groupBy("unit").agg(F.sum("size").alias("_bytes"))
     parts = F.ceil(F.col("_bytes") / max(1.0, target * UNIT_SHARE)).cast("int")
     heavy = weights.filter(parts > 1).select("unit", parts.alias("_parts"))
-    dealt = salted_join(rows, heavy, ["unit"], F.col("row"), "left").withColumn(
+    dealt = salted_join(rows, heavy, ["unit"], F.col("row"), "left", grows=True).withColumn(
         "part", F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("row"), F.col("_parts"))).cast("int")
     )
     first = F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc_id"), "row", "n_points", "source", "lang"))
