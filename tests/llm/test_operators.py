@@ -1,0 +1,282 @@
+"""Operators on small tables with nulls, empty and long texts, ties, repeated rows and clashing columns."""
+
+from __future__ import annotations
+
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import exact_dedup, fingerprints, language_id, mixing, near_dedup, packing, secret_scan, sharding, substring_dedup
+from tidemark.llm.graph import components
+from tidemark.llm.html_text import visible_text
+from tidemark.llm.queries import TOKENIZER
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size int, text_hash string, bucket string"
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def words_of(text):
+    return re.findall(WORD, text or "")
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(3)
+    vocabulary = ["w%d" % k for k in range(300)] + ["été", "Straße", "naïve"]
+    base = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(20, 90))) for _ in range(25)]
+    texts = [*base, base[0], base[0], " " + base[1] + "\n", base[2].replace(" ", "  ", 1), None, "", "", "one", "one two", " x y z a"]
+    for k in range(5):
+        near = base[k].split()
+        near[len(near) // 2] = "changed"
+        texts.append(" ".join(near))
+        texts.append(base[k] + " " + base[k + 5])
+    texts.append(" ".join(rng.choice(vocabulary) for _ in range(9000)))
+    made = [(i, t, "en" if i % 3 else None, f"s{i % 4}" if i % 5 else None, None, 7, "x", "y") for i, t in enumerate(texts)]
+    return [*made, made[3]]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_exact_groups(docs, rows):
+    got = exact_dedup.exact_groups(docs).collect()
+    assert len(got) == len(rows)
+    groups = collections.defaultdict(list)
+    for r in rows:
+        groups["".join(words_of(r[1]))].append(r)
+    for r in got:
+        group = next(g for key, g in groups.items() if hashlib.sha256(key.encode()).hexdigest() == r.text_sha256 and r.doc_id in [x[0] for x in g])
+        assert r.group_size == len(group)
+        assert r.keep_id == min(group, key=lambda x: (-len(x[1] or ""), x[0]))[0]
+    assert sum(r.kept for r in got) == len(groups)
+    kept = exact_dedup.kept_documents(docs)
+    assert kept.columns == docs.columns and kept.count() == len(groups)
+
+
+def test_filters_merge_without_loss():
+    rng = np.random.default_rng(1)
+    values = rng.integers(0, 1 << 63, 5000).astype(np.uint64)
+    values = np.r_[values, values[:100], values[:10]]
+    halves = [exact_dedup.merge_counts(v, np.ones(len(v), np.int64)) for v in (values[::2], values[1::2])]
+    total = collections.Counter()
+    for half in halves:
+        for row in exact_dedup.build_filters(*half, 16):
+            keys, counts = exact_dedup.read_filter(*row, 16)
+            total.update(dict(zip(keys.tolist(), counts.tolist(), strict=True)))
+    assert total == collections.Counter(values.tolist())
+
+
+def test_mix(docs, rows):
+    mixed = mixing.mix(docs, block_words=16, shard_blocks=8)
+    got = mixing.taken_words(mixed).collect()
+    assert len(got) == len(rows)
+    sizes = collections.Counter()
+    for r in rows:
+        sizes[r[3]] += len(words_of(r[1]))
+    assert sum(sizes.values()) == pytest.approx(sum({r.source_no: r.target for r in got}.values()))
+    taken = collections.Counter()
+    for r in got:
+        assert r.taken <= 3 * r["size"]
+        taken[r.source_no] += r.taken
+    for r in got:
+        assert abs(taken[r.source_no] - r.target) <= 1
+    per_shard = mixed.shard_counts().groupBy("shard").agg(F.sum("slots").alias("n")).collect()
+    assert all(r.n == 8 for r in per_shard if r.shard < len(per_shard) - 1)
+    again = mixing.taken_words(mixing.mix(docs, block_words=16, shard_blocks=8)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    out = mixing.mixed_documents(docs, mixed)
+    assert out.columns == docs.columns
+    assert sum(len(words_of(r.text)) for r in out.collect()) == sum(r.taken for r in got)
+
+
+def test_permutation(spark):
+    for n in (1, 2, 7, 100):
+        got = [r[0] for r in spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(5))).collect()]
+        assert sorted(got) == list(range(n))
+
+
+def test_shards(docs, rows):
+    got = sharding.kd_shards(docs, shards=4).collect()
+    assert len(got) == len(rows)
+    by = collections.defaultdict(list)
+    for r in got:
+        by[r.shard].append(r)
+    text = {r[0]: (r[1] or "").encode() for r in rows}
+    assert all(r["size"] == len(text[r.doc_id]) + 1 and r.text_crc32 == zlib.crc32(text[r.doc_id]) for r in got)
+    for shard in by.values():
+        assert sorted(r.slot for r in shard) == list(range(len(shard)))
+
+
+def test_packing(docs, rows):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    pieces = packing.tokenised(docs, TOKENIZER, capacity=128).collect()
+    found = collections.defaultdict(list)
+    for p in pieces:
+        found[p.doc_id].append(p)
+    for doc_id, text, *_ in rows[:-1]:
+        if doc_id == rows[-1][0]:
+            continue
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4").tobytes()
+        assert b"".join(bytes(p.ids) for p in sorted(found[doc_id], key=lambda p: p.start)) == ids
+    packed = packing.packed_documents(docs, TOKENIZER, capacity=128).collect()
+    assert len(packed) == len(pieces)
+    windows = collections.defaultdict(list)
+    for p in packed:
+        windows[p.sequence_id].append((p.offset, p.length))
+    for window in windows.values():
+        at = 0
+        for offset, length in sorted(window):
+            assert offset == at
+            at += length
+        assert at <= 128
+
+
+def test_differencing_is_even():
+    sizes = np.random.default_rng(2).integers(1, 1000, 400)
+    load = np.bincount(packing.differenced(sizes, 40), weights=sizes)
+    assert load.max() - load.min() < 0.02 * load.mean()
+    assert np.bincount(packing.packed_group(sizes, 4096), weights=sizes).max() <= 4096
+
+
+def brute_components(rows, words, num, den):
+    sets = []
+    for doc_id, text, *_ in rows:
+        w = [x.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")) for x in words_of(text)]
+        sets.append((doc_id, {tuple(w[i : i + words]) for i in range(len(w) - words + 1)} if len(w) >= words else {tuple(w)} if w else set()))
+    label = {d: d for d, _ in sets}
+    for _ in sets:
+        for a, x in sets:
+            for b, y in sets:
+                if x and y and den * len(x & y) >= num * len(x | y):
+                    label[a] = label[b] = min(label[a], label[b])
+    return {(d, len(s), label[d]) for d, s in sets}
+
+
+@pytest.mark.parametrize(("words", "num"), [(3, 90), (5, 80), (2, 50)])
+def test_near_groups(docs, rows, words, num):
+    got = near_dedup.near_groups(docs, words, num, 100).collect()
+    assert len(got) == len(rows)
+    assert {tuple(r) for r in got} == brute_components(rows, words, num, 100)
+
+
+def test_substring(docs, rows):
+    least = {}
+    for doc_id, text, *_ in rows:
+        w = words_of(text)
+        for i in range(len(w) - 12):
+            key = tuple(w[i : i + 13])
+            least[key] = min(least.get(key, doc_id), doc_id)
+    want = collections.Counter()
+    for doc_id, text, *_ in rows:
+        w = words_of(text)
+        gone = {i + k for i in range(len(w) - 12) if least[tuple(w[i : i + 13])] < doc_id for k in range(13)}
+        kept = [x for i, x in enumerate(w) if i not in gone]
+        want[(doc_id, len(w), len(gone), hashlib.sha256(" ".join(kept).encode()).hexdigest())] += 1
+    assert collections.Counter(map(tuple, substring_dedup.without_repeats(docs).collect())) == want
+
+
+def test_fingerprints(docs, rows):
+    got = fingerprints.fingerprints(docs).collect()
+    assert len(got) == len(rows)
+    ordered = sorted(rows[:-1], key=lambda r: -r[0])
+    by = {r.doc_id: r for r in got}
+    for k, (doc_id, text, *_) in enumerate(ordered):
+        if doc_id in (rows[-1][0], rows[-1][0] + 1):
+            continue
+        text, after = text or "", ordered[(k + 1) % len(ordered)][1] or ""
+        cut = len(text) // 3
+        edited = text[: len(text) - cut] + after[:cut]
+        assert by[doc_id].n_chars == len(text)
+        assert by[doc_id].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+    assert by[0].fingerprint == by[25].fingerprint and by[29].fingerprint == by[30].fingerprint == ""
+
+
+def test_sampling_meets_jaccard(spark):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcdefghijklmnop") for _ in range(60)) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in fingerprints.fingerprints(docs, samples=64).collect()}
+    errors = []
+    for k in range(1, 40):
+        a, b = collections.Counter(texts[k].split()), collections.Counter(texts[k - 1].split())
+        errors.append(got[k].near_next - sum((a & b).values()) / sum((a | b).values()))
+    assert abs(np.mean(errors)) < 0.03
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(60)] + [(100, 200), (200, 150), (7, 7)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(range(61), 0), 100: 100, 150: 100, 200: 100}
+
+
+def test_language(spark):
+    rng = random.Random(1)
+    sounds = {"en": ["the", "ing", "and", "sh"], "fr": ["que", "eau", "é", "ou"]}
+    rows = []
+    for i in range(80):
+        lang = "en" if i % 2 else "fr"
+        text = " ".join("".join(rng.choice(sounds[lang]) for _ in range(3)) for _ in range(30))
+        rows.append((i, text, lang, "s1" if i % 2 else "s2"))
+    docs = spark.createDataFrame([*rows, (90, None, None, None), (91, "", "en", "s1")], "doc_id long, text string, lang string, source string")
+    model = language_id.fit_text_model(docs)
+    got = {r.doc_id: r for r in language_id.document_languages(docs, model).collect()}
+    assert len(got) == 82
+    assert all(got[i].language == ("en" if i % 2 else "fr") for i in range(80))
+    assert got[90].grams == 0 and got[91].language == "en"
+    pages = spark.createDataFrame(
+        [(1, "https://a.example.com/x", f"<html lang='en'><p>{rows[1][1]}</p>"), (2, None, None), (3, "nothing", "<p>" + rows[0][1])],
+        "page_id long, url string, html string",
+    )
+    pages_got = {r.page_id: r for r in language_id.page_languages(pages, model).collect()}
+    assert pages_got[1].language == "en" and pages_got[1].suffix == "com" and pages_got[1].declared == "en"
+    assert pages_got[3].text_language == "fr" and pages_got[2].host is None
+
+
+def test_secrets(spark):
+    rng = random.Random(4)
+    rows = [(i, f"word password={'%016x' % rng.getrandbits(64)} more text here", "s1") for i in range(40)]
+    rows += [(100 + i, f"mail to user{i}.{i}@mail{i}.example.com today, call 4{rng.randrange(10**14)} now", "s2") for i in range(40)]
+    rows += [(500, None, None), (501, "", "s1"), (502, "no digits at all", "s1")]
+    got = secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {r.doc_id for r in got} >= set(range(40))
+    assert all((r.score >= 0.5) == (r.doc_id < 100) for r in got)
+
+
+def test_layout():
+    page = (
+        "<html><head><title>no</title><style>.ad{display:none}</style></head><body><h1>Top</h1><p>One<b>two</b><p>Three<br>four"
+        "<ul><li>a<li>b<ol><li>c</ol></ul><div class=ad>ad</div><table><tr><th>Name<th>N<tr><td>long name<td>1</table>"
+        "<span hidden>gone</span><pre>x\n  y</pre><script>var a='</p>';</script>end &amp; all"
+    )
+    assert visible_text(page) == (
+        "Top\n\nOnetwo\n\nThree\nfour\n\n- a\n- b\n  1. c\n\nName      | N\nlong name | 1\n\nx\n  y\n\nend & all"
+    )
+    assert visible_text("") == "" and visible_text("<p>open <b>bold") == "open bold" and visible_text("<div>" * 5000 + "deep") == "deep"
+
+
+def test_empty_tables(empty):
+    assert exact_dedup.exact_groups(empty).count() == 0
+    assert mixing.taken_words(mixing.mix(empty)).count() == 0
+    assert sharding.kd_shards(empty, shards=8).count() == 0
+    assert packing.packed_documents(empty, TOKENIZER).count() == 0
+    assert near_dedup.near_groups(empty).count() == 0
+    assert substring_dedup.without_repeats(empty).count() == 0
+    assert fingerprints.fingerprints(empty).count() == 0
+    assert secret_scan.scan(empty).count() == 0
+    model = language_id.fit_text_model(empty)
+    assert language_id.document_languages(empty, model).count() == 0

@@ -43,19 +43,22 @@ FEATURES = [
 
 def candidates(docs: DataFrame) -> DataFrame:
     """Candidates of a table with doc_id, text and source, with the words beside them."""
-    words = (
-        docs.filter(F.col("text").rlike("[0-9]"))
-        .select("doc_id", F.col("source").alias("path"), F.split(text_of(), SPACE).alias("w"))
-        .withColumn("at", F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.element_at("w", i + 1).rlike("[0-9]") & (F.length(F.element_at("w", i + 1)) >= LEAST_LENGTH)))
-        .filter(F.size("at") > 0)
+    w = F.split(text_of(), SPACE)
+    none = F.lit("")
+    beside = F.arrays_zip(
+        F.concat(F.array(none, none), w).alias("before2"),
+        F.concat(F.array(none), w).alias("before"),
+        w.alias("word"),
+        F.concat(F.slice(w, 2, F.size(w)), F.array(none)).alias("after"),
+    )
+    rows = docs.filter(F.col("text").rlike("[0-9]")).select(
+        "doc_id", F.col("source").alias("path"), F.posexplode(beside).alias("position", "z")
+    )
+    return (
+        rows.select("doc_id", "path", "position", "z.word", "z.before2", "z.before", "z.after")
+        .filter((F.length("word") >= LEAST_LENGTH) & F.col("word").rlike("[0-9]"))
+        .withColumn("secret", secret_part(F.col("word")))
     )
-
-    def word(shift: int) -> Column:
-        return F.coalesce(F.try_element_at("w", F.when((F.col("position") + shift >= 0), F.col("position") + shift + 1).otherwise(F.size("w") + 1)), F.lit(""))
-
-    return words.select("doc_id", "path", "w", F.explode("at").alias("position")).select(
-        "doc_id", "path", "position", word(0).alias("word"), word(-2).alias("before2"), word(-1).alias("before"), word(1).alias("after")
-    ).withColumn("secret", secret_part(F.col("word")))
 
 
 def secret_part(word: Column) -> Column:
