@@ -44,7 +44,7 @@ from tidemark.llm.arrays import document_chunks, hashes, mixed, packed, record_b
 from tidemark.llm.common import running_total, text_of, written
 from tidemark.llm.graph import components
 
-PART_BYTES = 13_000_000
+PART_BYTES = 6_500_000
 CHUNK_GRAMS = 400_000
 SLICES = (
     "part long, chunk long, single binary, docs binary, counts binary, several binary, "

@@ -32,7 +32,7 @@ END_TOKEN = 2
 GROUP_PIECES = 1024
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long"
 # Entries of a generation of a word cache; two generations are held.
-CACHE_WORDS = 350_000
+CACHE_WORDS = 200_000
 # Marks that the tokenizer always separates from the letters before them.
 MARKS = ".,;:!?"
 LATIN_END = "\u0250"
@@ -96,6 +96,7 @@ def word_encoder(tokenizer_path: str) -> Callable[[str], bytes]:
         def by_parts(word: str) -> bytes:
             stem = word.rstrip(MARKS)
             low = stem.lower()
+            low = word if low == word else low  # one key for both caches
             # Latin letters whose lower case is one letter each, composed already.
             if not stem.isalpha() or max(stem) >= LATIN_END or len(low) != len(stem) or not low.isalpha():
                 return encoded(word)
