@@ -233,7 +233,9 @@ def compare_relations(left: DataFrame, right: DataFrame, keys: Sequence[str]) ->
     others = [name for name in left.columns if name not in keys]
 
     def fingerprint(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*keys, F.xxhash64(*[F.col(c).cast("string") for c in others]).alias(name))
+        # The hash passes over nulls, so where they stand is hashed with the values.
+        nulls = [F.col(c).isNull() for c in others]
+        return df.select(*keys, F.xxhash64(*[F.col(c).cast("string") for c in others], *nulls).alias(name))
 
     paired = fingerprint(left, "_l").join(fingerprint(right, "_r"), on=list(keys), how="full_outer")
     outcome = (
@@ -247,9 +249,7 @@ def compare_relations(left: DataFrame, right: DataFrame, keys: Sequence[str]) ->
 
 def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of one side the other lacks (counted with duplicates), labelled by side."""
-    same = right.select(*left.columns)
-    return (
-        left.exceptAll(same)
-        .withColumn("side", F.lit("left"))
-        .unionByName(same.exceptAll(left).withColumn("side", F.lit("right")))
-    )
+    sides = left.withColumn("_side", F.lit(1)).unionByName(right.select(*left.columns).withColumn("_side", F.lit(-1)))
+    surplus = sides.groupBy(*left.columns).agg(F.sum("_side").alias("_side")).filter("_side != 0")
+    repeated = F.explode(F.array_repeat(F.when(F.col("_side") > 0, "left").otherwise("right"), F.abs("_side").cast("int")))
+    return surplus.select(*left.columns, repeated.alias("side"))
