@@ -61,6 +61,32 @@ def test_envelopes(spark):
     assert rejected == {5: "unreadable", 6: "unreadable", 7: "no_key", 8: "unknown_operation"}
 
 
+def test_values_that_do_not_fit_are_diverted(spark):
+    records = [
+        record("c", image(1, total_amount=1e9)),
+        record("c", image(2, total_amount=-99999999.99, discount_amount=99999999.99)),
+        record("u", image(3, updated_at="999999999999999999")),
+        record("u", image(4), ts=999999999999999999),
+        record("u", image(5, sale_date="soon")),
+        record("d", None, {"sale_id": 6, "updated_at": "never"}),
+        record("c", image(7)),
+    ]
+    assert [r.sale_id for r in envelope.parse_envelopes(raw(spark, records), NOW).collect()] == [7]
+    rejected = [r.rejection_reason for r in envelope.dead_letters(raw(spark, records)).orderBy("_kafka_offset").collect()]
+    assert rejected == ["bad_amount"] * 2 + ["bad_timestamp"] * 4
+
+
+def test_renewed_checkpoint_merges_and_audits_anew(spark):
+    staged, fact, audit = (fresh_path(spark, name) for name in ("staged", "fact", "audit"))
+    rows = envelope.parse_envelopes(raw(spark, [record("c", image(1)), record("c", image(2))]), NOW)
+    rows.filter("sale_id = 1").write.parquet(staged)
+    pipeline.merge_stream(spark, staged, fact, audit, fresh_path(spark, "c"), NOW).awaitTermination()
+    rows.filter("sale_id = 2").write.mode("append").parquet(staged)
+    pipeline.merge_stream(spark, staged, fact, audit, fresh_path(spark, "c"), NOW).awaitTermination()
+    assert {r.sale_id for r in fact_table.read_fact(spark, fact).collect()} == {1, 2}
+    assert sorted((r.merge_id, r.rows_inserted) for r in spark.read.parquet(audit).collect()) == [(0, 1), (0, 1)]
+
+
 def test_record_is_parsed_once(spark):
     plan = envelope.parse_envelopes(raw(spark, [record("c", image())]), NOW)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1

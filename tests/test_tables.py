@@ -13,7 +13,7 @@ from tests.conftest import SF_TINY
 from tidemark.operators import dedup, merge, snapshot
 from tidemark.plans import daily_batch, inputs
 from tidemark.schemas import FACT_COLUMNS, STAGE_COLUMNS, conform, schema_of
-from tidemark.session import fresh_path
+from tidemark.session import fresh_path, written
 from tidemark.sinks import fact_table, partitions
 from tidemark.sources import files
 from tidemark.sources.tables import REGIONS
@@ -52,14 +52,56 @@ def test_merge_moves_and_empties_partitions(spark):
     assert state(fact_table.read_fact(spark, path)) == {1: (3, D("9.00")), 3: (3, D("3.00")), 4: (5, D("4.00"))}
 
 
-def test_interrupted_merge_is_finished_from_its_stored_result(spark):
+def sale(spark, sale_id, total, time=1):
+    return staged(spark, [(sale_id, day(1, 1), total, False, day(1, time), time)])
+
+
+def test_interrupted_merge_is_finished_by_the_next(spark, monkeypatch):
+    path = fresh_path(spark, "t")
+    fact_table.merge_into_fact(spark, path, sale(spark, 1, "1"), NOW, "a")
+    publish = fact_table._publish
+    with monkeypatch.context() as patch:
+        patch.setattr(fact_table, "_publish", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            fact_table.merge_into_fact(spark, path, sale(spark, 1, "5"), NOW, "b")
+    assert fact_table._publish is publish
+    fact_table._drop_folder(spark, f"{path}/sale_year=2024/sale_month=1")  # as half a publication leaves it
+    fact_table.merge_into_fact(spark, path, sale(spark, 2, "2"), NOW, "c")
+    assert state(fact_table.read_fact(spark, path)) == {1: (1, D("5.00")), 2: (1, D("2.00"))}
+
+
+def test_replayed_batch_keeps_later_batches(spark):
+    path = fresh_path(spark, "t")
+    for sale_id, total, run_id in ((1, "1", "day1"), (2, "2", "day2"), (1, "99", "day1")):
+        fact_table.merge_into_fact(spark, path, sale(spark, sale_id, total), NOW, run_id)
+    assert state(fact_table.read_fact(spark, path)) == {1: (1, D("99.00")), 2: (1, D("2.00"))}
+
+
+def test_run_merged_once_keeps_its_tally(spark):
+    path = fresh_path(spark, "t")
+    for _ in range(2):
+        tally = fact_table.merge_into_fact(spark, path, sale(spark, 1, "1"), NOW, "q-0", newest_only=True, once=True)
+        assert tuple(tally.first()) == (1, 0, 0)
+
+
+def test_merge_prunes_months_by_the_touched_ones(spark):
     path = fresh_path(spark, "t")
-    fact_table.merge_into_fact(spark, path, staged(spark, [(1, day(1, 1), "1", False, day(1, 1), 1)]), NOW, "a")
-    change = staged(spark, [(1, day(1, 1), "5", False, day(2, 1), 2)])
-    fact_table.merge_into_fact(spark, path, change, NOW, "b")
-    fact_table._drop_folder(spark, f"{path}/sale_year=2024/sale_month=1")
-    fact_table.merge_into_fact(spark, path, change, NOW, "b")
-    assert state(fact_table.read_fact(spark, path)) == {1: (1, D("5.00"))}
+    fact_table.merge_into_fact(spark, path, sale(spark, 1, "1"), NOW, "a")
+    months = written(sale(spark, 1, "1").select(*fact_table.PARTITION_BY), "months")
+    plan = fact_table.in_months(fact_table.read_fact(spark, path), months)
+    assert "dynamicpruning" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_failures_of_other_runs_stay_and_empty_reruns_clear(spark):
+    path = fresh_path(spark, "f")
+    rows = spark.createDataFrame([("bad", 1), ("worse", 2)], "validation_failure_reason string, v int")
+    partitions.write_failures(rows, path, "1")
+    partitions.write_failures(rows, path, "2")
+    partitions.write_failures(rows.filter("v = 2"), path, "1")
+    left = {(r.run_id, r.v) for r in spark.read.parquet(path).collect()}
+    assert left == {(1, 2), (2, 1), (2, 2)}
+    partitions.write_failures(rows.filter("v = 3"), path, "2")
+    assert {(r.run_id, r.v) for r in spark.read.parquet(path).collect()} == {(1, 2)}
 
 
 EVENTS = [

@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# The first and last millisecond of years 1 to 9999.
+CALENDAR_MILLIS = (-62_135_596_800_000, 253_402_300_799_999)
+
+
 class BatchWindow(NamedTuple):
     """The half-open change-time interval one daily batch covers."""
 
@@ -46,8 +50,9 @@ def date_spine(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
 
 
 def from_epoch_millis(millis: Column) -> Column:
-    """Milliseconds since 1970 as a zone-free timestamp, whatever the session zone."""
-    return F.timestamp_add("MILLISECOND", millis, F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz"))
+    """Milliseconds since 1970 as a zone-free timestamp, whatever the session zone; NULL outside years 1 to 9999."""
+    moment = F.timestamp_add("MILLISECOND", millis, F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz"))
+    return F.when(millis.between(*CALENDAR_MILLIS), moment)
 
 
 def epoch_millis(ts: Column) -> Column:

@@ -1,8 +1,8 @@
 """The daily batch from regional extracts to verified tables.
 
 Every step reads what the step before it stored, so a run that stops can be
-started again for the same day: slices, exports and merges replace what a
-failed attempt left behind.
+started again for the same day: slices and exports replace what an earlier
+attempt left behind, and the merge acts on the fact as it is then.
 """
 
 from __future__ import annotations
@@ -59,17 +59,16 @@ def run_daily_batch(
     batch_id = batch_window(as_of).batch_id
     loaded_at = dt.datetime(as_of.year, as_of.month, as_of.day)
 
-    partitions.replace_slices(
-        extract.extract_regions(sources, as_of), warehouse.path("raw_extract"), ["etl_batch_id", "region"]
-    )
+    extracted = extract.extract_regions(sources, as_of)
+    partitions.replace_run(extracted, warehouse.path("raw_extract"), "etl_batch_id", batch_id, ["region"])
     raw = _slice(spark, warehouse.path("raw_extract"), EXTRACT_COLUMNS, batch_id)
 
     # Rows that break a rule are set aside one by one; the gate then judges
     # what is left of the batch's live rows.
     live = staging.transform_live(raw, loaded_at, batch_id, dict(labels))
     checked = written(enrich.with_reason(enrich.enrich(live)), "checked")
-    partitions.replace_slices(
-        enrich.quarantined(checked), warehouse.path("quarantine"), ["etl_batch_id", "validation_failure_reason"]
+    partitions.replace_run(
+        enrich.quarantined(checked), warehouse.path("quarantine"), "etl_batch_id", batch_id, ["validation_failure_reason"]
     )
     markers = staging.stamp_load(
         staging.normalise_region(staging.split_deleted(raw), dict(labels)), loaded_at, batch_id

@@ -161,6 +161,21 @@ LOG = """log AS (
     CAST(value AS DECIMAL(10,2)) AS price, date_trunc('milliseconds', ts) AS ms,
     list_extract(['US-EAST', 'US-WEST', 'EUROPE', 'ASIA-PACIFIC'], CAST(user_id % 4 + 1 AS INTEGER)) AS region
   FROM events)"""
+# Records no parser accepts: the events that have one, how many steps of 10^12 its offset lies ahead, the reason.
+REJECTED = (
+    ("event_id % 17 = 0", 3, "unreadable"),
+    ("event_id % 19 = 0", 4, "unreadable"),
+    ("event_id % 23 = 0 AND op <> 'd'", 5, "bad_amount"),
+    ("event_id % 29 = 0", 6, "bad_timestamp"),
+    ("event_id % 31 = 0", 7, "no_key"),
+    ("event_id % 37 = 0", 8, "unknown_operation"),
+)
+REJECTED_COUNT = " + ".join(f"count(*) FILTER (WHERE {affected})" for affected, _, _ in REJECTED)
+REJECTED_NEWEST = ", ".join(f"max(event_id + {step}000000000000) FILTER (WHERE {affected})" for affected, step, _ in REJECTED)
+REJECTED_ROWS = " UNION ALL ".join(
+    f"SELECT event_id + {step}000000000000 AS _kafka_offset, '{reason}' AS rejection_reason FROM log WHERE {affected}"
+    for affected, step, reason in REJECTED
+)
 DELIVERED = """delivered AS (
   SELECT *, event_id AS _kafka_offset FROM log
   UNION ALL SELECT *, event_id FROM log WHERE event_id % 10 = 0

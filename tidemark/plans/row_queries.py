@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import functions as fn
 from tidemark.operators import dedup, enrich, gate, staging
 from tidemark.plans import inputs
-from tidemark.plans.oracle import CONTENT, DATA_LIST, sql
+from tidemark.plans.oracle import CONTENT, DATA_LIST, REJECTED_COUNT, REJECTED_ROWS, sql
 from tidemark.plans.registry import query
 from tidemark.schemas import SOURCE_COLUMNS
 from tidemark.sources import extract, files
@@ -110,13 +110,7 @@ def delete_flag(spark: SparkSession, sf: str) -> DataFrame:
     return flagged.groupBy("op", "is_deleted").agg(F.count(F.lit(1)).alias("event_count"))
 
 
-@query(
-    sql(
-        "log",
-        "SELECT event_id + 3000000000000 AS _kafka_offset, 'unreadable' AS rejection_reason FROM log WHERE event_id % 17 = 0 "
-        "UNION ALL SELECT event_id + 4000000000000, 'unreadable' FROM log WHERE event_id % 19 = 0",
-    )
-)
+@query(sql("log", REJECTED_ROWS))
 def quarantine_malformed(spark: SparkSession, sf: str) -> DataFrame:
     return envelope.dead_letters(inputs.raw_events(spark, sf)).select("_kafka_offset", "rejection_reason")
 
@@ -126,8 +120,7 @@ def quarantine_malformed(spark: SparkSession, sf: str) -> DataFrame:
         "log",
         "SELECT 'cdc.sales' AS _kafka_topic, CAST(event_id % 4 AS INTEGER) AS _kafka_partition, "
         "count(*) + count(*) FILTER (WHERE event_id % 10 = 0) + count(*) FILTER (WHERE event_id % 9 = 0) "
-        "+ count(*) FILTER (WHERE op = 'd') + count(*) FILTER (WHERE event_id % 17 = 0) "
-        "+ count(*) FILTER (WHERE event_id % 19 = 0) AS record_count FROM log GROUP BY 2",
+        f"+ count(*) FILTER (WHERE op = 'd') + {REJECTED_COUNT} AS record_count FROM log GROUP BY 2",
     )
 )
 def topic_routing(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,16 +7,17 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.merge import live_rows
 from tidemark.plans import inputs
-from tidemark.plans.oracle import EVENTS_AS_OF, sql
+from tidemark.plans.oracle import EVENTS_AS_OF, REJECTED_COUNT, REJECTED_NEWEST, REJECTED_ROWS, sql
 from tidemark.plans.registry import query
 from tidemark.schemas import FACT_COLUMNS, STAGE_COLUMNS, schema_of
 from tidemark.session import fresh_path
 from tidemark.sinks import fact_table
-from tidemark.sources.change_events import LATE_OFFSET, change_log
+from tidemark.sources.change_events import change_log
 from tidemark.streaming import monitor, pipeline, windows
 
 _FACT_LIST = ", ".join(c for c in FACT_COLUMNS if not c.startswith("_row"))
-MICRO_BATCHES = 3
+# What one micro-batch takes at most.
+BATCH_BYTES = 256 * 1024**2
 
 
 def _landed(spark: SparkSession, sf: str) -> str:
@@ -25,14 +26,9 @@ def _landed(spark: SparkSession, sf: str) -> str:
     return path
 
 
-def _files_per_batch(spark: SparkSession, path: str) -> int:
-    """Split what has landed into a few micro-batches, however many files there are."""
-    return -(-len(spark.read.parquet(path).inputFiles()) // MICRO_BATCHES)
-
-
 def _staged(spark: SparkSession, sf: str) -> str:
     landing, path = _landed(spark, sf), fresh_path(spark, "staged")
-    raw = pipeline.landed_stream(spark, landing, max_files=_files_per_batch(spark, landing))
+    raw = pipeline.landed_stream(spark, landing, max_bytes=BATCH_BYTES)
     pipeline.parse_stream(raw, path, fresh_path(spark, "checkpoint"), inputs.EVENTS_AS_OF).awaitTermination()
     return path
 
@@ -46,7 +42,7 @@ def _merged(spark: SparkSession, sf: str) -> tuple[str, str]:
         audit,
         fresh_path(spark, "checkpoint"),
         inputs.EVENTS_AS_OF,
-        max_files=_files_per_batch(spark, staged),
+        max_bytes=BATCH_BYTES,
     ).awaitTermination()
     return fact, audit
 
@@ -89,8 +85,7 @@ def stream_audit(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     sql(
         "log",
-        "SELECT 'unreadable' AS rejection_reason, count(*) FILTER (WHERE event_id % 17 = 0) + "
-        "count(*) FILTER (WHERE event_id % 19 = 0) AS record_count FROM log",
+        f"SELECT rejection_reason, count(*) AS record_count FROM ({REJECTED_ROWS}) r GROUP BY rejection_reason",
     )
 )
 def stream_dead_letters(spark: SparkSession, sf: str) -> DataFrame:
@@ -103,14 +98,13 @@ def stream_dead_letters(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     sql(
         "log",
-        """SELECT CAST(event_id % 4 AS INTEGER) AS _kafka_partition,
-  count(*) + count(*) FILTER (WHERE event_id % 9 = 0) + count(*) FILTER (WHERE op = 'd') + count(*) FILTER (WHERE event_id % 17 = 0)
-  + count(*) FILTER (WHERE event_id % 19 = 0) AS record_count FROM log GROUP BY 1""",
+        f"""SELECT CAST(event_id % 4 AS INTEGER) AS _kafka_partition,
+  count(*) + count(*) FILTER (WHERE event_id % 9 = 0) + count(*) FILTER (WHERE op = 'd') + {REJECTED_COUNT} AS record_count FROM log GROUP BY 1""",
     )
 )
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     landing, path = _landed(spark, sf), fresh_path(spark, "distinct")
-    raw = pipeline.landed_stream(spark, landing, max_files=_files_per_batch(spark, landing))
+    raw = pipeline.landed_stream(spark, landing, max_bytes=BATCH_BYTES)
     distinct = pipeline.without_redelivered(raw, "3650 days").select("_kafka_partition", "_kafka_offset")
     writer = distinct.writeStream.format("parquet").option("path", path)
     pipeline.start(writer, fresh_path(spark, "checkpoint")).awaitTermination()
@@ -127,7 +121,7 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
 )
 def stream_daily_window(spark: SparkSession, sf: str) -> DataFrame:
     staged, path = _staged(spark, sf), fresh_path(spark, "windows")
-    rows = pipeline.landed_stream(spark, staged, schema_of(STAGE_COLUMNS), max_files=_files_per_batch(spark, staged))
+    rows = pipeline.landed_stream(spark, staged, schema_of(STAGE_COLUMNS), max_bytes=BATCH_BYTES)
     windows.daily_window_stream(rows, path, fresh_path(spark, "checkpoint"), "3650 days").awaitTermination()
     schema = "event_count bigint, revenue decimal(18,2), sale_date date, region string"
     return spark.read.schema(schema).parquet(path)
@@ -136,12 +130,11 @@ def stream_daily_window(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     sql(
         "log",
-        """SELECT CAST(event_id % 4 AS INTEGER) AS _kafka_partition,
-  max(CASE WHEN event_id % 19 = 0 THEN event_id + 4000000000000 WHEN event_id % 17 = 0 THEN event_id + 3000000000000
-    WHEN op = 'd' THEN event_id + 2000000000000 WHEN event_id % 9 = 0 THEN event_id + 1000000000000 ELSE event_id END) AS landed_offset,
+        f"""SELECT CAST(event_id % 4 AS INTEGER) AS _kafka_partition,
+  greatest(max(event_id), max(event_id + 1000000000000) FILTER (WHERE event_id % 9 = 0),
+    max(event_id + 2000000000000) FILTER (WHERE op = 'd'), {REJECTED_NEWEST}) AS landed_offset,
   max(event_id) AS merged_offset,
-  count(*) FILTER (WHERE event_id % 9 = 0) + count(*) FILTER (WHERE op = 'd') + count(*) FILTER (WHERE event_id % 17 = 0)
-  + count(*) FILTER (WHERE event_id % 19 = 0) AS pending, true AS has_data FROM log GROUP BY 1""",
+  count(*) FILTER (WHERE event_id % 9 = 0) + count(*) FILTER (WHERE op = 'd') + {REJECTED_COUNT} AS pending, true AS has_data FROM log GROUP BY 1""",
     )
 )
 def stream_lag(spark: SparkSession, sf: str) -> DataFrame:
@@ -153,11 +146,10 @@ def stream_lag(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     sql(
         "log",
-        f"""SELECT max(ts) + INTERVAL 2 DAY AS newest_late, count(*) AS clean_records FROM log WHERE event_id % 9 = 0""",
+        f"""SELECT newest, datesub('second', newest, {EVENTS_AS_OF}) AS age_seconds FROM (
+  SELECT greatest(max(ts), max(ts) FILTER (WHERE event_id % 9 = 0) + INTERVAL 2 DAY) AS newest FROM log) n""",
     )
 )
 def landing_freshness(spark: SparkSession, sf: str) -> DataFrame:
-    late = inputs.raw_events(spark, sf).filter(
-        (F.col("_kafka_offset") >= LATE_OFFSET) & (F.col("_kafka_offset") < 2 * LATE_OFFSET)
-    )
-    return late.agg(F.max("_kafka_timestamp").alias("newest_late"), F.count(F.lit(1)).alias("clean_records"))
+    landed = spark.read.schema(pipeline.RAW_DDL).parquet(_landed(spark, sf))
+    return monitor.landing_age(landed, inputs.EVENTS_AS_OF)

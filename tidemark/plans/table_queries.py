@@ -53,6 +53,19 @@ def merge_stored_fact(spark: SparkSession, sf: str) -> DataFrame:
     return fact_table.read_fact(spark, path)
 
 
+@query(sql("merged", "SELECT * FROM merged"))
+def replayed_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """A first load with wrong amounts, a later batch, the first load again with the right ones, the later batch again."""
+    path = fresh_path(spark, "fact")
+    first, later = written(inputs.old_fact(spark, sf), "first"), written(inputs.changes(spark, sf), "later")
+    wrong = first.withColumn("quantity", F.col("quantity") + 1)
+    fact_table.merge_into_fact(spark, path, wrong, inputs.CUT, "batch-1")
+    fact_table.merge_into_fact(spark, path, later, inputs.AS_OF, "batch-2")
+    fact_table.merge_into_fact(spark, path, first, inputs.CUT, "batch-1")
+    fact_table.merge_into_fact(spark, path, later, inputs.AS_OF, "batch-2")
+    return fact_table.read_fact(spark, path)
+
+
 _UPSERTED = f"""SELECT coalesce(o.sale_id, n.sale_id) AS sale_id, coalesce(o.created_at, n.created_at) AS created_at,
   {', '.join(f'CASE WHEN n.sale_id IS NULL THEN o.{c} ELSE n.{c} END AS {c}' for c in UPDATED_LIST)},
   coalesce(o._row_inserted_at, {AS_OF}) AS _row_inserted_at,
@@ -272,5 +285,8 @@ def clustered_fact_scan(spark: SparkSession, sf: str) -> DataFrame:
 @query(sql("checked", "SELECT validation_failure_reason, count(*) AS row_count FROM checked WHERE validation_failure_reason IS NOT NULL GROUP BY 1"))
 def quarantine_table(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_path(spark, "quarantine")
-    partitions.write_failures(quarantined(inputs.checked(inputs.sales(spark, sf))), path)
+    checked = written(inputs.checked(inputs.sales(spark, sf)), "checked")
+    late = F.coalesce(F.col("updated_at") >= F.lit(inputs.CUT), F.lit(False))
+    for run_id, rows in (("before", checked.filter(~late)), ("after", checked.filter(late))):
+        partitions.write_failures(quarantined(rows), path, run_id)
     return spark.read.parquet(path).groupBy("validation_failure_reason").agg(F.count(F.lit(1)).alias("row_count"))

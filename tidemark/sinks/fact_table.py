@@ -3,24 +3,27 @@
 A merge rewrites only partitions it touches:
 
 1. locate: which months hold a changed key now, and which will after the merge
-2. merge those months with the changes, into a run folder on shared storage
-3. publish the run folder over the table with dynamic partition overwrite, and
+2. merge those months with the changes, into the folder of this attempt
+3. publish that folder over the table with dynamic partition overwrite, and
    drop touched months that have no rows left
 
-The run folder is named by the run and complete before anything in the table
-moves. A run that died during step 3 is finished by calling it again: the
-merge is not recomputed, its stored result is published once more.
+Every attempt has a folder of its own on shared storage, marked once it is
+complete and once it is published. An attempt that died during step 3 is
+published first by whatever merge comes next; everything else is computed from
+the table as it is then, so no merge brings back months older than the table.
+A published folder is deleted after the next one. One writer at a time.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.operators.merge import ACTION, merge_changes, merge_newest, merge_tally
 from tidemark.schemas import FACT_COLUMNS, schema_of
@@ -28,9 +31,8 @@ from tidemark.session import shared_dir, written
 
 PARTITION_BY = ["sale_year", "sale_month"]
 CLUSTER_BY = ["sale_date", "region"]
-# Above this many touched months the partition list is no longer worth naming
-# in the scan, and the merge reads every partition.
-MAX_NAMED_PARTITIONS = 2000
+# Markers in the folder of an attempt, and what parts its run id from the rest of its name.
+STAGED, PUBLISHED, SEPARATOR = "_STAGED", "_PUBLISHED", "--"
 TOMBSTONE_FACT_COLUMNS = [*FACT_COLUMNS, "is_deleted", "_kafka_offset"]
 
 
@@ -86,6 +88,12 @@ def touched_months(target: DataFrame, changes: DataFrame, keys: Sequence[str] =
     return now.select(*PARTITION_BY).unionByName(changes.select(*PARTITION_BY)).distinct()
 
 
+def in_months(table: DataFrame, months: DataFrame) -> DataFrame:
+    """Rows of a table in given months; a join on the partition columns, so Spark prunes the scan by it."""
+    wanted = months.select(_month().alias("_wanted")).filter(F.col("_wanted") >= -1)
+    return table.join(wanted, _month() == F.col("_wanted"), "left_semi")
+
+
 def merge_into_fact(
     spark: SparkSession,
     path: str,
@@ -94,21 +102,50 @@ def merge_into_fact(
     run_id: str,
     newest_only: bool = False,
     keys: Sequence[str] = ("sale_id",),
+    once: bool = False,
 ) -> DataFrame:
     """Merge one change per key into the table at ``path``; returns the tally row.
 
     With ``newest_only`` the table keeps tombstones and late changes are
-    ignored (see ``merge_newest``).
+    ignored (see ``merge_newest``). A run id that comes again is merged again,
+    into the table as it is now. With ``once`` it names the same changes each
+    time, and if it was the last to be published only its tally is returned.
     """
     columns = TOMBSTONE_FACT_COLUMNS if newest_only else FACT_COLUMNS
     schema = schema_of(columns)
-    run_path = f"{shared_dir(spark)}/tidemark/merge/{hashlib.md5(path.encode()).hexdigest()}/{run_id}"
-    if not exists(spark, f"{run_path}/_SUCCESS"):
-        _stage_merge(spark, path, schema, changes, as_of, run_path, newest_only, keys)
-    staged = spark.read.schema(schema.add(ACTION, "string")).parquet(run_path)
-    months = spark.read.schema(schema_of(PARTITION_BY)).parquet(f"{run_path}-months")
-    _publish(spark, path, staged, months, columns, newest_only)
-    return merge_tally(staged)
+    runs = f"{shared_dir(spark)}/tidemark/merge/{hashlib.md5(path.encode()).hexdigest()}"
+    earlier = _attempts(spark, runs)
+    for attempt in earlier:
+        if exists(spark, f"{attempt}/{STAGED}") and not exists(spark, f"{attempt}/{PUBLISHED}"):
+            _publish(spark, path, attempt, schema, newest_only)
+    if once:
+        for attempt in earlier:
+            if attempt.rsplit("/", 1)[-1].startswith(f"{run_id}{SEPARATOR}") and exists(spark, f"{attempt}/{PUBLISHED}"):
+                return written(merge_tally(_staged(spark, attempt, schema)), "tally")
+    attempt = f"{runs}/{run_id}{SEPARATOR}{uuid.uuid4().hex}"
+    _stage_merge(spark, path, schema, changes, as_of, attempt, newest_only, keys)
+    _publish(spark, path, attempt, schema, newest_only)
+    for old in earlier:
+        _drop_folder(spark, old)
+    return written(merge_tally(_staged(spark, attempt, schema)), "tally")
+
+
+def _attempts(spark: SparkSession, runs: str) -> list[str]:
+    """Folders of the merges into a table: the last published one, and what a failure left."""
+    fs, hadoop_path = _fs(spark, runs)
+    if not fs.exists(hadoop_path):
+        return []
+    return [f"{runs}/{status.getPath().getName()}" for status in fs.listStatus(hadoop_path)]
+
+
+def _mark(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _fs(spark, path)
+    fs.createNewFile(hadoop_path)
+
+
+def _staged(spark: SparkSession, attempt: str, schema: StructType) -> DataFrame:
+    with_action = StructType([*schema.fields, StructField(ACTION, StringType())])
+    return spark.read.schema(with_action).parquet(f"{attempt}/rows")
 
 
 def _stage_merge(
@@ -117,41 +154,37 @@ def _stage_merge(
     schema: StructType,
     changes: DataFrame,
     as_of: dt.datetime,
-    run_path: str,
+    attempt: str,
     newest_only: bool,
     keys: Sequence[str],
 ) -> None:
     changes = written(changes, "changes")
-    if exists(spark, path):
-        target = spark.read.schema(schema).parquet(path)
-        touched_months(target, changes, keys).write.mode("overwrite").parquet(f"{run_path}-months")
-        # One number per month of the table: bounded by the table's partition
-        # list, which the driver holds for any scan, not by its rows.
-        stored = spark.read.schema(schema_of(PARTITION_BY)).parquet(f"{run_path}-months")
-        months = [row.month for row in stored.select(_month().alias("month")).limit(MAX_NAMED_PARTITIONS + 1).collect()]
-        if len(months) <= MAX_NAMED_PARTITIONS:
-            target = target.filter(_month().isin(months))
-    else:
-        target = spark.createDataFrame([], schema)
-        touched_months(target, changes, keys).write.mode("overwrite").parquet(f"{run_path}-months")
+    stored = exists(spark, path)
+    target = spark.read.schema(schema).parquet(path) if stored else spark.createDataFrame([], schema)
+    touched_months(target, changes, keys).write.parquet(f"{attempt}/months")
+    if stored:
+        target = in_months(target, _months(spark, attempt))
     merge = merge_newest if newest_only else merge_changes
     actions = merge(target, changes, as_of, keys=keys)
     (
         actions.hint("rebalance", *PARTITION_BY)
         .sortWithinPartitions(*PARTITION_BY, *CLUSTER_BY)
-        .write.mode("overwrite")
-        .partitionBy(*PARTITION_BY)
-        .parquet(run_path)
+        .write.partitionBy(*PARTITION_BY)
+        .parquet(f"{attempt}/rows")
     )
+    _mark(spark, f"{attempt}/{STAGED}")
 
 
-def _publish(
-    spark: SparkSession, path: str, staged: DataFrame, months: DataFrame, columns: Sequence[str], newest_only: bool
-) -> None:
+def _months(spark: SparkSession, attempt: str) -> DataFrame:
+    return spark.read.schema(schema_of(PARTITION_BY)).parquet(f"{attempt}/months")
+
+
+def _publish(spark: SparkSession, path: str, attempt: str, schema: StructType, newest_only: bool) -> None:
+    staged = _staged(spark, attempt, schema)
     remaining = staged if newest_only else staged.filter(~F.col(ACTION).isin("delete", "skip"))
+    # The staged files hold a month each, so they are written on without a shuffle.
     (
-        remaining.select(*columns)
-        .hint("rebalance", *PARTITION_BY)
+        remaining.select(*schema.names)
         .sortWithinPartitions(*PARTITION_BY, *CLUSTER_BY)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -159,10 +192,11 @@ def _publish(
         .parquet(path)
     )
     # Dynamic overwrite leaves a partition alone that gets no rows; touched
-    # months whose last row was deleted or moved away have to go. Again one
-    # row per month at most.
+    # months whose last row was deleted or moved away have to go. One row per
+    # emptied month at most.
     filled = remaining.select(_month().alias("month")).distinct()
-    emptied = months.withColumn("month", _month()).join(filled, on="month", how="left_anti")
+    emptied = _months(spark, attempt).withColumn("month", _month()).join(filled, on="month", how="left_anti")
     for row in emptied.collect():
         names = ["__HIVE_DEFAULT_PARTITION__" if v is None else v for v in (row.sale_year, row.sale_month)]
         _drop_folder(spark, f"{path}/sale_year={names[0]}/sale_month={names[1]}")
+    _mark(spark, f"{attempt}/{PUBLISHED}")

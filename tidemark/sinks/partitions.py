@@ -33,6 +33,22 @@ def append(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     df.write.mode("append").partitionBy(*by).parquet(path)
 
 
-def write_failures(failing: DataFrame, path: str, by: str = "validation_failure_reason") -> None:
-    """Store failing rows, one partition per reason."""
-    replace_slices(failing, path, [by])
+def replace_run(df: DataFrame, path: str, run: str, run_id: str, by: Sequence[str] = ()) -> None:
+    """Replace all that one run stored, its other slices too, and nothing of other runs.
+
+    ``run`` is the column that names the run; all rows belong to ``run_id``.
+    A run without rows leaves none.
+    """
+    (
+        df.drop(run)
+        .hint("rebalance", *by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*by)
+        .parquet(f"{path}/{run}={run_id}")
+    )
+
+
+def write_failures(failing: DataFrame, path: str, run_id: str, by: str = "validation_failure_reason") -> None:
+    """Store the failing rows of a run, one partition per reason; those of other runs stay."""
+    replace_run(failing, path, "run_id", run_id, [by])

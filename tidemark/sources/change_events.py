@@ -100,8 +100,21 @@ def change_log(spark: SparkSession, sf_dir: str, noise: bool = True) -> DataFram
 
 def _with_noise(log: DataFrame) -> DataFrame:
     """Add, per matching event, the records a real log holds besides the clean ones."""
-    broken = F.expr("left(record_content, length(record_content) - 1)")
-    mistyped = F.regexp_replace("record_content", '"ts_ms":[0-9]+', '"ts_ms":"late"')
+
+    def every(number: int) -> Column:
+        return F.col("event_id") % number == 0
+
+    def replaced(pattern: str, value: str) -> Column:
+        return F.regexp_replace("record_content", pattern, value)
+
+    rejected = [
+        (every(17), F.expr("left(record_content, length(record_content) - 1)")),
+        (every(19), replaced('"ts_ms":[0-9]+', '"ts_ms":"late"')),
+        (every(23) & (F.col("op") != "d"), replaced('"total_amount":[^,]+', '"total_amount":1000000000')),
+        (every(29), replaced('"ts_ms":[0-9]+', '"ts_ms":999999999999999999')),
+        (every(31), replaced('"sale_id":[0-9]+', '"sale_id":null')),
+        (every(37), replaced('"op":"[a-z]"', '"op":"x"')),
+    ]
     copies = F.array(
         F.struct(F.col("record_content"), F.col("_kafka_offset"), F.col("_kafka_timestamp")),
         # the broker delivers the same record twice
@@ -124,23 +137,18 @@ def _with_noise(log: DataFrame) -> DataFrame:
                 F.col("_kafka_timestamp"),
             ),
         ),
-        # a record cut short, and one with a field of the wrong type
-        F.when(
-            F.col("event_id") % 17 == 0,
-            F.struct(
-                broken.alias("record_content"),
-                (F.col("_kafka_offset") + 3 * LATE_OFFSET).alias("_kafka_offset"),
-                F.col("_kafka_timestamp"),
-            ),
-        ),
-        F.when(
-            F.col("event_id") % 19 == 0,
-            F.struct(
-                mistyped.alias("record_content"),
-                (F.col("_kafka_offset") + 4 * LATE_OFFSET).alias("_kafka_offset"),
-                F.col("_kafka_timestamp"),
-            ),
-        ),
+        # records that no parser accepts
+        *[
+            F.when(
+                affected,
+                F.struct(
+                    content.alias("record_content"),
+                    (F.col("_kafka_offset") + place * LATE_OFFSET).alias("_kafka_offset"),
+                    F.col("_kafka_timestamp"),
+                ),
+            )
+            for place, (affected, content) in enumerate(rejected, start=3)
+        ],
     )
     kept = F.filter(copies, lambda record: record.isNotNull())
     rest = ["event_id", "ts", "op", "_kafka_topic", "_kafka_partition"]

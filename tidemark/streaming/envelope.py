@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,8 @@ _IMAGE = (
     "is_deleted: boolean, status: string, region: string>"
 )
 ENVELOPE = f"after {_IMAGE}, before {_IMAGE}, op string, ts_ms bigint, region string, _corrupt string"
+MONEY = "decimal(10,2)"
+MONEY_FIELDS = ("unit_price", "total_amount", "discount_amount", "tax_amount")
 METADATA = ["_kafka_topic", "_kafka_partition", "_kafka_offset", "_kafka_timestamp"]
 
 
@@ -34,6 +37,23 @@ def open_envelopes(raw: DataFrame, content: str = "record_content") -> DataFrame
     return raw.filter(F.col(content).isNotNull()).select("*", F.explode(F.array(parsed)).alias("e"))
 
 
+def _any(conditions: list[Column]) -> Column:
+    return reduce(Column.__or__, conditions)
+
+
+def _bad_amount() -> Column:
+    """An amount that was sent, or one derived from it, does not fit its column."""
+    sent = [F.col(f"e.after.{name}").isNotNull() & _money(name).isNull() for name in MONEY_FIELDS]
+    return _any([*sent, *[value.isNull() for value in _derived_amounts()]])
+
+
+def _bad_timestamp() -> Column:
+    """A time that was sent cannot be read, or lies outside the calendar."""
+    texts = [F.col("e.after.sale_date"), F.col("e.after.created_at"), after_or_before("updated_at")]
+    sent = [text.isNotNull() & wire_timestamp(text).isNull() for text in texts]
+    return _any([*sent, F.col("e.ts_ms").isNotNull() & from_epoch_millis(F.col("e.ts_ms")).isNull()])
+
+
 def rejection_reason() -> Column:
     """Why a record cannot be used, NULL if it can."""
     key = F.coalesce(F.col("e.after.sale_id"), F.col("e.before.sale_id"))
@@ -41,6 +61,8 @@ def rejection_reason() -> Column:
         F.when(F.col("e._corrupt").isNotNull(), "unreadable")
         .when(key.isNull(), "no_key")
         .when(F.col("e.op").isNull() | ~F.col("e.op").isin("c", "u", "d", "r"), "unknown_operation")
+        .when(_bad_amount(), "bad_amount")
+        .when(_bad_timestamp(), "bad_timestamp")
     )
 
 
@@ -77,7 +99,17 @@ def region_code() -> Column:
 
 
 def _money(field: str) -> Column:
-    return F.col(f"e.after.{field}").cast("decimal(10,2)")
+    return F.col(f"e.after.{field}").try_cast(MONEY)
+
+
+def _money_or_zero(field: str) -> Column:
+    return F.coalesce(_money(field), F.lit(0).cast(MONEY))
+
+
+def _derived_amounts() -> tuple[Column, Column]:
+    """Net amount and gross profit, NULL where they do not fit."""
+    net = _money_or_zero("total_amount") - _money_or_zero("discount_amount")
+    return net.try_cast(MONEY), (net - _money_or_zero("tax_amount")).try_cast(MONEY)
 
 
 def parse_envelopes(
@@ -91,14 +123,16 @@ def parse_envelopes(
     opened = usable(open_envelopes(raw))
     if completed_only:
         opened = completed_or_deleted(opened)
-    zero = F.lit(0).cast("decimal(10,2)")
+    net_amount, gross_profit = _derived_amounts()
     fields = opened.select(
         after_or_before("sale_id").alias("sale_id"),
         *[F.col(f"e.after.{name}") for name in ("customer_id", "product_id", "store_id", "payment_method", "quantity")],
         _money("unit_price").alias("unit_price"),
         _money("total_amount").alias("total_amount"),
-        F.coalesce(_money("discount_amount"), zero).alias("discount_amount"),
-        F.coalesce(_money("tax_amount"), zero).alias("tax_amount"),
+        _money_or_zero("discount_amount").alias("discount_amount"),
+        _money_or_zero("tax_amount").alias("tax_amount"),
+        net_amount.alias("net_amount"),
+        gross_profit.alias("gross_profit"),
         region_label(region_code(), labels).alias("region"),
         wire_timestamp(F.col("e.after.sale_date")).alias("sale_date"),
         wire_timestamp(F.col("e.after.created_at")).alias("created_at"),
@@ -108,12 +142,9 @@ def parse_envelopes(
         from_epoch_millis(F.col("e.ts_ms")).alias("_cdc_source_ts"),
         "_kafka_offset",
     )
-    net = F.coalesce("total_amount", zero) - F.col("discount_amount")
     now = F.lit(as_of).cast("timestamp_ntz")
     derived = derive_date_parts(fields).withColumns(
         {
-            "net_amount": net,
-            "gross_profit": net - F.col("tax_amount"),
             "etl_loaded_at": now,
             "etl_batch_id": F.date_format(now, "yyyyMMdd"),
         }

@@ -21,14 +21,20 @@ def progress(query: StreamingQuery) -> dict:
 
 
 def stream_lag(landed: DataFrame, merged: DataFrame) -> DataFrame:
-    """Per log partition: newest landed offset, newest merged offset, records behind."""
-    newest = landed.groupBy("_kafka_partition").agg(F.max("_kafka_offset").alias("landed_offset"))
-    done = merged.groupBy("_kafka_partition").agg(F.max("_kafka_offset").alias("merged_offset"))
-    ahead = landed.join(done, on="_kafka_partition", how="left").groupBy("_kafka_partition").agg(
-        F.count_if(F.coalesce(F.col("_kafka_offset") > F.col("merged_offset"), F.lit(True))).alias("pending")
-    )
-    return newest.join(done, on="_kafka_partition", how="left").join(ahead, on="_kafka_partition").withColumn(
-        "has_data", F.col("pending") > 0
+    """Per log partition: newest landed offset, newest merged offset, records behind.
+
+    The merged offsets, one per log partition, reach the rows as a map, so the
+    log is read once and counted before it is shuffled.
+    """
+    done = merged.filter(F.col("_kafka_partition").isNotNull()).groupBy("_kafka_partition").agg(F.max("_kafka_offset").alias("done"))
+    offsets = done.agg(F.map_from_entries(F.collect_list(F.struct("_kafka_partition", "done"))).alias("offsets")).scalar()
+    placed = landed.withColumn("merged_offset", F.try_element_at(offsets, F.col("_kafka_partition")))
+    behind = F.coalesce(F.col("_kafka_offset") > F.col("merged_offset"), F.lit(True))
+    return placed.groupBy("_kafka_partition").agg(
+        F.max("_kafka_offset").alias("landed_offset"),
+        F.max("merged_offset").alias("merged_offset"),
+        F.count_if(behind).alias("pending"),
+        (F.count_if(behind) > 0).alias("has_data"),
     )
 
 

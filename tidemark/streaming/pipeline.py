@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,7 +50,7 @@ def kafka_records(spark: SparkSession, servers: str, topic: str, options: Mappin
     )
 
 
-def landed_stream(spark: SparkSession, path: str, ddl: str = RAW_DDL, max_files: int | None = None, max_bytes: str | None = None) -> DataFrame:
+def landed_stream(spark: SparkSession, path: str, ddl: str = RAW_DDL, max_files: int | None = None, max_bytes: int | None = None) -> DataFrame:
     """New rows of a landing or staged table.
 
     ``max_files`` or ``max_bytes`` bound what one micro-batch takes.
@@ -101,29 +100,30 @@ def merge_stream(
     as_of: dt.datetime,
     max_files: int | None = None,
     every: str | None = None,
+    max_bytes: int | None = None,
 ) -> StreamingQuery:
     """Merge newly staged rows into the fact table, newest change per sale.
 
-    A micro-batch may run again after a failure. Its merge is named by the
-    batch and compares log positions, and its audit row overwrites itself, so
-    running it twice has the effect of running it once.
+    A micro-batch may run again after a failure. Its merge is named by query
+    and batch and compares log positions, and its audit row overwrites itself,
+    so running it twice has the effect of running it once. A renewed checkpoint
+    is a new query: its merges and audit rows are its own.
     """
     ddl = schema_of(STAGE_COLUMNS)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        run_id = f"{_short_name(checkpoint)}-{batch_id}"
-        tally = merge_into_fact(session, fact_path, latest_event_per_key(batch), as_of, run_id, newest_only=True)
-        replace_slices(audit_row(batch, tally, batch_id, as_of), audit_path, ["merge_id"])
-
-    stream = landed_stream(spark, staged_path, ddl, max_files=max_files)
+        query_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        run_id = f"{query_id}-{batch_id}"
+        latest = latest_event_per_key(batch)
+        tally = merge_into_fact(session, fact_path, latest, as_of, run_id, newest_only=True, once=True)
+        audit = audit_row(batch, tally, batch_id, as_of).withColumn("query_id", F.lit(query_id))
+        replace_slices(audit, audit_path, ["query_id", "merge_id"])
+
+    stream = landed_stream(spark, staged_path, ddl, max_files=max_files, max_bytes=max_bytes)
     return start(stream.writeStream.foreachBatch(merge_batch), checkpoint, every)
 
 
-def _short_name(text: str) -> str:
-    return hashlib.md5(text.encode()).hexdigest()[:12]
-
-
 def offset_range(batch: DataFrame) -> DataFrame:
     """Number of events of a batch and the log positions they span."""
     return batch.agg(
