@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import written
 
-__all__ = ["SPACE", "WORD", "count_words", "running_total", "salted_join", "single_rows", "spread", "without_rows", "without_space", "written"]
+__all__ = ["SPACE", "WORD", "count_words", "running_total", "salted_join", "single_rows", "smallest_hashes", "spread", "without_rows", "without_space", "written"]
 
 # White space as the contracts have it, and a word.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -64,6 +64,20 @@ def salted_join(
     return left.join(right.hint("merge") if grows else right, [*on, "_salt"], how).drop("_salt")
 
 
+def smallest_hashes(rows: DataFrame, counts: DataFrame, by: str, key: str, most: int) -> DataFrame:
+    """At most ``most`` rows for each value of ``by``, those with the smallest hashes of ``key``.
+
+    ``counts`` holds ``by`` and how many rows it has (``_rows``). Hashes are
+    evenly spread, so twice as many as asked for are below a bound that follows
+    from the count. Only these are ranked, however many rows a value has.
+    """
+    bound = F.least(F.lit(1.0), 2.0 * most / F.col("_rows")) * float(1 << 32)
+    hash32 = F.xxhash64(key).bitwiseAND(F.lit((1 << 32) - 1))
+    near = salted_join(rows, counts, [by], F.col(key)).filter(hash32 < bound).drop("_rows")
+    first = Window.partitionBy(by).orderBy(hash32, key)
+    return near.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= most).drop("_n")
+
+
 def spread(rows: int, each: int) -> int:
     """How many groups of about ``each`` rows hold ``rows``."""
     return max(1, math.ceil(rows / each))

@@ -24,10 +24,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import salted_join, text_of, written
+from tidemark.llm.common import salted_join, smallest_hashes, text_of, written
 
 SAMPLE_ROWS = 2000
 BUCKETS = 1 << 16
@@ -66,11 +66,8 @@ def chunks(text: str) -> Iterator[np.ndarray]:
 def fit_text_model(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> TextModel:
     """Fit the trigram model on a table with doc_id, text and lang."""
     labelled = docs.select("doc_id", "lang").filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = written(
-        labelled.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= sample_rows).select("doc_id", "lang").distinct(),
-        "language-sample",
-    )
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("_rows"))
+    ids = written(smallest_hashes(labelled, counts, "lang", "doc_id", sample_rows).distinct(), "language-sample")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: dict[str, np.ndarray] = {}

@@ -24,7 +24,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, text_of, written
+from tidemark.llm.common import SPACE, smallest_hashes, text_of, written
 
 LEAST_LENGTH = 8
 DICTIONARY_COUNT = 5
@@ -157,9 +157,8 @@ def context_features(found: DataFrame) -> DataFrame:
 
 def training_rows(labelled: DataFrame) -> DataFrame:
     """Distinct strings per label, bounded in number."""
-    first = Window.partitionBy("label").orderBy(F.xxhash64("secret"), "secret")
-    single = labelled.dropDuplicates(["secret", "label"])
-    return single.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= TRAIN_ROWS).drop("_n")
+    counts = labelled.select("secret", "label").distinct().groupBy("label").agg(F.count("*").alias("_rows"))
+    return smallest_hashes(labelled.dropDuplicates(["secret", "label"]), counts, "label", "secret", TRAIN_ROWS)
 
 
 def scan(docs: DataFrame, findings: DataFrame | None = None, seed: int = 7) -> DataFrame:
