@@ -190,6 +190,26 @@ def test_substring(docs, rows):
     assert collections.Counter(map(tuple, substring_dedup.without_repeats(docs).collect())) == want
 
 
+@pytest.mark.parametrize("apart", [False, True])
+def test_substring_of_repeated_rows(spark, apart):
+    words = ["p%d" % k for k in range(60)]
+    passage = " ".join(words)
+    tail = " ".join("t%d" % k for k in range(40))
+    rows = [(0, passage), (25, passage), (25, passage), (26, passage + " " + tail), (26, passage + " " + tail)]
+    rows += [(27, "head " + " ".join(words[20:50])), (27, "head " + " ".join(words[20:50])), (28, passage)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    if apart:
+        # One copy is in a partition with its source, others are not: their fragments are cut at different places.
+        table = table.filter("doc_id != 25").coalesce(1).unionByName(spark.createDataFrame([(25, passage)] * 2, table.schema).coalesce(1))
+        table = table.unionByName(spark.createDataFrame([(0, passage), (25, passage)], table.schema).coalesce(1))
+        rows += [(0, passage), (25, passage)]
+    want = collections.Counter()
+    for doc_id, text in rows:
+        kept = {0: passage, 26: tail, 27: "head"}.get(doc_id, "")
+        want[(doc_id, len(text.split()), len(text.split()) - len(kept.split()), hashlib.sha256(kept.encode()).hexdigest())] += 1
+    assert collections.Counter(map(tuple, substring_dedup.without_repeats(table).collect())) == want
+
+
 def test_fingerprints(docs, rows):
     got = fingerprints.fingerprints(docs).collect()
     assert len(got) == len(rows)

@@ -156,18 +156,22 @@ def repeated_fragments(docs: DataFrame, words: int = WORDS, minimizer_words: int
 
 
 def paths(found: DataFrame) -> DataFrame:
-    """Fragments joined end to start where document and source both run on."""
+    """Fragments that meet or overlap joined where document and source both run on."""
     keys = ["doc_id", "tag", "source_id", "source_tag", "shift"]
-    ordered = found.withColumn("shift", F.col("source_start") - F.col("start"))
-    before = ordered.select(*keys, (F.col("start") + F.col("length")).alias("start"), F.lit(True).alias("_joined"))
-    heads = ordered.join(before, [*keys, "start"], "left")
-    path = F.sum(F.when(F.col("_joined"), 0).otherwise(1)).over(Window.partitionBy(*keys).orderBy("start"))
+    # Repeated rows give their fragments again, and not always cut at the same places: what overlaps is one path too.
+    ordered = found.withColumn("shift", F.col("source_start") - F.col("start")).groupBy(*keys, "start").agg(F.max("length").alias("length"))
+    along = Window.partitionBy(*keys).orderBy("start")
+    reached = F.max(F.col("start") + F.col("length")).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    heads = ordered.withColumn("_head", F.when(F.col("start") <= reached, 0).otherwise(1))
     return (
-        heads.withColumn("_path", path)
+        heads.withColumn("_path", F.sum("_head").over(along))
         .groupBy(*keys, "_path")
-        .agg(F.min("start").alias("start"), F.sum("length").alias("length"), F.min("source_start").alias("source_start"))
-        .drop("_path", "shift")
-    )
+        .agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("length")).alias("_end"))
+        .select(
+            "doc_id", "tag", "source_id", "source_tag", "start",
+            (F.col("_end") - F.col("start")).alias("length"), (F.col("start") + F.col("shift")).alias("source_start"),
+        )
+    )
 
 
 SMALL = "doc_id long, tag long, data binary"
