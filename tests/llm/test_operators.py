@@ -210,6 +210,18 @@ def test_substring_of_repeated_rows(spark, apart):
     assert collections.Counter(map(tuple, substring_dedup.without_repeats(table).collect())) == want
 
 
+def test_carriers_are_spread(spark, monkeypatch):
+    text = " ".join("c%d" % k for k in range(40))
+    table = spark.createDataFrame([(k, text) for k in range(128)], "doc_id long, text string").repartitionByRange(64, "doc_id")
+    frames, original = [], type(table).mapInArrow
+    monkeypatch.setattr(type(table), "mapInArrow", lambda self, f, schema: frames.append(original(self, f, schema)) or frames[-1])
+    near_dedup.shared_grams(table, 3, 90, 100)
+    substring_dedup.repeated_fragments(table)
+    for sent, carried in zip(frames, ("ids is not null", "length(fragments) > 0"), strict=True):
+        per = [r["count"] for r in sent.filter(carried).groupBy("part").count().collect()]
+        assert sum(per) >= 60 and len(per) >= 6 and max(per) <= 24
+
+
 def test_fingerprints(docs, rows):
     got = fingerprints.fingerprints(docs).collect()
     assert len(got) == len(rows)

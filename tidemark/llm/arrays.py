@@ -53,6 +53,11 @@ def sequences(words: np.ndarray, length: int) -> np.ndarray:
     return mixed(total)
 
 
+def carrier(number: int, bits: int) -> int:
+    """The part of 2 ** ``bits`` that carries what a chunk has besides its slices, from the whole chunk number."""
+    return int(mixed(mixed(np.array([number], np.uint64)))[0] >> np.uint64(64 - bits))
+
+
 def packed(values: np.ndarray) -> bytes:
     """Integers of nought or more in as few bytes each as the largest needs."""
     top = int(values.max()) if len(values) else 0

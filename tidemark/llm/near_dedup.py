@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrays import document_chunks, hashes, mixed, packed, record_batch, runs, sequences, unpacked
+from tidemark.llm.arrays import carrier, document_chunks, hashes, mixed, packed, record_batch, runs, sequences, unpacked
 from tidemark.llm.common import running_total, text_of, written
 from tidemark.llm.graph import components
 
@@ -105,14 +105,14 @@ def shared_grams(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
             ends = np.searchsorted(parts[single], np.arange((1 << bits) + 1))
             several_ends = np.searchsorted((several >> np.uint64(64 - bits)).astype(np.int64), np.arange((1 << bits) + 1))
             local_counts = np.bincount(doc[~alone], minlength=len(sets))
-            rows = []
+            rows, carried = [], carrier(number, bits)
             for part in range(1 << bits):
                 rows_of = single[ends[part] : ends[part + 1]]
                 at, counts = runs(doc[rows_of])
                 head = (None,) * 4
-                if not len(rows_of) and several_ends[part] == several_ends[part + 1] and part != number % (1 << bits):
+                if not len(rows_of) and several_ends[part] == several_ends[part + 1] and part != carried:
                     continue
-                if part == number % (1 << bits):
+                if part == carried:
                     ids = np.array([d[0] for d in chunk], np.int64)
                     head = (ids.tobytes(), packed(sizes), keys[~alone].tobytes(), packed(local_counts))
                 rows.append(

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrays import CHUNK_BYTES, document_chunks, hashes, mixed, packed, record_batch, runs, sequences, texts, unpacked
+from tidemark.llm.arrays import CHUNK_BYTES, carrier, document_chunks, hashes, mixed, packed, record_batch, runs, sequences, texts, unpacked
 from tidemark.llm.common import text_of, written
 
 WORDS = 13
@@ -101,10 +101,10 @@ def repeated_fragments(docs: DataFrame, words: int = WORDS, minimizer_words: int
             sent = np.flatnonzero(ids[doc] == ids[doc[first]])
             sent = sent[np.argsort(part[sent], kind="stable")]
             ends = np.searchsorted(part[sent], np.arange(parts + 1))
-            rows = []
+            rows, carried = [], carrier(number, bits)
             for p in range(parts):
                 s = sent[ends[p] : ends[p + 1]]
-                if not len(s) and p != number % parts:
+                if not len(s) and p != carried:
                     continue
                 run = np.flatnonzero(np.r_[True, (np.diff(s) != 1) | (np.diff(doc[s]) != 0)]) if len(s) else s
                 of, per = runs(doc[s[run]])
@@ -118,7 +118,7 @@ def repeated_fragments(docs: DataFrame, words: int = WORDS, minimizer_words: int
                         ids[owner].tobytes() if not len(owner) else ids[owner[:1]].tobytes() + packed(np.diff(ids[owner])),
                         packed(tags[owner]),
                         packed(per),
-                        here.tobytes() if p == number % parts else b"",
+                        here.tobytes() if p == carried else b"",
                     )
                 )
             yield record_batch(rows, SLICES)
