@@ -174,6 +174,15 @@ def test_near_groups(docs, rows, words, num):
     assert {tuple(r) for r in got} == brute_components(rows, words, num, 100)
 
 
+def test_near_groups_of_texts_under_one_id(spark):
+    one, two = [" ".join(f"{c}{k}" for k in range(60)) for c in "gh"]
+    rows = [(1, one), (2, two), (3, one + " more"), (3, two + " else"), (9, "alone here"), (4, None)]
+    rows += [(7, two + " again"), (5, "x " + one)]
+    got = near_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90, 100).collect()
+    assert len(got) == len(rows)
+    assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1), (3, 1), (9, 9), (4, 4), (7, 1), (5, 1)}
+
+
 def test_substring(docs, rows):
     least = {}
     for doc_id, text, *_ in rows:

@@ -6,8 +6,9 @@
    with fewer than T shared grams drop out. Chunks of documents send each gram
    once, packed, to the part of the hash space it belongs to; parts send back
    which grams occur elsewhere.
-2. *Classes.* Documents with equal sets are one class, represented by its
-   smallest id.
+2. *Classes.* Documents with equal sets are one class, represented by a number
+   that stands for its smallest id. A document not all of whose grams are shared
+   is a class of its own, as is each set where texts of one id differ.
 3. *Blocks.* A representative's grams are ordered rarest first. Two linked
    documents share one of the first f - T + 1 (f: shared grams); documents that
    share one and whose sizes allow a link are chained, and the chains'
@@ -41,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import carrier, document_chunks, hashes, mixed, packed, record_batch, runs, sequences, unpacked
-from tidemark.llm.common import running_total, text_of, written
+from tidemark.llm.common import running_total, salted_join, text_of, written
 from tidemark.llm.graph import components
 
 PART_BYTES = 6_500_000
@@ -83,7 +84,7 @@ def _from_six(data: bytes, part: int, bits: int) -> np.ndarray:
 
 
 def shared_grams(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """Set size of every document; for those with enough shared grams also these grams, and a digest if all are."""
+    """Set size of every document; for those with enough shared grams also these grams and its class."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(8 * (8 - KEY_BYTES), max(3, math.ceil(math.log2(max(1, size / PART_BYTES)))))
     # Keys keep as many bits as a slice can carry.
@@ -148,14 +149,14 @@ def shared_grams(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
         order = np.lexsort((keys, doc))
         keys, ends = keys[order], np.searchsorted(doc[order], np.arange(len(ids) + 1))
         grams: list = [None] * len(ids)
-        digests: list = [None] * len(ids)
+        classes: list = [None] * len(ids)
         for k, n in enumerate(sizes):
             own = keys[ends[k] : ends[k + 1]]
             if n and len(own) >= least_overlap(int(n), num, den):
                 grams[k] = own.view(np.int64)
-                if len(own) == n:
-                    digests[k] = hashlib.blake2b(own.tobytes(), digest_size=16).hexdigest()
-        return pd.DataFrame({"doc_id": ids, "n": sizes, "digest": digests, "grams": grams})
+                digest = hashlib.blake2b(own.tobytes(), digest_size=16).hexdigest()
+                classes[k] = digest if len(own) == n else f"d{ids[k]}-{n}-{digest}"
+        return pd.DataFrame({"doc_id": ids, "n": sizes, "class": classes, "grams": grams})
 
     return (
         docs.select("doc_id", "text")
@@ -163,7 +164,7 @@ def shared_grams(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
         .groupBy("part")
         .applyInPandas(meet, RETURNED)
         .groupBy("chunk")
-        .applyInPandas(gather, "doc_id long, n long, digest string, grams array<long>")
+        .applyInPandas(gather, "doc_id long, n long, class string, grams array<long>")
     )
 
 
@@ -291,18 +292,21 @@ def near_groups(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
     """
     known = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), text_of().alias("text"))
     sets = written(shared_grams(known, words, num, den), "near-sets")
-    able = sets.filter(F.col("grams").isNotNull()).withColumn("class", F.coalesce("digest", F.concat(F.lit("d"), "doc_id")))
+    able = sets.filter(F.col("grams").isNotNull())
     first = Window.partitionBy("class").orderBy("doc_id")
-    reps = written(
-        able.withColumn("_n", F.row_number().over(first)).filter("_n = 1").select("class", F.col("doc_id").alias("rep"), "n", "grams"), "near-reps"
-    )
-    to_class = written(able.select("doc_id", "class").distinct().join(reps.select("class", "rep"), "class"), "near-classes")
+    one = able.withColumn("_n", F.row_number().over(first)).filter("_n = 1")
+    # An id may have several sets, so representatives have numbers of their own; stored, they stay as they are.
+    reps = written(one.select("class", F.monotonically_increasing_id().alias("rep"), F.col("doc_id").alias("least"), "n", "grams"), "near-reps")
+    to_class = written(able.select("doc_id", "class").distinct().join(reps.select("class", "rep", "least"), "class"), "near-classes")
     # Rows that share an id may be in several classes: the id connects them.
     same_id = to_class.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"), F.count("*").alias("k")).filter("k > 1")
     same = to_class.join(same_id.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b")).filter("a != b")
-    found = components(links(blocks(reps.drop("class"), num, den), num, den).unionByName(same))
-    linked = to_class.groupBy("doc_id").agg(F.min("rep").alias("rep")).join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    linked = linked.select("doc_id", F.coalesce("component", "rep").alias("component_id"))
+    found = components(links(blocks(reps.select("rep", "n", "grams"), num, den), num, den).unionByName(same))
+    members = found.withColumnRenamed("node", "rep").join(reps.select("rep", "least"), "rep")
+    lowest = members.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = salted_join(members.drop("least"), lowest, ["component"], F.col("rep"), grows=True).select("rep", "component_id")
+    own = to_class.groupBy("doc_id").agg(F.min(F.struct("rep", "least")).alias("_own")).select("doc_id", "_own.rep", "_own.least")
+    linked = own.join(named, "rep", "left").select("doc_id", F.coalesce("component_id", "least").alias("component_id"))
     result = sets.select("doc_id", F.col("n").alias("n_shingles")).join(linked, "doc_id", "left")
     result = result.withColumn("component_id", F.coalesce("component_id", "doc_id"))
     unknown = docs.filter(F.col("doc_id").isNull()).select(
