@@ -1,6 +1,9 @@
 """Secret scanning with a random forest that sorts out false positives.
 
-Candidates are words with a digit and of some length. Their features: length,
+Candidates are words with a digit and of some length and, whatever their digits
+and length, words in a form of issued keys, words assigned to or following a
+telling name, lines that begin or end a private key, and the words of its
+block. Their features: length,
 transitions between character classes and their log-probability under the
 corpus's own letter pairs, the share of letters that dictionary words cover,
 the path (here the source) and the words beside them. The forest is trained on
@@ -34,6 +37,16 @@ DEPTH = 6
 # Names that secrets are assigned to, and forms of issued keys.
 NAMES = ["password", "passwd", "pwd", "token", "secret", "api_key", "apikey", "access_key", "auth", "bearer", "credential"]
 ISSUED = r"^(AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|xox[abp]-[0-9A-Za-z-]{10,}|sk-[0-9A-Za-z]{20,})$"
+ISSUED_STARTS = ["AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xoxa-", "xoxb-", "xoxp-", "sk-"]
+# A telling name at the end of its words, and marks that assign.
+NAME = r"(?i)(?:" + "|".join(NAMES) + r")s?(?:[_-]\w+)*[\"']?"
+ASSIGNS = r"[=:]+>?"
+OPENED, CLOSED = r"""["'(<\[{]*""", r"""["')>\],.;:!?}]"""
+OWN_VALUE = NAME + ASSIGNS + OPENED + r"""[^\s=:"'(<\[{)>\],.;!?}]"""
+KEY_LINE = r"PRIVATE KEY(?: BLOCK)?-----"
+KEY_BLOCK = r"(?s)PRIVATE KEY(?: BLOCK)?-----(.*?)(?:-----END|\z)"
+# Values that stand for none.
+PLACEHOLDERS = r"(?i)^(?:null|none|nil|true|false|undefined|required|optional|string|str|x+|\*+|\.+|[<$%{].*)$"
 FIXTURE_PATHS = r"(?i)(test|example|sample|fixture|mock|doc)"
 FEATURES = [
     "length", "digits", "uppers", "lowers", "marks", "distinct_chars", "changes", "pair_log", "coverage",
@@ -51,28 +64,55 @@ def candidates(docs: DataFrame) -> DataFrame:
         w.alias("word"),
         F.concat(F.slice(w, 2, F.size(w)), F.array(none)).alias("after"),
     )
-    rows = docs.filter(F.col("text").rlike("[0-9]")).select(
-        "doc_id", F.col("source").alias("path"), F.posexplode(beside).alias("position", "z")
+    # What a document has at all, found once, spares its words the dearer tests.
+    lower = F.lower("text")
+    has = {
+        "_names": F.greatest(*[F.contains(lower, F.lit(n)) for n in NAMES]),
+        "_issued": F.greatest(*[F.contains("text", F.lit(k)) for k in ISSUED_STARTS]),
+        "_keys": F.contains("text", F.lit("PRIVATE KEY")) | F.col("text").rlike(r"PRIVATE\s+KEY"),
+    }
+    marked = docs.select("doc_id", "text", "source", *[F.coalesce(c, F.lit(False)).alias(k) for k, c in has.items()])
+    block = F.when(F.col("_keys"), F.split(F.array_join(F.regexp_extract_all(F.regexp_replace("text", SPACE, " "), F.lit(KEY_BLOCK), 1), " "), " "))
+    rows = marked.filter(F.col("_names") | F.col("_issued") | F.col("_keys") | F.col("text").rlike("[0-9]")).select(
+        "doc_id", F.col("source").alias("path"), *has, block.alias("_block"), F.posexplode(beside).alias("position", "z")
     )
-    return (
-        rows.select("doc_id", "path", "position", "z.word", "z.before2", "z.before", "z.after")
-        .filter((F.length("word") >= LEAST_LENGTH) & F.col("word").rlike("[0-9]"))
-        .withColumn("secret", secret_part(F.col("word")))
+    word = F.col("z.word")
+    secret = F.when(F.col("_keys") & word.rlike(r"^(?:KEY|BLOCK)-----[^A-Za-z0-9]*$"), F.lit("PRIVATE KEY-----")).otherwise(secret_part(word))
+    key_line = word.rlike("^(?:KEY|BLOCK)-----") & F.concat_ws(" ", "z.before2", "z.before", word).rlike(KEY_LINE)
+    in_block = F.array_contains("_block", word)
+    follows = F.col("z.before").rlike(NAME + r"(?:[=:]+>?)?$") | (
+        F.col("z.before").rlike(r"^(?:[=:]+>?|is|was)$") & F.col("z.before2").rlike(NAME + "$")
     )
+    wanted = (
+        ((F.length(word) >= LEAST_LENGTH) & word.rlike("[0-9]"))
+        | (F.col("_issued") & secret_part(word).rlike(ISSUED))
+        | (F.col("_names") & (word.rlike(OWN_VALUE) | (follows & secret_part(word).rlike(r"[^\s=:>]"))))
+        | (F.col("_keys") & (key_line | (in_block & word.rlike("[A-Za-z0-9]"))))
+    )
+    return rows.filter(wanted).select("doc_id", "path", "position", "z.word", "z.before2", "z.before", "z.after", secret.alias("secret"))
 
 
 def secret_part(word: Column) -> Column:
     """What is assigned, without name, quotes and closing marks."""
-    value = F.regexp_replace(word, r"^[A-Za-z_][A-Za-z_0-9]*\s*[=:]+", "")
-    return F.regexp_replace(value, r"""^["'(<\[]+|["')>\],.;:!?]+$""", "")
+    # The last telling name of a word, else the name it begins with; padding at the end of a value is no assignment.
+    value = F.when(word.rlike(OWN_VALUE), F.regexp_replace(word, "^.*" + NAME + ASSIGNS + "(?=" + OPENED + r"""[^\s=:"'(<\[{)>\],.;!?}])""", ""))
+    value = value.otherwise(F.regexp_replace(word, r"""^[A-Za-z_][A-Za-z_0-9]*\s*[=:]+(?!["')>\],.;:!?}=]*$)""", ""))
+    return F.regexp_replace(value, f"^{OPENED[:-1]}+|{CLOSED}+$", "")
 
 
 def rule_labels(found: DataFrame) -> DataFrame:
-    """Candidates with a label: 1 for issued forms and for random strings assigned to a telling name, else 0."""
+    """Candidates with a label: 1 for issued forms, lines of private keys and what is assigned to a telling name, else 0."""
     context = F.lower(F.concat_ws(" ", "before2", "before", "word"))
     named = context.rlike("(" + "|".join(NAMES) + r")[\"']?\s*[=:]")
     random = F.col("secret").rlike("[0-9].*[0-9].*[0-9]") & (F.length("secret") >= 12)
-    return found.withColumn("label", F.when(F.col("secret").rlike(ISSUED) | (named & random), 1.0).otherwise(0.0))
+    own = F.col("word").rlike(OWN_VALUE)
+    after_name = F.col("before").rlike(NAME + ASSIGNS + "$") | (F.col("before").rlike(f"^{ASSIGNS}$") & F.col("before2").rlike(NAME + "$"))
+    # After a colon and without quotes, a plain word is prose.
+    prose = F.col("secret").rlike("^[A-Za-z]?[a-z]*$") & ~F.col("before").rlike("=>?$") & ~F.col("word").rlike("^[\"']")
+    assigned = (own | (after_name & ~prose)) & ~F.col("secret").rlike(PLACEHOLDERS)
+    key = F.col("secret") == "PRIVATE KEY-----"
+    issued = F.col("secret").rlike(ISSUED)
+    return found.withColumn("label", F.when(issued | key | (named & random) | assigned, 1.0).otherwise(0.0))
 
 
 def vocabulary(docs: DataFrame) -> DataFrame:
