@@ -316,6 +316,18 @@ def test_secrets_without_digits(spark):
     assert (4, "QUJD") in labels and not {r.doc_id for r in found} & {90, 91}
 
 
+def test_secret_scores_keep_the_shares(spark, monkeypatch):
+    rng = random.Random(6)
+    # Orders of ten digits: distinct strings whose features do not differ.
+    rows = [(k, "see %s there" % "".join(rng.sample("0123456789", 10)), f"s{k % 3}") for k in range(1200)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    findings = spark.createDataFrame([(t.split()[1], 1.0 if k % 40 == 0 else 0.0) for k, t, _ in rows], "secret string, label double")
+    monkeypatch.setattr(secret_scan, "TRAIN_ROWS", 30)
+    got = secret_scan.scan(table, findings).collect()
+    assert len(got) == len(rows)
+    assert sum(r.score for r in got) / len(got) < 0.15
+
+
 def test_layout():
     page = (
         "<html><head><title>no</title><style>.ad{display:none}</style></head><body><h1>Top</h1><p>One<b>two</b><p>Three<br>four"

@@ -10,7 +10,8 @@ the path (here the source) and the words beside them. The forest is trained on
 labelled findings, a frame of candidates with label 0 or 1; where none is
 given, ``rule_labels`` labels candidates by their form and by the name they are
 assigned to. At most ``TRAIN_ROWS`` distinct findings of each label, those with
-the smallest hashes, are used for training.
+the smallest hashes, are used for training, weighted so that labels keep the
+shares they have among all labelled findings; those of paths are of all, too.
 
 The dictionary and the letter pairs come from the words of all documents. The
 features of a candidate string are computed once, however often it occurs.
@@ -208,22 +209,26 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, seed: int = 7) -> D
     full = written(context_features(features(found, words)), "secret-features")
     labelled = full if findings is None else full.drop("label").join(findings.select("secret", "label").distinct(), "secret")
     # How often a path's labelled findings were secrets, smoothed towards the overall share.
-    train = written(training_rows(labelled.drop("path_rate")), "secret-training")
-    overall = train.agg(F.avg("label").alias("share"), F.min("label").alias("low"), F.max("label").alias("high")).first()
-    share = float(overall["share"] or 0.0)
-    rates = train.groupBy("path").agg(((F.sum("label") + 10 * share) / (F.count("*") + 10)).alias("path_rate"))
+    sizes = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+    share = float(sum(label * n for label, n in sizes.items()) / max(1, sum(sizes.values())))
+    rates = written(
+        labelled.groupBy("path").agg(((F.sum("label") + 10 * share) / (F.count("*") + 10)).alias("path_rate")), "secret-paths"
+    )
+    train = written(training_rows(labelled), "secret-training")
+    taken = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
 
     def with_rate(rows: DataFrame) -> DataFrame:
         small = rates.filter(F.col("path").isNotNull())
         return rows.join(small, "path", "left").withColumn("path_rate", F.coalesce("path_rate", F.lit(share)))
 
     keep = ["doc_id", "position", "secret", "label"]
-    if overall["low"] == overall["high"]:
+    if len(sizes) < 2:
         return full.select(*keep, F.lit(share).alias("score"))
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep")
-    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=seed, featuresCol="features", labelCol="label")
+    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=seed, featuresCol="features", labelCol="label", weightCol="weight")
     # Few, sorted rows: the same forest on every run.
-    ordered = with_rate(train).repartition(4, "secret").sortWithinPartitions("secret", "label")
+    weight = F.element_at(F.create_map(*[F.lit(float(x)) for label, n in sizes.items() for x in (label, n / taken[label])]), F.col("label").cast("double"))
+    ordered = with_rate(train).withColumn("weight", weight).repartition(4, "secret").sortWithinPartitions("secret", "label")
     model = forest.fit(assemble.transform(ordered))
     scored = model.transform(assemble.transform(with_rate(full)))
     return scored.select(*keep, F.element_at(vector_to_array("probability"), 2).alias("score"))
