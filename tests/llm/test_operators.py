@@ -340,6 +340,24 @@ def test_layout():
     assert visible_text("") == "" and visible_text("<p>open <b>bold") == "open bold" and visible_text("<div>" * 5000 + "deep") == "deep"
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<style>@media print{.n{display:none}}</style><p class=n>a<p>b", "a\n\nb"),
+        ("<style>@media (max-width:600px){.n{display:none} .o{color:red}} .p{display:none}</style><p class=n>a<p class=p>b", "a"),
+        ("<style>@media screen and (min-width:600px){.n{display:none}}</style><p class=n>a<p>b", "b"),
+        ("<style>@import url(x.css);.n{display:none}</style><p class=n>a<p>b", "b"),
+        ("<style>.m{display:none} .m{display:block}</style><p class=m>a", "a"),
+        ("<style>.m{display:none!important} .m{display:block}</style><p class=m>a<p>b", "b"),
+        ("<style>/* .m{display:none} */ .k{color:red}</style><p class=m>a", "a"),
+        ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math> holds", "so x=2 holds"),
+        ("<p>see <svg><title>no</title><rect width=1 /><g><text x=1>one</text><text>two</text></g><desc>no</desc></svg> end", "see one two end"),
+    ],
+)
+def test_visible_by_style_and_drawing(page, text):
+    assert visible_text(page) == text
+
+
 def test_empty_tables(empty):
     assert exact_dedup.exact_groups(empty).count() == 0
     assert mixing.taken_words(mixing.mix(empty)).count() == 0

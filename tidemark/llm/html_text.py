@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes noscript textarea title template".split())
 UNSEEN = frozenset(
-    "head script style template noscript iframe noembed noframes title meta link base object audio video canvas svg math datalist".split()
+    "head script style template noscript iframe noembed noframes title meta link base object audio video canvas datalist annotation annotation-xml mphantom".split()
 )
 PARAGRAPHS = frozenset(
     "p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure article section fieldset form address details hr menu".split()
@@ -55,13 +55,70 @@ TAG = re.compile(r"</?([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*+)")
 ATTRIBUTE = re.compile(r"([^\s=/>\"']++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>\"']++)))?+")
 HIDING = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
-RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+DECLARED = re.compile(r"(?:^|[;\s])(display|visibility)\s*:\s*([\w-]+)\s*(!\s*important)?", re.I)
+COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+PIECE = re.compile(r"[^{};]*+[{};]?")
+# The screen that media queries are judged by, in pixels.
+SCREEN = {"width": 1280.0, "height": 800.0}
+MEDIA = re.compile(r"\(\s*(min|max)-(width|height)\s*:\s*([\d.]+)(px|em|rem)\s*\)")
+# What SVG draws nothing of by itself.
+SVG_UNSEEN = frozenset("defs symbol clippath mask pattern marker desc metadata".split())
 SIMPLE = re.compile(r"[.#]?[\w-]+")
 GAPS = re.compile(r"[ \t\n\r\f]+")
+# Elements kept apart from their neighbours by a space.
+SPACED = frozenset(["td", "th", "button", "text", "mtd", "mtr"])
 # Tables nested deeper than this are rendered as plain blocks.
 TABLE_DEPTH = 40
 
 
+def on_screen(query: str) -> bool:
+    """Whether one query of a media list holds on the screen; one with features not known here does not."""
+    query = " ".join(query.lower().split())
+    if query.startswith("not "):
+        return query[4:].strip() in ("print", "speech")
+    for part in query.removeprefix("only ").split(" and "):
+        if part.strip() in ("all", "screen", ""):
+            continue
+        found = MEDIA.fullmatch(part.strip())
+        if not found:
+            return False
+        bound = float(found[3]) * (1 if found[4] == "px" else 16) if found[3].count(".") < 2 and found[3] != "." else 0.0
+        if SCREEN[found[2]] < bound if found[1] == "min" else SCREEN[found[2]] > bound:
+            return False
+    return True
+
+
+def applies(rule: str) -> bool:
+    """Whether the rules in an at-rule's block hold on a screen."""
+    name, _, rest = rule.strip().partition(" ")
+    if name.lower().startswith("@media"):
+        return any(on_screen(q) for q in (name[6:] + " " + rest).split(","))
+    return name.lower() == "@layer" or (name.lower() == "@supports" and "not" not in rest.lower().split())
+
+
+def sheet_rules(css: str) -> Iterator[tuple[str, str]]:
+    """Selectors and declarations of the rules that hold on a screen, in order."""
+    held: list[bool] = []  # of every open at-rule
+    selectors, body = None, ""
+    for piece in PIECE.findall(COMMENT.sub(" ", css)):
+        if selectors is not None:
+            body += piece.rstrip("}{")
+            if piece.endswith("}"):
+                if all(held):
+                    yield selectors, body
+                selectors, body = None, ""
+        elif piece.endswith("{"):
+            head = piece[:-1].strip()
+            if head.startswith("@"):
+                held.append(applies(head))
+            else:
+                selectors = head
+        elif piece.endswith("}") and held:
+            held.pop()
+    if selectors is not None and all(held):
+        yield selectors, body  # the sheet ends in a rule
+
+
 class Node:
     __slots__ = ("attributes", "children", "tag")
 
@@ -83,6 +140,8 @@ class TreeBuilder:
         self.root = Node("html", {})
         self.open = [self.root]
         self.hidden: set[str] = set()
+        self.declared: dict[tuple[str, str], tuple[bool, bool]] = {}
+        self.foreign = False
 
     def add(self, item: Node | str) -> None:
         """Put text or an element in place; what may not stand in a table goes before it."""
@@ -106,7 +165,16 @@ class TreeBuilder:
             if self.open[k].tag in stop:
                 return
 
-    def start(self, tag: str, attributes: dict[str, str]) -> None:
+    def in_foreign(self) -> bool:
+        """Whether the place is in svg or math, where a tag may close itself."""
+        for node in reversed(self.open):
+            if node.tag in ("svg", "math"):
+                return True
+            if node.tag == "foreignobject":
+                return False
+        return False
+
+    def start(self, tag: str, attributes: dict[str, str], closed: bool = False) -> None:
         if tag == "html":
             for name, value in attributes.items():
                 self.root.attributes.setdefault(name, value)
@@ -121,7 +189,8 @@ class TreeBuilder:
                 self.pop_to(tags, stop)
         node = Node(tag, attributes)
         self.add(node)
-        if tag not in VOID:
+        self.foreign |= tag in ("svg", "math")
+        if tag not in VOID and not closed:
             self.open.append(node)
 
     def end(self, tag: str) -> None:
@@ -167,12 +236,29 @@ class TreeBuilder:
             if page[at + 1] == "/":
                 self.end(tag)
             else:
-                self.start(tag, attributes_of(source) if source else {})
-                if tag in RAW:
+                closed = source.endswith("/") and (tag in ("svg", "math") or (self.foreign and self.in_foreign()))
+                self.start(tag, attributes_of(source) if source else {}, closed)
+                if tag in RAW and not closed:
                     after = self.raw(page, tag, after)
             at = after
         return self.root
 
+    def style(self, css: str, media: str) -> None:
+        """Take a style sheet: of one selector's declarations of a property the last holds, important ones before others."""
+        if not any(on_screen(q) for q in media.split(",")):
+            return
+        for selectors, body in sheet_rules(css):
+            found = DECLARED.findall(body)
+            for selector in selectors.split(",") if found else ():
+                selector = selector.strip().lower()
+                if not SIMPLE.fullmatch(selector):
+                    continue
+                for name, value, important in found:
+                    key = (selector, name.lower())
+                    if important or not self.declared.get(key, (False, False))[1]:
+                        self.declared[key] = (value.lower() in ("none", "hidden", "collapse"), bool(important))
+        self.hidden = {selector for (selector, _), (hides, _) in self.declared.items() if hides}
+
     def raw(self, page: str, tag: str, at: int) -> int:
         """Take the text up to the end tag as it is; return where it ends."""
         found = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
@@ -181,9 +267,7 @@ class TreeBuilder:
         if tag in ("textarea", "title"):
             text = html.unescape(text)
         if tag == "style":
-            for selectors, body in RULE.findall(text):
-                if HIDING.search(body):
-                    self.hidden.update(s.strip().lower() for s in selectors.split(",") if SIMPLE.fullmatch(s.strip()))
+            self.style(text, self.open[-1].attributes.get("media", ""))
         if text:
             self.open[-1].children.append(text)
         self.open.pop()
@@ -207,6 +291,22 @@ def shown(node: Node, hidden: set[str]) -> bool:
     return True
 
 
+def svg_text(root: Node, hidden: set[str]) -> list[Node]:
+    """What an SVG drawing shows as text: its text elements and HTML parts."""
+    found, todo = [], list(reversed(root.children))
+    while todo:
+        node = todo.pop()
+        if isinstance(node, str) or node.tag in SVG_UNSEEN or not shown(node, hidden):
+            continue
+        if node.attributes.get("display") == "none" or node.attributes.get("visibility") in ("hidden", "collapse"):
+            continue
+        if node.tag in ("text", "foreignobject"):
+            found.append(node)
+        else:
+            todo += reversed(node.children)
+    return found
+
+
 def width(text: str) -> int:
     """Columns that a line takes."""
     if text.isascii():
@@ -287,6 +387,8 @@ class Renderer:
                 self.flush(2)
                 continue
             children = item.children
+            if tag == "svg":
+                children = svg_text(item, self.hidden)
             if tag == "details" and "open" not in item.attributes:
                 children = [c for c in children if isinstance(c, Node) and c.tag == "summary"]
             gap = 2 if tag in PARAGRAPHS and not (tag in ("ul", "ol", "menu") and lists) else 1 if tag in BLOCKS else 0
@@ -305,7 +407,7 @@ class Renderer:
                 self.indent += "  "
             elif tag in ("pre", "textarea"):
                 pre += 1
-            elif tag in ("td", "th", "button"):
+            elif tag in SPACED:
                 self.text(" ", False)
 
             def leave(tag=tag, gap=gap, before=before):
@@ -318,7 +420,7 @@ class Renderer:
                     pre -= 1
                 elif tag == "li":
                     self.marker = ""
-                elif tag in ("td", "th", "button"):
+                elif tag in SPACED:
                     self.text(" ", False)
                 self.indent = before
 
