@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    bpe,
     exact_dedup,
     fingerprints,
     html_text,
@@ -174,3 +175,10 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without passages of 13 words and more that a smaller id has."""
     return substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token ids and what they decode to, as digests."""
+    tokens = bpe.decoded(bpe.encoded(table(spark, sf_dir, "documents"), TOKENIZER), TOKENIZER)
+    return tokens.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
