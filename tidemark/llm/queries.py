@@ -18,6 +18,8 @@ from tidemark.llm import (
     secret_scan,
     sharding,
     substring_dedup,
+    vector_codes,
+    whitening,
 )
 
 QUERIES = {}
@@ -182,3 +184,17 @@ def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token ids and what they decode to, as digests."""
     tokens = bpe.decoded(bpe.encoded(table(spark, sf_dir, "documents"), TOKENIZER), TOKENIZER)
     return tokens.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query()
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all embeddings with their errors, by codebooks of 256 entries fitted in four rounds."""
+    codes, books = vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+    digest = F.lit(vector_codes.books_digest(books)).alias("codebooks_sha256")
+    return vector_codes.with_label_errors(codes).select("vec_id", "code", "error", "label_error", digest)
+
+
+@query()
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on the 16 strongest components of the distinct ones, each of variance one."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
