@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 from decimal import Decimal as D
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_TINY
-from tidemark.operators import dedup, merge, snapshot
+from tidemark.operators import aggregates, dedup, merge, snapshot
 from tidemark.plans import daily_batch, inputs
 from tidemark.schemas import FACT_COLUMNS, STAGE_COLUMNS, conform, schema_of
 from tidemark.session import fresh_path, written
@@ -88,10 +90,106 @@ def test_merge_prunes_months_by_the_touched_ones(spark):
     path = fresh_path(spark, "t")
     fact_table.merge_into_fact(spark, path, sale(spark, 1, "1"), NOW, "a")
     months = written(sale(spark, 1, "1").select(*fact_table.PARTITION_BY), "months")
-    plan = fact_table.in_months(fact_table.read_fact(spark, path), months)
+    plan = fact_table.in_cells(fact_table.read_fact(spark, path), months)
     assert "dynamicpruning" in plan._jdf.queryExecution().executedPlan().toString()
 
 
+def rows_of(daily):
+    return sorted(map(str, daily.drop("_aggregated_at").collect()))
+
+
+def files_of(spark, path):
+    """Data files of a table below ``path`` by name."""
+    root = path.removeprefix("file:")
+    return {str(f.relative_to(root)): f.stat().st_mtime_ns for f in Path(root).rglob("*.parquet")}
+
+
+def many(spark, ids, month=1, total="1", time=1):
+    return staged(spark, [(i, day(month, 1 + i % 20), total, False, day(1, time), i) for i in ids])
+
+
+def test_small_merge_rewrites_its_buckets_only(spark):
+    path = fresh_path(spark, "t")
+    first = many(spark, range(400), 1).unionByName(many(spark, range(400, 800), 2))
+    fact_table.merge_into_fact(spark, path, first, NOW, "a", buckets=16)
+    before = files_of(spark, path)
+    fact_table.merge_into_fact(spark, path, many(spark, [7], 1, "9", 2), NOW, "b", buckets=3)  # a table keeps its own number
+    after = files_of(spark, path)
+    assert fact_table.table_buckets(spark, path) == 16
+    gone = {name.rsplit("/", 1)[0] for name in before if after.get(name) != before[name]}
+    assert len(gone) == 1 and gone.pop().startswith("sale_year=2024/sale_month=1/key_bucket=")
+    got = state(fact_table.read_fact(spark, path))
+    assert len(got) == 800 and got[7] == (1, D("9.00")) and got[407] == (2, D("1.00"))
+
+
+def test_search_for_changed_keys_skips_other_buckets(spark):
+    path = fresh_path(spark, "t")
+    fact_table.merge_into_fact(spark, path, many(spark, range(400)), NOW, "a", buckets=16)
+    stored = spark.read.schema("sale_id long, sale_year int, sale_month int, key_bucket int").parquet(path)
+    changes = written(fact_table.with_bucket(many(spark, [3], 1), 16), "changes")
+    found = fact_table.touched_cells(stored, changes, 16)
+    assert found.count() == 1
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "ReadSchema: struct<sale_id:bigint>" in plan
+
+
+def test_bucketed_stream_moves_and_empties(spark):
+    path = fresh_path(spark, "t")
+    for i, change in enumerate(EVENTS):
+        fact_table.merge_into_fact(spark, path, staged(spark, [change]), NOW, str(i), newest_only=True, buckets=3, daily=True)
+    table = fact_table.read_fact(spark, path, fact_table.TOMBSTONE_FACT_COLUMNS)
+    live = merge.live_rows(table)
+    assert state(live) == {1: (1, D("2.00")), 3: (2, D("6.00"))}
+    assert rows_of(fact_table.read_daily(spark, path)) == rows_of(aggregates.daily_sales(live.select(*FACT_COLUMNS), NOW))
+
+
+def test_kept_tables_follow_interrupted_merges(spark, monkeypatch):
+    path = fresh_path(spark, "t")
+    fact_table.merge_into_fact(spark, path, many(spark, range(20)), NOW, "a")
+    keep = {"daily": True, "history": True}
+    fact_table.merge_into_fact(spark, path, many(spark, [1, 2, 30], 2, "5", 3), NOW, "b", **keep)
+    with monkeypatch.context() as patch:
+        patch.setattr(fact_table, "_publish", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            fact_table.merge_into_fact(spark, path, staged(spark, [(1, None, None, True, day(4, 1), 9), (2, day(3, 1), "7", False, day(4, 1), 9)]), NOW, "c", **keep)
+    with pytest.raises(ValueError):
+        fact_table.merge_into_fact(spark, path, many(spark, [3]), NOW, "d")
+    fact_table.merge_into_fact(spark, path, many(spark, [31, 1], 4, "2", 5), NOW, "e", **keep)
+    fact = fact_table.read_fact(spark, path)
+    assert state(fact)[2] == (3, D("7.00")) and state(fact)[1] == (4, D("2.00"))
+    assert rows_of(fact_table.read_daily(spark, path)) == rows_of(aggregates.daily_sales(fact, NOW))
+    history = fact_table.read_history(spark, path)
+    open_ones = history.filter("dbt_valid_to IS NULL")
+    assert {(r.sale_id, r.updated_at) for r in open_ones.collect()} == {(r.sale_id, r.updated_at) for r in fact.collect()}
+    versions = [(r.updated_at, r.dbt_valid_to) for r in history.filter("sale_id = 1").orderBy("dbt_valid_from").collect()]
+    assert versions == [(day(1, 1), day(1, 3)), (day(1, 3), NOW), (day(1, 5), None)]
+
+
+def test_history_gets_changed_keys_only(spark):
+    path = fresh_path(spark, "t")
+    for run_id in ("a", "b"):
+        fact_table.merge_into_fact(spark, path, many(spark, range(50)), NOW, run_id, history=True)
+    assert fact_table.read_history(spark, path).count() == 50
+    before = files_of(spark, f"{path}__history")
+    fact_table.merge_into_fact(spark, path, many(spark, [4], 1, "2", 7), NOW, "c", history=True)
+    after = files_of(spark, f"{path}__history")
+    assert all(after[name] == stamp for name, stamp in before.items())
+    opened, closed = fact_table._log(spark, path)
+    assert opened.filter("run LIKE 'c--%'").count() == closed.filter("run LIKE 'c--%'").count() == 1
+
+
+def test_kept_tables_read_changed_rows_only(spark):
+    path = fresh_path(spark, "t")
+    fact_table.merge_into_fact(spark, path, many(spark, range(50)), NOW, "a", daily=True)
+    fact_table.merge_into_fact(spark, path, many(spark, [4], 1, "2", 7), NOW, "b", daily=True)
+    runs = fact_table._attempts(spark, f"{fact_table.shared_dir(spark)}/tidemark/merge/{fact_table.hashlib.md5(path.encode()).hexdigest()}")
+    staged_rows = fact_table._staged(spark, runs[0], schema_of(FACT_COLUMNS))
+    images = merge.signed_images(staged_rows.filter("_changed"), ["sale_id", "total_amount"])
+    assert sorted((r._sign, r.sale_id, r.total_amount) for r in images.collect()) == [(-1, 4, D("1.00")), (1, 4, D("2.00"))]
+    plan = images._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[isnotnull\(_changed#\d+\), _changed#\d+\]", plan)
+
+
 def test_failures_of_other_runs_stay_and_empty_reruns_clear(spark):
     path = fresh_path(spark, "f")
     rows = spark.createDataFrame([("bad", 1), ("worse", 2)], "validation_failure_reason string, v int")
@@ -203,8 +301,10 @@ def test_daily_batch(spark):
     assert {r.status for r in results[-1].tests.collect()} == {"pass"}
     fact = fact_table.read_fact(spark, warehouse.path("fact"))
     assert fact.count() == fact.select("sale_id").distinct().count() > 100
-    history = daily_batch.newest_history(spark, warehouse.path("history"))
+    history = fact_table.read_history(spark, warehouse.path("fact"))
     assert history.filter("dbt_valid_to is null").count() == fact.count()
+    kept, rebuilt = fact_table.read_daily(spark, warehouse.path("fact")), aggregates.daily_sales(fact, NOW)
+    assert rows_of(kept) == rows_of(rebuilt)
     stopped = daily_batch.run_daily_batch(spark, sources, warehouse, dt.date(2001, 9, 2), labels, min_records=10**9)
     assert not stopped.loaded and "too few" in stopped.decision.first().failure_reason
     assert FACT_COLUMNS == fact.columns

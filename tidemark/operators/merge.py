@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from tidemark.schemas import INSERT_ONLY_COLUMNS
 
 ACTION = "_merge_action"
+# The stored row that an update or a delete met, and whether an image of a row is taken from a table or added to it.
+BEFORE, SIGN = "_before", "_sign"
 POSITION = ("_cdc_source_ts", "_kafka_offset")
 _OLD, _NEW = "old__", "new__"
 
@@ -83,6 +85,7 @@ def merge_changes(
     insert_only: Sequence[str] = tuple(INSERT_ONLY_COLUMNS),
     deleted: str | None = "is_deleted",
     policy: str = "ignore",
+    before: bool = False,
 ) -> DataFrame:
     """Every row of either side with what happens to it in ``_merge_action``.
 
@@ -90,6 +93,7 @@ def merge_changes(
     stored) and ``skip`` (a delete of a key that is not stored); ``merged``
     reduces this to the new table. An update takes all columns from the change
     except ``insert_only``; the audit stamps, where present, become ``as_of``.
+    With ``before``, rows that are updated or deleted carry what was stored.
     """
     if deleted is not None and deleted not in target.columns:
         columns = merged_columns(target, changes.drop(deleted), policy)
@@ -121,7 +125,25 @@ def merge_changes(
         else:
             value = F.when(written, new).otherwise(old)
         result.append(value.alias(name))
-    return matched.select(*result, ACTION)
+    return matched.select(*result, ACTION, *_images(target, before))
+
+
+def _images(target: DataFrame, wanted: bool) -> list[Column]:
+    """What an update or a delete met, as a struct of the table's columns."""
+    if not wanted:
+        return []
+    stored = F.struct(*[F.col(_OLD + name).alias(name) for name in target.columns])
+    return [F.when(F.col(ACTION).isin("update", "delete"), stored).alias(BEFORE)]
+
+
+def signed_images(actions: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """What a merge takes from a table (sign -1) and adds to it (sign 1), from actions that carry ``before``.
+
+    Rows that stay as they are have no images. One pass, no shuffle.
+    """
+    after = F.when(F.col(ACTION).isin("insert", "update"), F.struct(*columns, F.lit(1).alias(SIGN)))
+    before = F.when(F.col(BEFORE).isNotNull(), F.struct(*[F.col(BEFORE)[name].alias(name) for name in columns], F.lit(-1).alias(SIGN)))
+    return actions.select(F.inline(F.filter(F.array(before, after), lambda image: image.isNotNull())))
 
 
 def merged(actions: DataFrame) -> DataFrame:
@@ -164,6 +186,7 @@ def merge_newest(
     insert_only: Sequence[str] = tuple(INSERT_ONLY_COLUMNS),
     deleted: str = "is_deleted",
     position: Sequence[str] = POSITION,
+    before: bool = False,
 ) -> DataFrame:
     """Merge in which a change acts only if it is later than the stored row.
 
@@ -211,7 +234,7 @@ def merge_newest(
         else:
             value = F.when(kept | buried, old).otherwise(new)
         result.append(value.alias(name))
-    return matched.select(*result, ACTION)
+    return matched.select(*result, ACTION, *_images(target, before))
 
 
 def live_rows(table: DataFrame, deleted: str = "is_deleted") -> DataFrame:

@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import batch_window
-from tidemark.operators import aggregates, enrich, gate, quality, snapshot, staging
+from tidemark.operators import aggregates, enrich, gate, quality, staging
 from tidemark.operators.dedup import latest_change_per_key
-from tidemark.schemas import EXTRACT_COLUMNS, FACT_COLUMNS, MIN_RECORD_COUNT, STAGE_COLUMNS, conform, schema_of
+from tidemark.schemas import EXTRACT_COLUMNS, MIN_RECORD_COUNT, STAGE_COLUMNS, conform, schema_of
 from tidemark.session import written
 from tidemark.sinks import csv_export, fact_table, partitions
 from tidemark.sources import extract, files
@@ -27,9 +27,10 @@ EXPORT_COLUMNS = [name for name in STAGE_COLUMNS if name != "_kafka_offset"]
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Where the tables of one warehouse lie."""
+    """Where the tables of one warehouse lie, and how many key buckets its fact gets."""
 
     root: str
+    buckets: int = 1
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -87,7 +88,9 @@ def run_daily_batch(
 
     changes = latest_change_per_key(staged)
     fact_path = warehouse.path("fact")
-    tally = fact_table.merge_into_fact(spark, fact_path, changes, loaded_at, f"batch-{batch_id}")
+    tally = fact_table.merge_into_fact(
+        spark, fact_path, changes, loaded_at, f"batch-{batch_id}", buckets=warehouse.buckets, daily=True, history=True
+    )
     fact = fact_table.read_fact(spark, fact_path)
     tests = build_models(spark, fact, warehouse, loaded_at, list(labels.values()))
     verification = verify_load(changes, fact, batch_id)
@@ -104,11 +107,9 @@ def _slice(spark: SparkSession, path: str, columns: list[str], batch_id: str) ->
 def build_models(
     spark: SparkSession, fact: DataFrame, warehouse: Warehouse, as_of: dt.datetime, regions: list[str]
 ) -> DataFrame:
-    """Rebuild dimensions and daily aggregate, extend the history, test the fact."""
+    """Rebuild the dimensions and test the fact; daily KPIs and history are kept by the merge."""
     partitions.rebuild(aggregates.dim_regions(fact, as_of), warehouse.path("dim_regions"))
     partitions.rebuild(aggregates.dim_stores(fact, as_of), warehouse.path("dim_stores"))
-    partitions.rebuild(aggregates.daily_sales(fact, as_of), warehouse.path("daily_sales"))
-    _extend_history(spark, fact, warehouse.path("history"), as_of)
     stores = spark.read.parquet(warehouse.path("dim_stores"))
     rows = [
         *[quality.not_null(name) for name in ("sale_id", "customer_id", "store_id", "sale_date", "region")],
@@ -118,30 +119,6 @@ def build_models(
     return quality.run_tests(fact, rows, [("sale_id", quality.ERROR)], [("store_id", stores, quality.WARN)])
 
 
-def _extend_history(spark: SparkSession, fact: DataFrame, path: str, as_of: dt.datetime) -> None:
-    """Each run stores the history anew under its day; readers take the newest."""
-    runs = f"{path}/as_of={as_of.date().isoformat()}"
-    earlier = newest_history(spark, path, before=as_of)
-    history = snapshot.first_snapshot(fact) if earlier is None else snapshot.take_snapshot(earlier, fact, as_of)
-    partitions.rebuild(history, runs)
-
-
-def newest_history(spark: SparkSession, path: str, before: dt.datetime | None = None) -> DataFrame | None:
-    """The history as of its latest run, optionally before a given one."""
-    if not fact_table.exists(spark, path):
-        return None
-    versions = schema_of(FACT_COLUMNS)
-    for name, kind in (("dbt_scd_id", "string"), ("dbt_valid_from", "timestamp_ntz")):
-        versions = versions.add(name, kind)
-    for name in ("dbt_valid_to", "dbt_updated_at"):
-        versions = versions.add(name, "timestamp_ntz")
-    stored = spark.read.schema(versions.add("as_of", "date")).parquet(path)
-    if before is not None:
-        stored = stored.filter(F.col("as_of") < F.lit(before.date()))
-    newest = stored.agg(F.max("as_of").alias("as_of")).first().as_of
-    return None if newest is None else stored.filter(F.col("as_of") == F.lit(newest)).drop("as_of")
-
-
 def verify_load(changes: DataFrame, fact: DataFrame, batch_id: str) -> DataFrame:
     """Expected against loaded rows and duplicate keys of one batch."""
     expected = changes.agg(F.count_if(~F.col("is_deleted")).alias("expected_count"))

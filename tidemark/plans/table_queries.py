@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import aggregates, incremental, merge, snapshot, staging
+from tidemark.operators import aggregates, enrich, incremental, merge, snapshot, staging
 from tidemark.operators.enrich import quarantined
 from tidemark.plans import inputs
 from tidemark.plans.oracle import AS_OF, DATA_LIST, UPDATED_LIST, daily, sql
@@ -66,6 +66,52 @@ def replayed_batch(spark: SparkSession, sf: str) -> DataFrame:
     return fact_table.read_fact(spark, path)
 
 
+@query(sql("merged", "SELECT * FROM merged"))
+def merge_bucketed_fact(spark: SparkSession, sf: str) -> DataFrame:
+    """Merge into a table that is partitioned by month and key bucket."""
+    path = fresh_path(spark, "fact")
+    fact_table.write_fact(inputs.old_fact(spark, sf), path, buckets=4)
+    fact_table.merge_into_fact(spark, path, inputs.changes(spark, sf), inputs.AS_OF, "run-1")
+    return fact_table.read_fact(spark, path)
+
+
+_CORRECTED = """corrected AS (
+  SELECT * REPLACE (CASE WHEN payment_method = 'cash' AND quantity >= 40 THEN sale_date + INTERVAL 1 DAY ELSE sale_date END AS sale_date,
+    CASE WHEN payment_method = 'cash' AND quantity >= 40 THEN 'EUROPE' ELSE region END AS region)
+  FROM merged WHERE NOT (payment_method = 'credit' AND quantity <= 2))"""
+
+
+def _corrections(fact: DataFrame) -> DataFrame:
+    """Large cash sales turn out to be of the next day and of Europe, the smallest credit sales are cancelled."""
+    moved = (F.col("payment_method") == "cash") & (F.col("quantity") >= 40)
+    gone = (F.col("payment_method") == "credit") & (F.col("quantity") <= 2)
+    day = F.when(moved, F.col("sale_date") + F.make_dt_interval(F.lit(1))).otherwise(F.col("sale_date"))
+    rows = fact.filter(F.coalesce(moved | gone, F.lit(False))).withColumns(
+        {"is_deleted": gone, "sale_date": day, "region": F.when(moved, "EUROPE").otherwise(F.col("region"))}
+    )
+    return enrich.derive_date_parts(rows)
+
+
+def _merged_three_times(spark: SparkSession, sf: str, **options) -> str:
+    """The first load, the later changes and corrections, each merged; where the table lies."""
+    path = fresh_path(spark, "fact")
+    fact_table.merge_into_fact(spark, path, inputs.old_fact(spark, sf), inputs.CUT, "batch-1", **options)
+    fact_table.merge_into_fact(spark, path, inputs.changes(spark, sf), inputs.AS_OF, "batch-2", **options)
+    corrections = written(_corrections(fact_table.read_fact(spark, path)), "corrections")
+    fact_table.merge_into_fact(spark, path, corrections, inputs.AS_OF, "batch-3", **options)
+    return path
+
+
+@query(
+    sql("merged", "SELECT 1").removesuffix("\nSELECT 1")
+    + f",\n{_CORRECTED}\nSELECT * EXCLUDE (_aggregated_at) FROM ({daily('corrected')}) d"
+)
+def stored_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily KPIs kept beside the fact through three merges, with sales that move and sales that go."""
+    path = _merged_three_times(spark, sf, daily=True)
+    return fact_table.read_daily(spark, path).drop("_aggregated_at")
+
+
 _UPSERTED = f"""SELECT coalesce(o.sale_id, n.sale_id) AS sale_id, coalesce(o.created_at, n.created_at) AS created_at,
   {', '.join(f'CASE WHEN n.sale_id IS NULL THEN o.{c} ELSE n.{c} END AS {c}' for c in UPDATED_LIST)},
   coalesce(o._row_inserted_at, {AS_OF}) AS _row_inserted_at,
@@ -211,6 +257,15 @@ def scd2_hard_deletes(spark: SparkSession, sf: str) -> DataFrame:
     return _snapshots(spark, sf, invalidate_hard_deletes=False)
 
 
+@query(sql("merged", _history(AS_OF)))
+def stored_history(spark: SparkSession, sf: str) -> DataFrame:
+    """The version history kept beside the fact: only changed keys are ever written."""
+    path = fresh_path(spark, "fact")
+    fact_table.write_fact(inputs.old_fact(spark, sf), path)
+    fact_table.merge_into_fact(spark, path, inputs.changes(spark, sf), inputs.AS_OF, "run-1", history=True)
+    return fact_table.read_history(spark, path)
+
+
 _CHANGED = "(o.total_amount IS DISTINCT FROM m.total_amount OR o.store_id IS DISTINCT FROM m.store_id)"
 
 

@@ -2,10 +2,20 @@
 
 A merge rewrites only partitions it touches:
 
-1. locate: which months hold a changed key now, and which will after the merge
-2. merge those months with the changes, into the folder of this attempt
+1. locate: which partitions hold a changed key now, and which will after the merge
+2. merge those partitions with the changes, into the folder of this attempt
 3. publish that folder over the table with dynamic partition overwrite, and
-   drop touched months that have no rows left
+   drop touched partitions that have no rows left
+
+A table may also be partitioned by a hash of its key (``buckets``). Then locating
+reads the key column of the buckets that changes fall into and no other, and
+only those buckets of a touched month are rewritten: a small batch costs what
+it changes. The number of buckets is the table's own and is found in its folder.
+
+Two kinds of tables can be kept beside a fact from its merges alone, without
+reading the fact again: daily KPIs (``daily``) and the version history
+(``history``). What changes in them is staged with the merge and published with
+it, so they never tell another story than the fact.
 
 Every attempt has a folder of its own on shared storage, marked once it is
 complete and once it is published. An attempt that died during step 3 is
@@ -23,9 +33,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
-from tidemark.operators.merge import ACTION, merge_changes, merge_newest, merge_tally
+from tidemark.operators import daily_state, version_log
+from tidemark.operators.merge import ACTION, BEFORE, SIGN, live_rows, merge_changes, merge_newest, merge_tally, signed_images
 from tidemark.schemas import FACT_COLUMNS, schema_of
 from tidemark.session import shared_dir, written
 
@@ -33,6 +44,12 @@ PARTITION_BY = ["sale_year", "sale_month"]
 CLUSTER_BY = ["sale_date", "region"]
 # Markers in the folder of an attempt, and what parts its run id from the rest of its name.
 STAGED, PUBLISHED, SEPARATOR = "_STAGED", "_PUBLISHED", "--"
+# Marker of a kept table that has been filled.
+FILLED = "_FILLED"
+# The partition column of a bucketed table, and the marker in its folder that says how many buckets it has.
+KEY_BUCKET, BUCKETS = "key_bucket", "_buckets-"
+# Partition of an attempt that holds the rows that a merge changes.
+CHANGED = "_changed"
 TOMBSTONE_FACT_COLUMNS = [*FACT_COLUMNS, "is_deleted", "_kafka_offset"]
 
 
@@ -57,21 +74,53 @@ def _month() -> Column:
     return F.coalesce(F.col("sale_year") * 100 + F.col("sale_month"), F.lit(-1))
 
 
-def write_fact(fact: DataFrame, path: str) -> None:
+def table_buckets(spark: SparkSession, path: str) -> int:
+    """How many key buckets a table has, 1 if it is not bucketed."""
+    fs, hadoop_path = _fs(spark, path)
+    if not fs.exists(hadoop_path):
+        return 1
+    names = [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+    return max([int(name.removeprefix(BUCKETS)) for name in names if name.startswith(BUCKETS)], default=1)
+
+
+def cell_columns(buckets: int) -> list[str]:
+    """The partition columns of a table."""
+    return [*PARTITION_BY, KEY_BUCKET] if buckets > 1 else list(PARTITION_BY)
+
+
+def with_bucket(df: DataFrame, buckets: int, keys: Sequence[str] = ("sale_id",)) -> DataFrame:
+    """``df`` with the bucket of its key, unchanged for a table that has none."""
+    return df.withColumn(KEY_BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")) if buckets > 1 else df
+
+
+def _cell(buckets: int) -> Column:
+    """A partition as one number."""
+    return _month() * F.lit(buckets).cast("bigint") + F.col(KEY_BUCKET) if buckets > 1 else _month()
+
+
+def _create(spark: SparkSession, path: str, buckets: int) -> None:
+    """Empty the folder of a table and note its buckets, before any row is there."""
+    _drop_folder(spark, path)
+    if buckets > 1:
+        _mark(spark, f"{path}/{BUCKETS}{buckets}")
+
+
+def write_fact(fact: DataFrame, path: str, buckets: int = 1, keys: Sequence[str] = ("sale_id",)) -> None:
     """Write a whole fact table.
 
     Ranges end in the sale id, so a month, day or region with a large share of
     the rows is spread over several tasks; rows of a file are ordered by day
-    and region, which keeps row-group statistics narrow.
+    and region, which keeps row-group statistics narrow. With buckets, choose
+    as many as make a month's bucket a few hundred megabytes.
     """
-    ordered = [*PARTITION_BY, *CLUSTER_BY, "sale_id"]
-    (
-        fact.repartitionByRange(*ordered)
-        .sortWithinPartitions(*ordered)
-        .write.mode("overwrite")
-        .partitionBy(*PARTITION_BY)
-        .parquet(path)
-    )
+    spark = fact.sparkSession
+    ordered = [*cell_columns(buckets), *CLUSTER_BY, "sale_id"]
+    ready = with_bucket(fact, buckets, keys).repartitionByRange(*ordered).sortWithinPartitions(*ordered)
+    if buckets == 1 and table_buckets(spark, path) == 1:
+        ready.write.mode("overwrite").partitionBy(*PARTITION_BY).parquet(path)
+        return
+    _create(spark, path, buckets)
+    ready.write.mode("append").partitionBy(*cell_columns(buckets)).parquet(path)
 
 
 def read_fact(spark: SparkSession, path: str, columns: Sequence[str] = tuple(FACT_COLUMNS)) -> DataFrame:
@@ -79,19 +128,54 @@ def read_fact(spark: SparkSession, path: str, columns: Sequence[str] = tuple(FAC
     return spark.read.schema(schema_of(list(columns))).parquet(path).select(*columns)
 
 
-def touched_months(target: DataFrame, changes: DataFrame, keys: Sequence[str] = ("sale_id",)) -> DataFrame:
-    """Months that hold a changed key, before or after the merge.
+def read_daily(spark: SparkSession, path: str) -> DataFrame:
+    """The daily KPIs kept beside the fact table at ``path``."""
+    stored = spark.read.schema(daily_state.DAILY_DDL).parquet(f"{_daily_path(path)}/kpis")
+    return stored.select(*daily_state.DAILY_COLUMNS)
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """Every version kept beside the fact table at ``path``, with its validity."""
+    return version_log.versions_with_ends(*_log(spark, path))
+
+
+def _daily_path(path: str) -> str:
+    return f"{path}__daily"
+
+
+def _history_path(path: str) -> str:
+    return f"{path}__history"
 
-    Scans the key column of the table only.
+
+def _log(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Opened versions and closures of a table's history."""
+    root = _history_path(path)
+    opened = spark.read.schema(version_log.opened_schema(schema_of(FACT_COLUMNS))).parquet(f"{root}/opened")
+    closed = spark.read.schema(version_log.CLOSED_DDL).parquet(f"{root}/closed")
+    return opened, closed
+
+
+def touched_cells(target: DataFrame, changes: DataFrame, buckets: int = 1, keys: Sequence[str] = ("sale_id",)) -> DataFrame:
+    """Partitions that hold a changed key, before or after the merge.
+
+    Scans the key column only, and of a bucketed table only the buckets that
+    the changes fall into: these are few values, so they reach the scan as a
+    partition filter however many keys there are.
     """
-    now = target.select(*keys, *PARTITION_BY).join(changes.select(*keys), on=list(keys), how="left_semi")
-    return now.select(*PARTITION_BY).unionByName(changes.select(*PARTITION_BY)).distinct()
+    cells = cell_columns(buckets)
+    if buckets > 1:
+        target = target.join(changes.select(KEY_BUCKET).filter(F.col(KEY_BUCKET) >= 0).distinct(), KEY_BUCKET, "left_semi")
+    now = target.select(*keys, *cells).join(changes.select(*keys), on=list(keys), how="left_semi")
+    return now.select(*cells).unionByName(changes.select(*cells)).distinct()
 
 
-def in_months(table: DataFrame, months: DataFrame) -> DataFrame:
-    """Rows of a table in given months; a join on the partition columns, so Spark prunes the scan by it."""
-    wanted = months.select(_month().alias("_wanted")).filter(F.col("_wanted") >= -1)
-    return table.join(wanted, _month() == F.col("_wanted"), "left_semi")
+def in_cells(table: DataFrame, cells: DataFrame, buckets: int = 1) -> DataFrame:
+    """Rows of a table in given partitions; a join on the partition columns, so Spark prunes the scan by it.
+
+    Every partition passes the comparison; Spark prunes by a side only if that is filtered.
+    """
+    wanted = cells.select(_cell(buckets).alias("_wanted")).filter(F.col("_wanted") >= -buckets)
+    return table.join(wanted, _cell(buckets) == F.col("_wanted"), "left_semi")
 
 
 def merge_into_fact(
@@ -103,6 +187,9 @@ def merge_into_fact(
     newest_only: bool = False,
     keys: Sequence[str] = ("sale_id",),
     once: bool = False,
+    buckets: int = 1,
+    daily: bool = False,
+    history: bool = False,
 ) -> DataFrame:
     """Merge one change per key into the table at ``path``; returns the tally row.
 
@@ -110,6 +197,13 @@ def merge_into_fact(
     ignored (see ``merge_newest``). A run id that comes again is merged again,
     into the table as it is now. With ``once`` it names the same changes each
     time, and if it was the last to be published only its tally is returned.
+
+    ``buckets`` is for a table that does not exist yet; others keep theirs.
+    ``daily`` and ``history`` keep the tables that ``read_daily`` and
+    ``read_history`` read. They are filled from the stored fact once if they
+    are new, and from then on every merge has to name them. A history counts a
+    version as changed if its ``updated_at`` is newer, and closes a deleted
+    key's version at ``as_of``.
     """
     columns = TOMBSTONE_FACT_COLUMNS if newest_only else FACT_COLUMNS
     schema = schema_of(columns)
@@ -122,8 +216,11 @@ def merge_into_fact(
         for attempt in earlier:
             if attempt.rsplit("/", 1)[-1].startswith(f"{run_id}{SEPARATOR}") and exists(spark, f"{attempt}/{PUBLISHED}"):
                 return written(merge_tally(_staged(spark, attempt, schema)), "tally")
+    for kept, root in ((daily, _daily_path(path)), (history, _history_path(path))):
+        if not kept and exists(spark, f"{root}/{FILLED}"):
+            raise ValueError(f"{root} is kept from the merges into {path}; this merge leaves it out")
     attempt = f"{runs}/{run_id}{SEPARATOR}{uuid.uuid4().hex}"
-    _stage_merge(spark, path, schema, changes, as_of, attempt, newest_only, keys)
+    _stage_merge(spark, path, schema, changes, as_of, attempt, newest_only, keys, buckets, daily, history)
     _publish(spark, path, attempt, schema, newest_only)
     for old in earlier:
         _drop_folder(spark, old)
@@ -144,8 +241,9 @@ def _mark(spark: SparkSession, path: str) -> None:
 
 
 def _staged(spark: SparkSession, attempt: str, schema: StructType) -> DataFrame:
-    with_action = StructType([*schema.fields, StructField(ACTION, StringType())])
-    return spark.read.schema(with_action).parquet(f"{attempt}/rows")
+    """What an attempt did with every row of the partitions it touches."""
+    more = [StructField(ACTION, StringType()), StructField(BEFORE, schema), StructField(CHANGED, BooleanType())]
+    return spark.read.schema(StructType([*schema.fields, *more])).parquet(f"{attempt}/rows")
 
 
 def _stage_merge(
@@ -157,46 +255,147 @@ def _stage_merge(
     attempt: str,
     newest_only: bool,
     keys: Sequence[str],
+    buckets: int,
+    daily: bool,
+    history: bool,
 ) -> None:
-    changes = written(changes, "changes")
     stored = exists(spark, path)
-    target = spark.read.schema(schema).parquet(path) if stored else spark.createDataFrame([], schema)
-    touched_months(target, changes, keys).write.parquet(f"{attempt}/months")
     if stored:
-        target = in_months(target, _months(spark, attempt))
+        buckets = table_buckets(spark, path)
+    elif buckets > 1:
+        _create(spark, path, buckets)
+    cells = cell_columns(buckets)
+    changes = written(with_bucket(changes, buckets, keys), "changes")
+    with_cells = StructType([*schema.fields, *[StructField(KEY_BUCKET, IntegerType()) for _ in cells[2:]]])
+    target = spark.read.schema(with_cells).parquet(path) if stored else spark.createDataFrame([], with_cells)
+    touched_cells(target, changes, buckets, keys).write.parquet(f"{attempt}/cells")
+    if stored:
+        target = in_cells(target, _cells(spark, attempt, "cells"), buckets)
     merge = merge_newest if newest_only else merge_changes
-    actions = merge(target, changes, as_of, keys=keys)
+    feeds = daily or history
+    actions = merge(target.select(*schema.names), changes, as_of, keys=keys, before=feeds)
+    # Rows that change lie in folders of their own, so that what is kept beside the table reads nothing else.
+    changed = F.lit(feeds) & F.col(ACTION).isin("insert", "update", "delete")
     (
-        actions.hint("rebalance", *PARTITION_BY)
-        .sortWithinPartitions(*PARTITION_BY, *CLUSTER_BY)
-        .write.partitionBy(*PARTITION_BY)
+        with_bucket(actions, buckets, keys)
+        .withColumn(CHANGED, changed)
+        .hint("rebalance", *cells)
+        .sortWithinPartitions(CHANGED, *cells, *CLUSTER_BY)
+        .write.partitionBy(CHANGED, *cells)
         .parquet(f"{attempt}/rows")
     )
+    if daily:
+        _stage_daily(spark, path, schema, as_of, attempt, newest_only, stored)
+    if history:
+        _stage_history(spark, path, schema, as_of, attempt, newest_only, keys, stored)
     _mark(spark, f"{attempt}/{STAGED}")
 
 
-def _months(spark: SparkSession, attempt: str) -> DataFrame:
-    return spark.read.schema(schema_of(PARTITION_BY)).parquet(f"{attempt}/months")
+def _live_fact(spark: SparkSession, path: str, schema: StructType, newest_only: bool) -> DataFrame:
+    fact = read_fact(spark, path, schema.names)
+    return live_rows(fact) if newest_only else fact
+
+
+def _stage_daily(
+    spark: SparkSession, path: str, schema: StructType, as_of: dt.datetime, attempt: str, newest_only: bool, stored: bool
+) -> None:
+    """Stage the months of state and KPIs that the attempt's changed rows touch."""
+    month, root = daily_state.MONTH, _daily_path(path)
+    if not exists(spark, f"{root}/{FILLED}"):
+        _drop_folder(spark, root)
+        if stored:
+            now = _live_fact(spark, path, schema, newest_only).withColumn(SIGN, F.lit(1))
+            _write_cells(daily_state.combined([daily_state.state_changes(now, as_of)]), f"{root}/state", [month])
+            first = spark.read.schema(daily_state.STATE_DDL).parquet(f"{root}/state")
+            _write_cells(daily_state.daily_of_state(first), f"{root}/kpis", [month])
+        _mark(spark, f"{root}/{FILLED}")
+    images = signed_images(_staged(spark, attempt, schema).filter(CHANGED), daily_state.SOURCE_COLUMNS)
+    change = written(daily_state.state_changes(images, as_of), "state-changes")
+    change.select(month).distinct().write.parquet(f"{attempt}/months")
+    states = [change]
+    if exists(spark, f"{root}/state"):
+        before = spark.read.schema(daily_state.STATE_DDL).parquet(f"{root}/state")
+        wanted = _cells(spark, attempt, "months", f"{month} int").select(F.coalesce(month, F.lit(-1)).alias("_wanted")).filter("_wanted >= -1")
+        states.append(before.join(wanted, F.coalesce(month, F.lit(-1)) == F.col("_wanted"), "left_semi"))
+    _write_cells(daily_state.combined([s.select(*states[0].columns) for s in states]), f"{attempt}/state", [month])
+    after = spark.read.schema(daily_state.STATE_DDL).parquet(f"{attempt}/state")
+    _write_cells(daily_state.daily_of_state(after), f"{attempt}/kpis", [month])
+
+
+def _stage_history(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    as_of: dt.datetime,
+    attempt: str,
+    newest_only: bool,
+    keys: Sequence[str],
+    stored: bool,
+) -> None:
+    """Stage the versions that the attempt's changed rows open and close."""
+    root, fact = _history_path(path), schema_of(FACT_COLUMNS)
+    if not exists(spark, f"{root}/{FILLED}"):
+        _drop_folder(spark, root)
+        now = _live_fact(spark, path, schema, newest_only).select(*fact.names) if stored else spark.createDataFrame([], fact)
+        version_log.first_versions(now).write.parquet(f"{root}/opened/run=first")
+        spark.createDataFrame([], version_log.CLOSED_DDL).drop("run").write.parquet(f"{root}/closed/run=first")
+        _mark(spark, f"{root}/{FILLED}")
+    changed = _staged(spark, attempt, schema).filter(CHANGED).select(*fact.names, ACTION)
+    pairs = written(version_log.with_open_versions(changed, *_log(spark, path), keys=keys), "open-versions")
+    version_log.opened(pairs, fact.names).write.parquet(f"{attempt}/opened")
+    version_log.closed(pairs, as_of).write.parquet(f"{attempt}/closed")
+
+
+def _write_cells(rows: DataFrame, path: str, by: Sequence[str]) -> None:
+    rows.hint("rebalance", *by).sortWithinPartitions(*by).write.partitionBy(*by).parquet(path)
+
+
+def _cells(spark: SparkSession, attempt: str, name: str, ddl: str | None = None) -> DataFrame:
+    """Touched partitions that an attempt has noted."""
+    return spark.read.schema(ddl or f"sale_year int, sale_month int, {KEY_BUCKET} int").parquet(f"{attempt}/{name}")
 
 
 def _publish(spark: SparkSession, path: str, attempt: str, schema: StructType, newest_only: bool) -> None:
-    staged = _staged(spark, attempt, schema)
+    """Put what an attempt has staged in its place. Everything is replaced whole, so doing it again changes nothing."""
+    buckets = table_buckets(spark, path)
+    cells = cell_columns(buckets)
+    staged = _staged(spark, attempt, StructType([*schema.fields, *[StructField(KEY_BUCKET, IntegerType()) for _ in cells[2:]]]))
     remaining = staged if newest_only else staged.filter(~F.col(ACTION).isin("delete", "skip"))
-    # The staged files hold a month each, so they are written on without a shuffle.
-    (
-        remaining.select(*schema.names)
-        .sortWithinPartitions(*PARTITION_BY, *CLUSTER_BY)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITION_BY)
-        .parquet(path)
-    )
-    # Dynamic overwrite leaves a partition alone that gets no rows; touched
-    # months whose last row was deleted or moved away have to go. One row per
-    # emptied month at most.
-    filled = remaining.select(_month().alias("month")).distinct()
-    emptied = _months(spark, attempt).withColumn("month", _month()).join(filled, on="month", how="left_anti")
-    for row in emptied.collect():
-        names = ["__HIVE_DEFAULT_PARTITION__" if v is None else v for v in (row.sale_year, row.sale_month)]
-        _drop_folder(spark, f"{path}/sale_year={names[0]}/sale_month={names[1]}")
+    remaining = remaining.select(*schema.names, *cells[2:])
+    # The staged files hold a partition each, so they are written on without a shuffle.
+    _overwrite(remaining.sortWithinPartitions(*cells, *CLUSTER_BY), path, cells)
+    _drop_emptied(spark, path, _cells(spark, attempt, "cells"), remaining, cells)
+    if exists(spark, f"{attempt}/kpis"):
+        months = _cells(spark, attempt, "months", f"{daily_state.MONTH} int")
+        for name, ddl in (("state", daily_state.STATE_DDL), ("kpis", daily_state.DAILY_DDL)):
+            _replace_cells(spark, f"{attempt}/{name}", ddl, f"{_daily_path(path)}/{name}", [daily_state.MONTH], months)
+    if exists(spark, f"{attempt}/closed"):
+        run = attempt.rsplit("/", 1)[-1]
+        for name in ("opened", "closed"):
+            rows = spark.read.parquet(f"{attempt}/{name}")
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{_history_path(path)}/{name}/run={run}")
     _mark(spark, f"{attempt}/{PUBLISHED}")
+
+
+def _overwrite(rows: DataFrame, path: str, by: Sequence[str]) -> None:
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
+def _replace_cells(spark: SparkSession, staged: str, ddl: str, path: str, by: Sequence[str], touched: DataFrame) -> None:
+    """Replace partitions of a table by staged ones, and drop touched ones that have no rows any more."""
+    rows = spark.read.schema(ddl).parquet(staged)
+    _overwrite(rows.sortWithinPartitions(*by), path, by)
+    _drop_emptied(spark, path, touched, rows, by)
+
+
+def _drop_emptied(spark: SparkSession, path: str, touched: DataFrame, rows: DataFrame, by: Sequence[str]) -> None:
+    """Drop touched partitions without rows: dynamic overwrite leaves them alone.
+
+    The driver gets one row per emptied partition.
+    """
+    same = F.concat_ws("/", *[F.coalesce(F.col(name).cast("string"), F.lit("-")) for name in by])
+    filled = rows.select(same.alias("_cell")).distinct()
+    emptied = touched.withColumn("_cell", same).join(filled, on="_cell", how="left_anti").select(*by)
+    for row in emptied.collect():
+        names = ["__HIVE_DEFAULT_PARTITION__" if v is None else v for v in row]
+        _drop_folder(spark, f"{path}/" + "/".join(f"{column}={name}" for column, name in zip(by, names, strict=True)))
