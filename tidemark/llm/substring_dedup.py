@@ -12,8 +12,10 @@ Every window of ``words`` consecutive words is an edge of a De Bruijn graph.
    coordinates, the path through the graph does not branch. Such fragments are
    joined end to start into paths.
 3. *Spans.* A path is a span of words with its source. The words of span and
-   source are compared by a digest of their own, which a 64-bit hash cannot
-   vouch for; a mismatch ends the job.
+   source are compared by a digest of their own, as a 64-bit hash cannot vouch
+   for them. A span that differs from its source is taken apart into windows,
+   and those that differ are dropped: they only share a hash. (Whether such a
+   window has yet another source is not asked, so it stays in.)
 4. *Removal.* Words of a document under its spans are removed.
 
 A window counts as repeated only if a document with a smaller id has it, all
@@ -47,8 +49,8 @@ FIELDS = [c.split()[0] for c in FRAGMENT.split(", ")]
 
 
 def tag_of(text: bytes) -> int:
-    """Tells texts of one id apart."""
-    return xxhash.xxh3_64_intdigest(text) & 0xFFFF
+    """Tells texts of one id apart: 63 bits of a hash, as a long of nought or more."""
+    return xxhash.xxh3_64_intdigest(text) >> 1
 
 
 def fragments(ids: np.ndarray, tags: np.ndarray, pos: np.ndarray, source: np.ndarray) -> np.ndarray:
@@ -64,8 +66,9 @@ def fragments(ids: np.ndarray, tags: np.ndarray, pos: np.ndarray, source: np.nda
     return np.column_stack([ids[begin], tags[begin], pos[begin], length, source[begin]])
 
 
-def repeated_fragments(docs: DataFrame, words: int = WORDS, minimizer_words: int = MINIMIZER_WORDS) -> DataFrame:
+def repeated_fragments(docs: DataFrame, words: int = WORDS, minimizer_words: int = MINIMIZER_WORDS, hash_bits: int = 64) -> DataFrame:
     """Fragments of documents whose windows a smaller id has, with their source coordinates."""
+    dropped = np.uint64(64 - hash_bits)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(3, math.ceil(math.log2(max(1, size / PART_BYTES))))
     parts = 1 << bits
@@ -82,7 +85,7 @@ def repeated_fragments(docs: DataFrame, words: int = WORDS, minimizer_words: int
             windows = sequences(word, words)
             at = np.flatnonzero(doc[: len(windows)] == doc[words - 1 :]) if len(windows) else np.zeros(0, np.int64)
             doc, pos = doc[at], at - begins[doc[at]]
-            keys = windows[at]
+            keys = windows[at] >> dropped
             inner = sequences(word, minimizer_words)
             least = inner[: len(windows)].copy() if len(windows) else inner[:0]
             for k in range(1, words - minimizer_words + 1):
@@ -233,8 +236,8 @@ def applied(docs: DataFrame, spans: DataFrame, words: int, with_text: bool) -> t
     return small.join(asks, ["doc_id", "tag"], "left").mapInPandas(cut, CHECKED.format("text string, " if with_text else "")), asks
 
 
-def verified(checked: DataFrame, asks: DataFrame, spans: DataFrame) -> None:
-    """Compare the words of every span with its source's; raise if any differ."""
+def mismatched(checked: DataFrame, asks: DataFrame, spans: DataFrame) -> DataFrame:
+    """Spans whose words differ from their source's."""
 
     def digests(kind: str, out: str) -> DataFrame:
         both = checked.filter(F.size(kind) > 0).select("doc_id", "tag", kind).distinct()
@@ -242,21 +245,35 @@ def verified(checked: DataFrame, asks: DataFrame, spans: DataFrame) -> None:
         pairs = joined.select("doc_id", "tag", F.explode(F.arrays_zip("spans", kind)).alias("z"))
         return pairs.select("doc_id", "tag", F.col("z.spans.start").alias("start"), F.col("z.spans.length").alias("length"), F.col(f"z.{kind}").alias(out))
 
-    copies = spans.join(digests("own", "copy"), ["doc_id", "tag", "start", "length"]).select(
-        "source_id", "source_tag", "source_start", "length", "copy"
-    ).distinct()
+    copies = spans.join(digests("own", "copy"), ["doc_id", "tag", "start", "length"])
     sources = digests("asked", "source").select(
         F.col("doc_id").alias("source_id"), F.col("tag").alias("source_tag"), F.col("start").alias("source_start"), "length", "source"
     )
-    wrong = copies.join(sources, ["source_id", "source_tag", "source_start", "length"], "left").filter(~F.col("copy").eqNullSafe(F.col("source")))
-    if wrong.limit(1).count():
-        raise RuntimeError("two different passages have one hash; change the word hash and run again")
-
-
-def without_repeats(docs: DataFrame, words: int = WORDS, with_text: bool = False) -> DataFrame:
-    """Every document of a table with doc_id and text: words, words removed, digest of the kept ones (and their text)."""
-    spans = written(paths(written(repeated_fragments(docs, words), "substring-fragments")), "substring-spans")
-    result, asks = applied(docs, spans, words, with_text)
-    checked = written(result, "substring-checked")
-    verified(checked, asks, spans)
-    return checked.drop("own", "asked", "tag")
+    both = copies.join(sources, ["source_id", "source_tag", "source_start", "length"], "left")
+    return both.filter(~F.col("copy").eqNullSafe(F.col("source"))).select(*spans.columns)
+
+
+def without_mismatches(spans: DataFrame, wrong: DataFrame) -> DataFrame:
+    """Spans without the wrong ones, of which single windows are left to be compared anew; a wrong window is dropped."""
+    steps = F.sequence(F.lit(0).cast("long"), F.col("length") - 1)
+    apart = wrong.filter("length > 1").withColumn("_k", F.explode(steps)).withColumns(
+        {"start": F.col("start") + F.col("_k"), "source_start": F.col("source_start") + F.col("_k"), "length": F.lit(1).cast("long")}
+    )
+    return spans.join(wrong, spans.columns, "left_anti").unionByName(apart.select(*spans.columns)).distinct()
+
+
+def without_repeats(docs: DataFrame, words: int = WORDS, with_text: bool = False, hash_bits: int = 64) -> DataFrame:
+    """Every document of a table with doc_id and text: words, words removed, digest of the kept ones (and their text).
+
+    ``hash_bits`` of the windows' hashes are used; fewer than all make them collide, for tests.
+    """
+    found = written(repeated_fragments(docs, words, hash_bits=hash_bits), "substring-fragments")
+    spans = written(paths(found), "substring-spans")
+    while True:
+        result, asks = applied(docs, spans, words, with_text)
+        checked = written(result, "substring-checked")
+        wrong = written(mismatched(checked, asks, spans), "substring-wrong")
+        if not wrong.limit(1).count():
+            return checked.drop("own", "asked", "tag")
+        # Two more rounds at most: windows of wrong spans, then without the wrong ones among these.
+        spans = written(without_mismatches(spans, wrong), "substring-spans")
