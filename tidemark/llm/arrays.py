@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,27 @@ CHUNK_BYTES = 2_000_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
+_held: dict[str, list[Callable[[], None]]] = {}
+
+
+def hold(owner: str, forget: Callable[[], None]) -> None:
+    """Note a cache that the tasks of ``owner`` keep in their worker, and how to empty it."""
+    _held.setdefault(owner, []).append(forget)
+
+
+def claim(owner: str) -> None:
+    """Empty the caches of all others: workers outlive their tasks and come to other operators with what they hold."""
+    others = [name for name in _held if name != owner]
+    for name in others:
+        for forget in _held[name]:
+            forget()
+    if others:
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
 class WordHashes(dict):
     """64-bit hashes of words, kept for words seen before."""
 
@@ -29,6 +51,7 @@ class WordHashes(dict):
 
 
 _words = WordHashes()
+hold("words", _words.clear)
 
 
 def hashes(words: list[bytes]) -> np.ndarray:
@@ -100,6 +123,7 @@ def document_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, li
     Numbers follow from the partition and the order in it. Both are those of
     the files read, so a task that is run again makes the same chunks.
     """
+    claim("words")
     number = TaskContext.get().partitionId() << 32
     held: list[tuple[int, bytes]] = []
     size = 0

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tidemark.llm.arrays import CHUNK_BYTES, record_batch, texts
+from tidemark.llm.arrays import CHUNK_BYTES, claim, hold, record_batch, texts
 from tidemark.llm.common import text_of
 from tidemark.llm.packing import Cache
 
@@ -226,8 +226,11 @@ class Vocabulary:
 
 def vocabulary(path: str) -> Vocabulary:
     """The vocabulary of a file, loaded once a worker."""
+    claim("bpe")
     if path not in _loaded:
         _loaded[path] = Vocabulary(path)
+        for cache in (_loaded[path].by_piece, _loaded[path].by_word):
+            hold("bpe", cache.forget)
     return _loaded[path]
 
 

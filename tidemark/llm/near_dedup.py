@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrays import carrier, document_chunks, hashes, mixed, packed, record_batch, runs, sequences, unpacked
+from tidemark.llm.arrays import carrier, claim, document_chunks, hashes, mixed, packed, record_batch, runs, sequences, unpacked
 from tidemark.llm.common import running_total, salted_join, text_of, written
 from tidemark.llm.graph import components
 
@@ -94,7 +94,8 @@ def shared_grams(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
         for number, chunk in document_chunks(batches):
             sets = [np.unique(gram_set(text, words) & mask) for _, text in chunk]
             sizes = np.array([len(s) for s in sets])
-            keys, doc = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+            keys, doc = np.concatenate(sets), np.repeat(np.arange(len(chunk)), sizes)
+            del sets
             order = np.argsort(keys, kind="stable")
             begin, length = runs(keys[order])
             alone = np.zeros(len(keys), bool)
@@ -105,7 +106,7 @@ def shared_grams(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
             single = single[np.argsort(parts[single], kind="stable")]
             ends = np.searchsorted(parts[single], np.arange((1 << bits) + 1))
             several_ends = np.searchsorted((several >> np.uint64(64 - bits)).astype(np.int64), np.arange((1 << bits) + 1))
-            local_counts = np.bincount(doc[~alone], minlength=len(sets))
+            local_counts = np.bincount(doc[~alone], minlength=len(chunk))
             rows, carried = [], carrier(number, bits)
             for part in range(1 << bits):
                 rows_of = single[ends[part] : ends[part + 1]]
@@ -123,6 +124,7 @@ def shared_grams(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
             yield record_batch(rows, SLICES)
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
+        claim("words")
         part = int(group["part"].iloc[0])
         singles = [_from_six(x, part, bits) for x in group["single"]]
         everything = np.concatenate([*singles, *(_from_six(x, part, bits) for x in group["several"])])

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrays import CHUNK_BYTES, record_batch, texts
+from tidemark.llm.arrays import CHUNK_BYTES, claim, hold, record_batch, texts
 from tidemark.llm.common import spread, text_of, written
 
 CAPACITY = 4096
@@ -58,6 +58,11 @@ class Cache(dict):
             self[word] = value
         return value
 
+    def forget(self) -> None:
+        """Empty both generations."""
+        self.clear()
+        self.old = {}
+
 
 def word_encoder(tokenizer_path: str) -> Callable[[str], bytes]:
     """Text to its token ids as little-endian 32-bit integers.
@@ -103,6 +108,8 @@ def word_encoder(tokenizer_path: str) -> Callable[[str], bytes]:
             return letters[low] + (marks[word[len(stem) :]] if len(stem) < len(word) else b"")
 
         words = Cache(by_parts)
+        for cache in (letters, marks, words):
+            hold("packing", cache.forget)
         _encoders[tokenizer_path] = lambda text: b"".join(map(words.__getitem__, text.replace("\n", " ").split(" ")))
     return _encoders[tokenizer_path]
 
@@ -117,6 +124,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, en
     """The pieces of every document of a table with doc_id and text, with their ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("packing")
         encode = word_encoder(tokenizer_path)
         end = array("I", [end_token]).tobytes()
         rows, size = [], 0
