@@ -253,3 +253,55 @@ def test_run_fails_only_on_errors(spark):
     assert quality.run_fails(warned).first().run_ok
     failed = quality.run_tests(df, [quality.not_null("a")])
     assert not quality.run_fails(failed).first().run_ok
+
+
+def test_batch_decisions(spark):
+    live = "etl_batch_id string, sale_id long, customer_id string, product_id string, sale_date timestamp_ntz, total_amount decimal(10,2), validation_failure_reason string"
+    good = (1, "c", "p", AT, D("1"), None)
+    rows = [("full", *good)] * 10 + [("few", *good)] * 2 + [("small", *good)] * 2 + [("nulls", 1, None, "p", AT, D("1"), "missing_customer")] * 10
+    rows += [("failing", *good)] * 8 + [("failing", *good[:-1], "invalid_price")] * 2 + [("some", *good)] * 19 + [("some", *good[:-1], "invalid_price")]
+    markers = spark.createDataFrame([(b,) for b in ("small", "gone", "nulls", "full")], "etl_batch_id string")
+    due = spark.createDataFrame([(b,) for b in ("full", "empty", "gone")], "etl_batch_id string")
+    got = gate.batch_decisions(due, spark.createDataFrame(rows, live), markers, min_records=5).collect()
+    assert {r.etl_batch_id: (r.decision, r.total_records, r.delete_markers) for r in got} == {
+        "full": ("load", 10, 1), "few": ("quarantine", 2, 0), "small": ("deletes_only", 2, 1), "nulls": ("quarantine", 10, 1),
+        "failing": ("quarantine", 10, 0), "some": ("load", 20, 0), "empty": ("no_data", 0, 0), "gone": ("deletes_only", 0, 1),
+    }
+    reasons = {r.etl_batch_id: r.failure_reason for r in got}
+    assert reasons["nulls"] == "too many NULLs in customer_id: 10" and reasons["failing"] == "too many failing rows: 2"
+    assert reasons["full"] is None and reasons["gone"] == "too few records: 0"
+
+
+def test_row_count_between(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, v int")
+    got = [quality.row_count_results(df, 1).first(), quality.row_count_results(df, 4).first(), quality.row_count_results(df, 2, by="k").first()]
+    assert [(r.test, r.column_name, r.failures, r.status) for r in got] == [
+        ("row_count_between", "*", 0, "pass"), ("row_count_between", "*", 1, "fail"), ("row_count_between", "k", 1, "fail")]
+    assert quality.row_count_results(df.limit(0), 1).first().failures == 1
+
+
+def test_extraction_counts_have_zeros_and_unknown_regions(spark):
+    rows = spark.createDataFrame([("a",), ("a",), ("x",), (None,)], "region string")
+    regions = spark.createDataFrame([("a",), ("b",)], "name string")
+    got = {r.region: (r.record_count, r.total_extracted) for r in gate.extraction_counts(rows, regions).collect()}
+    assert got == {"a": (2, 4), "b": (0, 4)}
+    assert [tuple(r) for r in gate.extraction_counts(rows.limit(0), regions).orderBy("region").collect()] == [("a", 0, 0), ("b", 0, 0)]
+
+
+def test_contract_write_leaves_the_table(spark):
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
+    from tidemark.session import fresh_path
+    from tidemark.sinks import contract
+
+    path = fresh_path(spark, "contract")
+    kept = StructType([StructField("k", StringType(), False), StructField("v", IntegerType())])
+    rules = {"v below ten": F.col("v") < 10}
+    df = spark.createDataFrame([("a", 1), ("b", None)], "k string, v int")
+    contract.replace_slices(df, path, ["k"], kept, rules)
+    for bad in (df.withColumn("v", F.col("v") + 9), df.withColumn("k", F.nullif("k", F.lit("b")))):
+        with pytest.raises(Exception, match="contract broken"):
+            contract.replace_slices(bad, path, ["k"], kept, rules)
+    with pytest.raises(contract.ContractError, match="v: bigint instead of int"):
+        contract.rebuild(df.withColumn("v", F.col("v").cast("bigint")), path, kept)
+    assert {(r.k, r.v) for r in spark.read.parquet(path).collect()} == {("a", 1), ("b", None)}

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_TINY
-from tidemark.operators import aggregates, dedup, quality, staging
+from tidemark.operators import aggregates, dedup, gate, quality, staging
 from tidemark.plans import catalog, inputs, row_queries, stream_queries, table_queries
 from tidemark.sources.extract import extract_window
 from tidemark.sources.tables import table
@@ -63,3 +63,15 @@ def test_row_tests_share_one_scan(spark):
     df = table(spark, SF_TINY, "orders")
     tests = [quality.not_null(c) for c in ("o_orderkey", "o_custkey", "o_orderdate")]
     assert plan(quality.row_test_results(df, tests)).count("FileScan") == 1
+
+
+def test_counts_read_their_input_once(spark):
+    for name, scans in (("extraction_counts", 7), ("batch_decisions", None)):
+        text = plan(catalog.QUERIES[name](spark, SF_TINY))
+        assert scans is None or text.count("FileScan") == scans
+    changes = inputs.changes(spark, SF_TINY)
+    assert "FullOuter" not in plan(gate.reconcile_load(changes, changes.withColumn("_merge_action", F.lit("insert"))))
+
+
+def test_batch_scan_prunes(spark):
+    assert "PartitionFilters: [isnotnull(etl_batch_id" in plan(catalog.QUERIES["batch_scan"](spark, SF_TINY))

@@ -305,6 +305,12 @@ def test_daily_batch(spark):
     assert history.filter("dbt_valid_to is null").count() == fact.count()
     kept, rebuilt = fact_table.read_daily(spark, warehouse.path("fact")), aggregates.daily_sales(fact, NOW)
     assert rows_of(kept) == rows_of(rebuilt)
-    stopped = daily_batch.run_daily_batch(spark, sources, warehouse, dt.date(2001, 9, 2), labels, min_records=10**9)
-    assert not stopped.loaded and "too few" in stopped.decision.first().failure_reason
+    before = fact.count()
+    held = daily_batch.run_daily_batch(spark, sources, warehouse, dt.date(2001, 9, 2), labels, min_records=10**9)
+    first = held.decision.first()
+    assert not held.loaded and first.decision == "deletes_only" and "too few" in first.failure_reason
+    assert held.tally.first().rows_inserted == 0
+    nothing = daily_batch.run_daily_batch(spark, sources, warehouse, dt.date(2001, 9, 20), labels)
+    assert (nothing.decision.first().decision, nothing.loaded, nothing.tally) == ("no_data", False, None)
+    assert fact_table.read_fact(spark, warehouse.path("fact")).count() <= before
     assert FACT_COLUMNS == fact.columns

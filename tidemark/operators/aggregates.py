@@ -168,13 +168,17 @@ def revenue_by_dimension(fact: DataFrame, stores: DataFrame) -> DataFrame:
     )
 
 
-def gap_filled_daily(daily: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+def gap_filled_daily(daily: DataFrame, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
     """Every day from ``start`` to ``end`` for every region seen, zeros where nothing was sold.
 
-    Days are generated per region row, so no join without keys is needed.
+    Without bounds the first and the last day with a sale are taken. Days are
+    generated per region row, so no join without keys is needed.
     """
+    first, last = (
+        F.lit(day) if day else daily.agg(pick("sale_date").alias("day")).scalar() for day, pick in ((start, F.min), (end, F.max))
+    )
     spine = daily.select("region").distinct().select(
-        F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 day"))).alias("sale_date"), "region"
+        F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("sale_date"), "region"
     )
     measures = daily.select("sale_date", "region", "order_count", "net_revenue")
     zero = F.lit(0)

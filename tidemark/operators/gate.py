@@ -5,15 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import violates_business_rules
 from tidemark.operators.merge import ACTION
 from tidemark.operators.quality import missing_columns
-from tidemark.schemas import CRITICAL_COLUMNS, MAX_NULL_PERCENTAGE, MIN_RECORD_COUNT, REQUIRED_COLUMNS
+from tidemark.schemas import CRITICAL_COLUMNS, MAX_FAILING_PERCENTAGE, MAX_NULL_PERCENTAGE, MIN_RECORD_COUNT, REQUIRED_COLUMNS
 
 LOAD, STOP = "load", "quarantine"
+# Decisions about batches without enough live rows: only their delete markers are applied, or there is nothing to do.
+DELETES_ONLY, NO_DATA = "deletes_only", "no_data"
 
 
 def null_counts(columns: Sequence[str] = tuple(CRITICAL_COLUMNS)) -> list[Column]:
@@ -94,6 +96,77 @@ def batch_gate(
     )
 
 
+def batch_decisions(
+    expected: DataFrame,
+    checked: DataFrame,
+    markers: DataFrame,
+    min_records: int = MIN_RECORD_COUNT,
+    max_null_percentage: float = MAX_NULL_PERCENTAGE,
+    max_failing_percentage: float = MAX_FAILING_PERCENTAGE,
+    critical: Sequence[str] = tuple(CRITICAL_COLUMNS),
+) -> DataFrame:
+    """A decision about every expected batch, whether anything came for it or not.
+
+    ``expected`` is the registry of batches (``etl_batch_id``), ``checked`` holds
+    their live rows with the reason a row fails for, before any is set aside,
+    ``markers`` their deletes. Batches that are not in the registry are judged
+    as well. All three are counted in one aggregation over their union, so no
+    row is joined.
+
+    NULLs in critical columns and a large share of failing rows stop a batch,
+    deletes included: something is wrong with all of it. Failing rows below
+    that share are set aside one by one. Too few live rows hold only these
+    back, not the deletes.
+    """
+    live = checked.select(
+        "etl_batch_id",
+        F.lit(1).alias("_live"),
+        F.lit(0).alias("_marker"),
+        F.col("validation_failure_reason").isNotNull().alias("_fails"),
+        *[F.col(name).isNull().alias(f"_null_{name}") for name in critical],
+    )
+    no = {"_fails": F.lit(False), **{f"_null_{name}": F.lit(False) for name in critical}}
+    gone = markers.select("etl_batch_id", F.lit(0).alias("_live"), F.lit(1).alias("_marker")).withColumns(no)
+    listed = expected.select("etl_batch_id", F.lit(0).alias("_live"), F.lit(0).alias("_marker")).withColumns(no)
+    counted = (
+        live.unionByName(gone)
+        .unionByName(listed)
+        .groupBy("etl_batch_id")
+        .agg(
+            F.sum("_live").alias("total_records"),
+            F.sum("_marker").alias("delete_markers"),
+            F.count_if("_fails").alias("failing_records"),
+            *[F.count_if(f"_null_{name}").alias(f"null_{name}") for name in critical],
+        )
+    )
+    total = F.col("total_records")
+
+    def above(part: str, limit: float) -> Column:
+        return F.col(part).cast("decimal(18,0)") * 100 > F.lit(Decimal(str(limit))) * total.cast("decimal(18,0)")
+
+    reasons = [
+        F.when(above(f"null_{name}", max_null_percentage), F.concat(F.lit(f"too many NULLs in {name}: "), F.col(f"null_{name}").cast("string")))
+        for name in critical
+    ]
+    reasons.append(
+        F.when(above("failing_records", max_failing_percentage), F.concat(F.lit("too many failing rows: "), F.col("failing_records").cast("string")))
+    )
+    broken = F.coalesce(*reasons)
+    few = total < min_records
+    some_deletes = F.col("delete_markers") > 0
+    decision = (
+        F.when((total == 0) & ~some_deletes, NO_DATA)
+        .when(broken.isNotNull(), STOP)
+        .when(few & some_deletes, DELETES_ONLY)
+        .when(few, STOP)
+        .otherwise(LOAD)
+    )
+    reason = F.coalesce(broken, F.when(few, F.concat(F.lit("too few records: "), total.cast("string"))))
+    return counted.select(
+        "etl_batch_id", "total_records", "delete_markers", "failing_records", decision.alias("decision"), reason.alias("failure_reason")
+    )
+
+
 def route_batches(df: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split rows into those of admitted batches and those of stopped ones.
 
@@ -107,12 +180,19 @@ def route_batches(df: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataF
 
 
 def extraction_counts(extract: DataFrame, regions: DataFrame) -> DataFrame:
-    """Rows extracted per configured region (zero if none) and their share of the run's total."""
-    counts = extract.groupBy("region").agg(F.count(F.lit(1)).alias("record_count"))
-    per_region = regions.select(F.col("name").alias("region")).join(counts, on="region", how="left")
-    filled = per_region.select("region", F.coalesce("record_count", F.lit(0).cast("bigint")).alias("record_count"))
-    total = counts.agg(F.coalesce(F.sum("record_count"), F.lit(0)).cast("bigint").alias("total")).scalar()
-    return filled.withColumn("total_extracted", total)
+    """Rows extracted per configured region (zero if none) beside the run's total.
+
+    The extract is read once: a rollup counts regions and the whole together,
+    and the total is handed to every region's row.
+    """
+    counts = extract.rollup("region").agg(F.count(F.lit(1)).alias("record_count"), F.grouping("region").alias("_whole"))
+    listed = regions.select(F.col("name").alias("region"), F.lit(True).alias("_listed"))
+    both = listed.withColumn("_whole", F.lit(0).cast("tinyint")).join(counts, on=["region", "_whole"], how="full_outer")
+    # One row per region: few enough for a window over all of them.
+    total = F.max(F.when(F.col("_whole") == 1, F.col("record_count"))).over(Window.partitionBy())
+    zero = F.lit(0).cast("bigint")
+    with_total = both.withColumn("total_extracted", F.coalesce(total, zero)).filter("_listed")
+    return with_total.select("region", F.coalesce("record_count", zero).alias("record_count"), "total_extracted")
 
 
 def transform_metrics(extract: DataFrame, transformed: DataFrame, batch_id: str) -> DataFrame:
@@ -138,18 +218,16 @@ def batch_counts(fact: DataFrame) -> DataFrame:
 
 
 def reconcile_load(changes: DataFrame, actions: DataFrame) -> DataFrame:
-    """Live rows a batch meant to load against rows its merge inserted or updated."""
-    expected = changes.filter(~F.col("is_deleted")).groupBy("etl_batch_id").agg(
-        F.count(F.lit(1)).alias("expected_count")
-    )
-    loaded = actions.filter(F.col(ACTION).isin("insert", "update")).groupBy("etl_batch_id").agg(
-        F.count(F.lit(1)).alias("actual_count")
-    )
-    zero = F.lit(0).cast("bigint")
-    both = expected.join(loaded, on="etl_batch_id", how="full_outer").select(
-        "etl_batch_id",
-        F.coalesce("expected_count", zero).alias("expected_count"),
-        F.coalesce("actual_count", zero).alias("actual_count"),
+    """Live rows a batch meant to load against rows its merge inserted or updated.
+
+    Both sides are counted in one aggregation over their union.
+    """
+    expected = changes.filter(~F.col("is_deleted")).select("etl_batch_id", F.lit(True).alias("_expected"))
+    loaded = actions.filter(F.col(ACTION).isin("insert", "update")).select("etl_batch_id", F.lit(False).alias("_expected"))
+    both = (
+        expected.unionByName(loaded)
+        .groupBy("etl_batch_id")
+        .agg(F.count_if("_expected").alias("expected_count"), F.count_if(~F.col("_expected")).alias("actual_count"))
     )
     matches = F.col("expected_count") == F.col("actual_count")
     return both.withColumn("status", F.when(matches, "success").otherwise("mismatch"))

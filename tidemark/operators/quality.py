@@ -120,6 +120,18 @@ def _result(counted: DataFrame, test: str, column: str, severity: str) -> DataFr
     )
 
 
+def row_count_results(df: DataFrame, low: int, high: int | None = None, severity: str = ERROR, by: str | None = None) -> DataFrame:
+    """Result row of a row-count test: how many tables (or, with ``by``, groups) have a count outside the bounds.
+
+    A group that has no rows is no group; count an empty table as a whole.
+    """
+    counts = df.groupBy(*([by] if by else [])).agg(F.count(F.lit(1)).alias("n"))
+    outside = F.col("n") < low
+    if high is not None:
+        outside = outside | (F.col("n") > high)
+    return _result(counts.agg(F.count_if(outside).alias("failures")), "row_count_between", by or "*", severity)
+
+
 def orphan_keys(child: DataFrame, parent: DataFrame, column: str, parent_column: str | None = None) -> DataFrame:
     """Key values of ``child`` that ``parent`` lacks, with their number of rows.
 

@@ -38,7 +38,11 @@ class Warehouse:
 
 @dataclass
 class BatchResult:
-    """What a run decided and did; every frame has one row or a handful."""
+    """What a run decided and did; every frame has one row or a handful.
+
+    ``loaded`` says whether live rows entered the fact. A batch of which only
+    the deletes were applied has a tally all the same.
+    """
 
     batch_id: str
     decision: DataFrame
@@ -64,8 +68,8 @@ def run_daily_batch(
     partitions.replace_run(extracted, warehouse.path("raw_extract"), "etl_batch_id", batch_id, ["region"])
     raw = _slice(spark, warehouse.path("raw_extract"), EXTRACT_COLUMNS, batch_id)
 
-    # Rows that break a rule are set aside one by one; the gate then judges
-    # what is left of the batch's live rows.
+    # Rows that break a rule are set aside one by one; the gate judges the batch
+    # before that, so that what is wrong with all of it shows.
     live = staging.transform_live(raw, loaded_at, batch_id, dict(labels))
     checked = written(enrich.with_reason(enrich.enrich(live)), "checked")
     partitions.replace_run(
@@ -75,10 +79,13 @@ def run_daily_batch(
         staging.normalise_region(staging.split_deleted(raw), dict(labels)), loaded_at, batch_id
     )
     good = enrich.passed(checked).drop("is_amount_valid", "validation_failure_reason")
-    decision = written(gate.batch_gate(good, min_records=min_records), "decision")
-    first = decision.select("decision").first()
-    if first is None or first.decision != gate.LOAD:
+    due = spark.createDataFrame([(batch_id,)], "etl_batch_id string")
+    decision = written(gate.batch_decisions(due, checked, markers, min_records), "decision")
+    decided = decision.select("decision").first().decision
+    if decided not in (gate.LOAD, gate.DELETES_ONLY):
         return BatchResult(batch_id, decision, loaded=False)
+    if decided == gate.DELETES_ONLY:
+        good = good.limit(0)
 
     both = conform(staging.union_live_and_markers(good, markers), EXPORT_COLUMNS)
     export = csv_export.export_path(warehouse.path("export"), as_of, batch_id)
@@ -96,7 +103,7 @@ def run_daily_batch(
     verification = verify_load(changes, fact, batch_id)
     # Stored, because the next run replaces the files they are computed from.
     return BatchResult(
-        batch_id, decision, True, written(tally, "tally"), written(verification, "verification"), written(tests, "tests")
+        batch_id, decision, decided == gate.LOAD, written(tally, "tally"), written(verification, "verification"), written(tests, "tests")
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import enrich, staging
 from tidemark.operators.dedup import latest_change_per_key
-from tidemark.schemas import STAGING_MODEL_COLUMNS
+from tidemark.schemas import COMPLETED, STAGING_MODEL_COLUMNS
 from tidemark.sources.change_events import change_log
 from tidemark.sources.tables import sales_rows
 from tidemark.streaming.envelope import parse_envelopes
@@ -20,16 +20,22 @@ EVENTS_AS_OF = dt.datetime(2024, 3, 1)
 
 
 def sales(spark: SparkSession, sf: str) -> DataFrame:
+    """All sales rows, whatever their status."""
     return sales_rows(spark, sf)
 
 
+def completed(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of completed sales; models count no others."""
+    return sales(spark, sf).filter(F.col("status") == COMPLETED)
+
+
 def checked(rows: DataFrame) -> DataFrame:
     """Staged, enriched rows with their failure reason."""
     return enrich.with_reason(enrich.enrich(staging.stage_transactions(rows)))
 
 
 def validated(spark: SparkSession, sf: str) -> DataFrame:
-    return enrich.passed(checked(sales(spark, sf)))
+    return enrich.passed(checked(completed(spark, sf)))
 
 
 def fact(spark: SparkSession, sf: str) -> DataFrame:
@@ -41,11 +47,11 @@ def fact_of(rows: DataFrame, stamp: dt.datetime) -> DataFrame:
 
 
 def before_cut(spark: SparkSession, sf: str) -> DataFrame:
-    return sales(spark, sf).filter(F.col("updated_at") < F.lit(CUT).cast("timestamp_ntz"))
+    return completed(spark, sf).filter(F.col("updated_at") < F.lit(CUT).cast("timestamp_ntz"))
 
 
 def after_cut(spark: SparkSession, sf: str) -> DataFrame:
-    return sales(spark, sf).filter(F.col("updated_at") >= F.lit(CUT).cast("timestamp_ntz"))
+    return completed(spark, sf).filter(F.col("updated_at") >= F.lit(CUT).cast("timestamp_ntz"))
 
 
 def old_fact(spark: SparkSession, sf: str) -> DataFrame:

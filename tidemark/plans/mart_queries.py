@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,10 +10,9 @@ from tidemark.operators.merge import cdc_merge
 from tidemark.plans import inputs
 from tidemark.plans.oracle import AS_OF, average, cents, money, quotient, sql
 from tidemark.plans.registry import query
+from tidemark.sources import files
 from tidemark.sources.tables import REGIONS, events
 
-_DAYS = (dt.date(2001, 1, 1), dt.date(2001, 8, 1))
-
 
 @query(
     sql(
@@ -105,11 +102,8 @@ def sales_with_payment(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def payment_methods(spark: SparkSession) -> DataFrame:
-    """The payment-method seed (fixed values)."""
-    return spark.createDataFrame(
-        [("credit", "Credit Card", True), ("cash", "Cash", False), ("debit", "Debit Card", True)],
-        "payment_method string, display_name string, is_digital boolean",
-    )
+    """The payment-method seed."""
+    return files.read_seed(spark, files.shipped(spark, "payment_methods.csv"))
 
 
 @query(
@@ -129,13 +123,13 @@ def revenue_by_dim(spark: SparkSession, sf: str) -> DataFrame:
         "daily",
         """SELECT s.sale_date, r.region, coalesce(d.order_count, 0) AS order_count,
   coalesce(d.net_revenue, CAST(0 AS DECIMAL(18,2))) AS net_revenue
-FROM (SELECT CAST(unnest(generate_series(DATE '2001-01-01', DATE '2001-08-01', INTERVAL 1 DAY)) AS DATE) AS sale_date) s
+FROM (SELECT CAST(unnest(generate_series(min(sale_date), max(sale_date), INTERVAL 1 DAY)) AS DATE) AS sale_date FROM daily) s
 CROSS JOIN (SELECT DISTINCT region FROM daily) r
 LEFT JOIN daily d ON d.sale_date = s.sale_date AND d.region = r.region""",
     )
 )
 def gap_fill_daily(spark: SparkSession, sf: str) -> DataFrame:
-    return aggregates.gap_filled_daily(aggregates.daily_sales(inputs.fact(spark, sf), inputs.AS_OF), *_DAYS)
+    return aggregates.gap_filled_daily(aggregates.daily_sales(inputs.fact(spark, sf), inputs.AS_OF))
 
 
 @query(

@@ -86,7 +86,7 @@ def chain(prefix: str, where: str, stamp: str) -> dict[str, str]:
     _cdc_operation, _cdc_source_ts, etl_batch_id, etl_loaded_at
   FROM (SELECT *, row_number() OVER (PARTITION BY sale_id
           ORDER BY updated_at DESC NULLS LAST, _cdc_source_ts DESC NULLS LAST, {CONTENT}) AS rn
-        FROM sales WHERE etl_batch_id IS NOT NULL AND NOT is_deleted AND {where}) ranked
+        FROM sales WHERE status = 'completed' AND etl_batch_id IS NOT NULL AND NOT is_deleted AND {where}) ranked
   WHERE rn = 1)""",
         f"{prefix}checked": f"""{prefix}checked AS (
   SELECT *, CASE WHEN quantity <= 0 THEN 'invalid_quantity' WHEN unit_price <= 0 THEN 'invalid_price'
@@ -113,7 +113,7 @@ CHANGES = f"""changes AS (
     FROM (
       SELECT {DATA_LIST}, is_deleted FROM new_checked WHERE validation_failure_reason IS NULL
       UNION ALL BY NAME
-      SELECT {STAGED_LIST} FROM sales WHERE is_deleted AND updated_at >= {CUT}) both_kinds) ranked
+      SELECT {STAGED_LIST} FROM sales WHERE status = 'completed' AND is_deleted AND updated_at >= {CUT}) both_kinds) ranked
   WHERE rn = 1)"""
 
 ACTIONS = f"""actions AS (

@@ -13,7 +13,8 @@ from tidemark.plans.oracle import AS_OF, CUT, quotient, sql
 from tidemark.plans.registry import query
 from tidemark.plans.row_queries import DAY
 from tidemark.schemas import CRITICAL_COLUMNS
-from tidemark.sources.extract import consolidate, extract_window
+from tidemark.session import written
+from tidemark.sources.extract import extract_window
 from tidemark.sources.tables import REGIONS, table
 
 
@@ -104,7 +105,7 @@ FULL OUTER JOIN (SELECT c.etl_batch_id, count(*) AS actual_count FROM actions a
     )
 )
 def reconcile_batch(spark: SparkSession, sf: str) -> DataFrame:
-    changes = inputs.changes(spark, sf)
+    changes = written(inputs.changes(spark, sf), "changes")
     return gate.reconcile_load(changes, merge.merge_changes(inputs.old_fact(spark, sf), changes, inputs.AS_OF))
 
 
@@ -139,10 +140,38 @@ FROM region LEFT JOIN (SELECT region, count(*) AS n FROM sales WHERE status = 'c
     )
 )
 def extraction_counts(spark: SparkSession, sf: str) -> DataFrame:
-    rows = inputs.sales(spark, sf)
-    parts = {r.lower(): extract_window(rows.filter(F.col("region") == r), DAY) for r in REGIONS}
+    rows = extract_window(inputs.sales(spark, sf), DAY, more=["region"]).withColumn("region", F.lower("region"))
     regions = table(spark, sf, "region").select(F.lower("r_name").alias("name"))
-    return gate.extraction_counts(consolidate(parts, "19980602"), regions)
+    return gate.extraction_counts(rows, regions)
+
+
+_DECISIONS = f"""SELECT etl_batch_id, total_records, delete_markers, failing_records,
+  CASE WHEN total_records = 0 AND delete_markers = 0 THEN 'no_data' WHEN broken IS NOT NULL THEN 'quarantine'
+    WHEN total_records < 100 AND delete_markers > 0 THEN 'deletes_only' WHEN total_records < 100 THEN 'quarantine' ELSE 'load' END AS decision,
+  coalesce(broken, CASE WHEN total_records < 100 THEN 'too few records: ' || total_records END) AS failure_reason FROM (
+  SELECT *, CASE {' '.join(f"WHEN null_{c} * 100 > 5.0 * total_records THEN 'too many NULLs in {c}: ' || null_{c}" for c in CRITICAL_COLUMNS)}
+    WHEN failing_records * 100 > 10.0 * total_records THEN 'too many failing rows: ' || failing_records END AS broken
+  FROM (SELECT e.etl_batch_id, coalesce(total_records, 0) AS total_records, coalesce(delete_markers, 0) AS delete_markers,
+      coalesce(failing_records, 0) AS failing_records, {', '.join(f'coalesce(null_{c}, 0) AS null_{c}' for c in CRITICAL_COLUMNS)}
+    FROM (SELECT strftime(unnest(generate_series(min(updated_at), max(updated_at) + INTERVAL 62 DAY, INTERVAL 1 DAY)), '%Y%m%d') AS etl_batch_id FROM sales) e
+    LEFT JOIN (SELECT strftime(updated_at, '%Y%m%d') AS etl_batch_id, count(*) AS total_records,
+        count(*) FILTER (WHERE validation_failure_reason IS NOT NULL) AS failing_records, {_NULLS} FROM checked GROUP BY 1) l USING (etl_batch_id)
+    LEFT JOIN (SELECT strftime(updated_at, '%Y%m%d') AS etl_batch_id, count(*) AS delete_markers FROM sales
+      WHERE status = 'completed' AND is_deleted GROUP BY 1) m USING (etl_batch_id)) c) d"""
+
+
+@query(sql("checked", _DECISIONS))
+def batch_decisions(spark: SparkSession, sf: str) -> DataFrame:
+    """A decision about every day that a batch was due, also those for which nothing or only deletes came."""
+    rows = inputs.completed(spark, sf)
+    span = inputs.sales(spark, sf).agg(F.min("updated_at").alias("first"), F.date_add(F.max("updated_at"), 62).alias("last"))
+    due = span.select(F.explode(F.sequence(F.to_date("first"), "last", F.expr("interval 1 day"))).alias("day"))
+    batch = F.date_format("updated_at", "yyyyMMdd")
+    return gate.batch_decisions(
+        due.select(F.date_format("day", "yyyyMMdd").alias("etl_batch_id")),
+        inputs.checked(rows).withColumn("etl_batch_id", batch),
+        staging.split_deleted(rows).withColumn("etl_batch_id", batch),
+    )
 
 
 # --- data tests -----------------------------------------------------------------
@@ -246,10 +275,6 @@ def test_generic(spark: SparkSession, sf: str) -> DataFrame:
     return quality.row_test_results(inputs.staged_events(spark, sf), tests)
 
 
-# Customers known from early orders only, so that later ones lack a parent.
-_EARLY_CUSTOMERS = "(SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1995-06-01')"
-
-
 @query(
     sql(
         "sales",
@@ -258,27 +283,42 @@ _EARLY_CUSTOMERS = "(SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate < T
             "customer_id",
             "warn",
             "count(*)",
-            f"sales WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT CAST(o_custkey AS VARCHAR) FROM {_EARLY_CUSTOMERS} o)",
+            "sales WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT CAST(user_id AS VARCHAR) FROM events)",
         ),
     )
 )
 def test_relationships(spark: SparkSession, sf: str) -> DataFrame:
-    early = table(spark, sf, "orders").filter(F.col("o_orderdate") < F.lit("1995-06-01").cast("timestamp_ntz"))
-    known = early.select(F.col("o_custkey").cast("string").alias("customer_id"))
-    return quality.relationship_results(inputs.sales(spark, sf), known, "customer_id", severity=quality.WARN)
+    """Every customer of a sale should be known as a user of the event log."""
+    users = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("customer_id"))
+    return quality.relationship_results(inputs.sales(spark, sf), users.distinct(), "customer_id", severity=quality.WARN)
 
 
 @query(
     sql(
-        "sales",
-        "SELECT store_id, count(*) AS orphan_count FROM sales WHERE store_id NOT IN "
-        "(SELECT CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_acctbal > 1000) GROUP BY store_id",
+        "parsed",
+        "SELECT substr(store_id, 2) AS store_id, count(*) AS orphan_count FROM parsed WHERE store_id IS NOT NULL "
+        "AND substr(store_id, 2) NOT IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier) GROUP BY 1",
     )
 )
 def orphan_stores(spark: SparkSession, sf: str) -> DataFrame:
-    solvent = table(spark, sf, "supplier").filter(F.col("s_acctbal") > 1000)
-    stores = solvent.select(F.col("s_suppkey").cast("string").alias("store_id"))
-    return quality.orphan_keys(inputs.sales(spark, sf), stores, "store_id")
+    """Store numbers of change events that no supplier has."""
+    rows = inputs.staged_events(spark, sf).select(F.substring("store_id", 2, 20).alias("store_id"))
+    stores = table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("store_id"))
+    return quality.orphan_keys(rows, stores, "store_id")
+
+
+@query(
+    sql(
+        "sales fact",
+        _test_row("row_count_between", "*", "error", _counted("n < 1"), "(SELECT count(*) AS n FROM sales) c")
+        + " UNION ALL "
+        + _test_row("row_count_between", "etl_batch_id", "warn", _counted("n < 20 OR n > 250"), "(SELECT count(*) AS n FROM fact GROUP BY etl_batch_id) c"),
+    )
+)
+def test_row_count(spark: SparkSession, sf: str) -> DataFrame:
+    """The source has rows at all, and each batch of the fact about as many as usual."""
+    whole = quality.row_count_results(inputs.sales(spark, sf), 1)
+    return whole.unionByName(quality.row_count_results(inputs.fact(spark, sf), 20, 250, quality.WARN, by="etl_batch_id"))
 
 
 @query(
@@ -353,10 +393,10 @@ def compare_relations(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     sql(
         "sales",
-        f"""SELECT *, 'left' AS side FROM (SELECT sale_id, product_id, total_amount FROM sales WHERE updated_at < {CUT}
+        f"""SELECT *, 'left' AS side FROM (SELECT sale_id, product_id, total_amount FROM sales WHERE status = 'completed' AND updated_at < {CUT}
   EXCEPT ALL SELECT sale_id, product_id, total_amount FROM sales WHERE NOT is_deleted) a
 UNION ALL SELECT *, 'right' AS side FROM (SELECT sale_id, product_id, total_amount FROM sales WHERE NOT is_deleted
-  EXCEPT ALL SELECT sale_id, product_id, total_amount FROM sales WHERE updated_at < {CUT}) b""",
+  EXCEPT ALL SELECT sale_id, product_id, total_amount FROM sales WHERE status = 'completed' AND updated_at < {CUT}) b""",
     )
 )
 def row_differences(spark: SparkSession, sf: str) -> DataFrame:

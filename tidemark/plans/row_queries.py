@@ -12,7 +12,9 @@ from tidemark.operators import dedup, enrich, gate, staging
 from tidemark.plans import inputs
 from tidemark.plans.oracle import CONTENT, DATA_LIST, REJECTED_COUNT, REJECTED_ROWS, sql
 from tidemark.plans.registry import query
-from tidemark.schemas import SOURCE_COLUMNS
+from tidemark.schemas import FACT_COLUMNS, SOURCE_COLUMNS, schema_of
+from tidemark.session import fresh_path
+from tidemark.sinks import partitions
 from tidemark.sources import extract, files
 from tidemark.sources.tables import REGIONS, events, table
 from tidemark.streaming import envelope
@@ -49,7 +51,10 @@ def consolidate_regions(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(sql("fact", "SELECT * FROM fact WHERE etl_batch_id = '199806'"))
 def batch_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return inputs.fact(spark, sf).filter(F.col("etl_batch_id") == "199806")
+    """One batch of a table stored by batch: no other batch is read."""
+    path = fresh_path(spark, "by-batch")
+    partitions.replace_slices(inputs.fact(spark, sf), path, ["etl_batch_id"])
+    return extract.read_batch(spark, path, "199806", schema_of(FACT_COLUMNS)).select(*FACT_COLUMNS)
 
 
 @query(
@@ -143,18 +148,18 @@ def null_defaults(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(sql("staged", "SELECT * FROM staged"))
 def typed_staging(spark: SparkSession, sf: str) -> DataFrame:
-    return staging.stage_transactions(inputs.sales(spark, sf))
+    return staging.stage_transactions(inputs.completed(spark, sf))
 
 
 @query(sql("checked", "SELECT sale_id, total_amount, discount_amount, tax_amount, net_amount, gross_profit FROM checked"))
 def enrich_amounts(spark: SparkSession, sf: str) -> DataFrame:
-    derived = enrich.derive_amounts(staging.stage_transactions(inputs.sales(spark, sf)))
+    derived = enrich.derive_amounts(staging.stage_transactions(inputs.completed(spark, sf)))
     return derived.select("sale_id", "total_amount", "discount_amount", "tax_amount", "net_amount", "gross_profit")
 
 
 @query(sql("checked", "SELECT sale_id, sale_year, sale_month, sale_day FROM checked"))
 def date_parts(spark: SparkSession, sf: str) -> DataFrame:
-    derived = enrich.derive_date_parts(staging.stage_transactions(inputs.sales(spark, sf)))
+    derived = enrich.derive_date_parts(staging.stage_transactions(inputs.completed(spark, sf)))
     return derived.select("sale_id", "sale_year", "sale_month", "sale_day")
 
 
@@ -173,11 +178,11 @@ def region_normalise(spark: SparkSession, sf: str) -> DataFrame:
     sql(
         "sales",
         "SELECT s.sale_id, s.updated_at, s.product_id, n.r_name AS region FROM sales s "
-        "LEFT JOIN region n ON lower(replace(s.region, ' ', '_')) = lower(n.r_name)",
+        "LEFT JOIN region n ON s.region = n.r_name",
     )
 )
 def region_join(spark: SparkSession, sf: str) -> DataFrame:
-    names = table(spark, sf, "region").select(F.lower("r_name").alias("name"), F.col("r_name").alias("display_name"))
+    names = files.read_region_config(spark, files.shipped(spark, "regions.json"))
     coded = inputs.sales(spark, sf).withColumn("region", _code())
     return files.with_region_names(coded, names).select("sale_id", "updated_at", "product_id", "region")
 
@@ -203,7 +208,7 @@ def row_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(sql("checked", "SELECT sale_id, quantity, unit_price, total_amount, is_amount_valid FROM checked"))
 def amount_validity(spark: SparkSession, sf: str) -> DataFrame:
-    enriched = enrich.enrich(staging.stage_transactions(inputs.sales(spark, sf)))
+    enriched = enrich.enrich(staging.stage_transactions(inputs.completed(spark, sf)))
     return enriched.select("sale_id", "quantity", "unit_price", "total_amount", "is_amount_valid")
 
 
@@ -229,7 +234,7 @@ def validated(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(sql("checked", "SELECT * FROM checked WHERE validation_failure_reason IS NOT NULL"))
 def quarantine(spark: SparkSession, sf: str) -> DataFrame:
-    return enrich.quarantined(inputs.checked(inputs.sales(spark, sf)))
+    return enrich.quarantined(inputs.checked(inputs.completed(spark, sf)))
 
 
 @query(sql("sales", "SELECT * FROM sales WHERE NOT is_deleted"))
@@ -249,7 +254,7 @@ def cdc_delete_markers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _MARKERS = """SELECT DISTINCT sale_id, region, updated_at, _cdc_operation, _cdc_source_ts, etl_batch_id
-  FROM sales WHERE is_deleted AND etl_batch_id IS NOT NULL"""
+  FROM sales WHERE status = 'completed' AND is_deleted AND etl_batch_id IS NOT NULL"""
 
 
 @query(
@@ -260,7 +265,7 @@ _MARKERS = """SELECT DISTINCT sale_id, region, updated_at, _cdc_operation, _cdc_
 )
 def union_live_deletes(spark: SparkSession, sf: str) -> DataFrame:
     live = inputs.fact(spark, sf).drop("_row_inserted_at", "_row_updated_at")
-    return staging.union_live_and_markers(live, staging.delete_markers(inputs.sales(spark, sf)))
+    return staging.union_live_and_markers(live, staging.delete_markers(inputs.completed(spark, sf)))
 
 
 @query(

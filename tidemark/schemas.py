@@ -23,6 +23,8 @@ PAYMENT_METHODS = ["credit", "cash", "debit"]
 NULL_TOKENS = ["NULL", "null", ""]
 MIN_RECORD_COUNT = 100
 MAX_NULL_PERCENTAGE = 5.0
+# Share of a batch's live rows that may fail the row rules before the batch as a whole is stopped.
+MAX_FAILING_PERCENTAGE = 10.0
 CRITICAL_COLUMNS = ["sale_id", "customer_id", "product_id", "sale_date", "total_amount"]
 REQUIRED_COLUMNS = [
     "sale_id",

@@ -207,15 +207,14 @@ def merge_into_fact(
     """
     columns = TOMBSTONE_FACT_COLUMNS if newest_only else FACT_COLUMNS
     schema = schema_of(columns)
-    runs = f"{shared_dir(spark)}/tidemark/merge/{hashlib.md5(path.encode()).hexdigest()}"
+    runs = _runs(spark, path)
     earlier = _attempts(spark, runs)
     for attempt in earlier:
         if exists(spark, f"{attempt}/{STAGED}") and not exists(spark, f"{attempt}/{PUBLISHED}"):
             _publish(spark, path, attempt, schema, newest_only)
-    if once:
-        for attempt in earlier:
-            if attempt.rsplit("/", 1)[-1].startswith(f"{run_id}{SEPARATOR}") and exists(spark, f"{attempt}/{PUBLISHED}"):
-                return written(merge_tally(_staged(spark, attempt, schema)), "tally")
+    done = _published(spark, earlier, run_id) if once else None
+    if done is not None:
+        return written(merge_tally(_staged(spark, done, schema)), "tally")
     for kept, root in ((daily, _daily_path(path)), (history, _history_path(path))):
         if not kept and exists(spark, f"{root}/{FILLED}"):
             raise ValueError(f"{root} is kept from the merges into {path}; this merge leaves it out")
@@ -227,6 +226,21 @@ def merge_into_fact(
     return written(merge_tally(_staged(spark, attempt, schema)), "tally")
 
 
+def _runs(spark: SparkSession, path: str) -> str:
+    return f"{shared_dir(spark)}/tidemark/merge/{hashlib.md5(path.encode()).hexdigest()}"
+
+
+def _published(spark: SparkSession, attempts: Sequence[str], run_id: str) -> str | None:
+    """The published attempt of a run, if it is still there."""
+    of_run = [a for a in attempts if a.rsplit("/", 1)[-1].startswith(f"{run_id}{SEPARATOR}")]
+    return next((a for a in of_run if exists(spark, f"{a}/{PUBLISHED}")), None)
+
+
+def is_merged(spark: SparkSession, path: str, run_id: str) -> bool:
+    """Was this run the last to be merged into the table?"""
+    return _published(spark, _attempts(spark, _runs(spark, path)), run_id) is not None
+
+
 def _attempts(spark: SparkSession, runs: str) -> list[str]:
     """Folders of the merges into a table: the last published one, and what a failure left."""
     fs, hadoop_path = _fs(spark, runs)

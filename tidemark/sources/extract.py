@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions import batch_window
 from tidemark.schemas import COMPLETED, EXTRACT_COLUMNS, SOURCE_COLUMNS
 
 
-def extract_window(source: DataFrame, as_of: dt.date, completed_only: bool = True) -> DataFrame:
-    """Rows changed in the day before ``as_of``, in the source's fixed columns.
+def extract_window(source: DataFrame, as_of: dt.date, completed_only: bool = True, more: Sequence[str] = ()) -> DataFrame:
+    """Rows changed in the day before ``as_of``, in the source's fixed columns and ``more``.
 
     The conditions are plain comparisons on stored columns, so parquet and JDBC
     readers evaluate them at the source.
@@ -24,7 +25,7 @@ def extract_window(source: DataFrame, as_of: dt.date, completed_only: bool = Tru
     rows = source.filter((F.col("updated_at") >= start) & (F.col("updated_at") < end))
     if completed_only:
         rows = rows.filter(F.col("status") == COMPLETED)
-    return rows.select(*SOURCE_COLUMNS)
+    return rows.select(*SOURCE_COLUMNS, *more)
 
 
 def consolidate(extracts: Mapping[str, DataFrame], batch_id: str) -> DataFrame:
@@ -47,9 +48,13 @@ def extract_regions(sources: Mapping[str, DataFrame], as_of: dt.date) -> DataFra
     )
 
 
-def read_batch(spark: SparkSession, path: str, batch_id: str) -> DataFrame:
-    """One batch of a table stored by batch id; other batches are not listed or read."""
-    return spark.read.parquet(path).filter(F.col("etl_batch_id") == batch_id)
+def read_batch(spark: SparkSession, path: str, batch_id: str, schema: StructType | None = None) -> DataFrame:
+    """One batch of a table stored by batch id; other batches are not read.
+
+    Give the schema, or Spark takes batch ids of digits for numbers.
+    """
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(path).filter(F.col("etl_batch_id") == batch_id)
 
 
 def jdbc_source(spark: SparkSession, url: str, table: str, options: Mapping[str, str] | None = None) -> DataFrame:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.schemas import NULL_TOKENS, PAYMENT_METHOD_DDL, REGION_CONFIG_DDL
+from tidemark.session import fresh_path
 
 CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -44,6 +46,14 @@ def read_stage_csv(spark: SparkSession, path: str, schema: StructType) -> DataFr
     return rows.select(*cleaned)
 
 
+def shipped(spark: SparkSession, name: str) -> str:
+    """Where every executor finds a file of ``tidemark/config``: its lines are put into the shared folder first."""
+    lines = (Path(__file__).resolve().parents[1] / "config" / name).read_text().splitlines()
+    path = fresh_path(spark, name)
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(path)
+    return path
+
+
 def read_seed(spark: SparkSession, path: str, ddl: str = PAYMENT_METHOD_DDL) -> DataFrame:
     """A reference table from a CSV file with a header line."""
     return spark.read.schema(ddl).option("header", "true").option("mode", "FAILFAST").csv(path)

@@ -20,6 +20,22 @@ def progress(query: StreamingQuery) -> dict:
     }
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that a query's stateful operators have dropped as too late, over the batches its progress still lists."""
+    operators = [operator for batch in query.recentProgress for operator in batch["stateOperators"]]
+    return sum(operator["numRowsDroppedByWatermark"] for operator in operators)
+
+
+def redelivery_delay(landed: DataFrame, least: str = "1 day") -> str:
+    """How far apart two deliveries of one log position have been, and ``least`` at least, as a watermark's delay."""
+    spans = landed.groupBy("_kafka_partition", "_kafka_offset").agg(
+        F.timestamp_diff("SECOND", F.min("_kafka_timestamp"), F.max("_kafka_timestamp")).alias("apart")
+    )
+    minimum = F.unix_seconds(F.lit("1970-01-01T00:00:00Z").cast("timestamp") + F.expr(f"interval {least}"))
+    widest = spans.agg(F.greatest(F.coalesce(F.max("apart") + 1, F.lit(0)), minimum).alias("delay")).first().delay
+    return f"{widest} seconds"
+
+
 def stream_lag(landed: DataFrame, merged: DataFrame) -> DataFrame:
     """Per log partition: newest landed offset, newest merged offset, records behind.
 

@@ -5,16 +5,17 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.operators.dedup import latest_event_per_key
 from tidemark.schemas import STAGE_COLUMNS, schema_of
-from tidemark.sinks.fact_table import merge_into_fact
+from tidemark.sinks.fact_table import is_merged, merge_into_fact
 from tidemark.sinks.partitions import replace_slices
 from tidemark.streaming.envelope import dead_letters, parse_envelopes
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 RAW_DDL = (
     "record_content string, _kafka_topic string, _kafka_partition int, _kafka_offset bigint, "
     "_kafka_timestamp timestamp_ntz, _inserted_at timestamp_ntz"
@@ -81,12 +82,19 @@ def dead_letter_stream(raw: DataFrame, path: str, checkpoint: str, every: str |
     return start(writer, checkpoint, every)
 
 
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """Let stateful streams of the session keep their state in RocksDB, outside the executors' heap."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
 def without_redelivered(records: DataFrame, within: str) -> DataFrame:
     """Drop records delivered again, by log position, within ``within`` of arrival time.
 
-    State is bounded by that time; a record that arrives later than it behind
-    the newest one is dropped too, so choose it above the log's retention.
+    State is bounded by that time (``monitor.redelivery_delay`` takes it from
+    the log) and lies in RocksDB. A record that arrives later than it behind
+    the newest one is dropped too; ``monitor.late_rows`` counts these.
     """
+    keep_state_on_disk(records.sparkSession)
     watermarked = records.withColumn("_arrived", F.col("_kafka_timestamp").cast("timestamp")).withWatermark("_arrived", within)
     return watermarked.dropDuplicatesWithinWatermark(["_kafka_partition", "_kafka_offset"]).drop("_arrived")
 
@@ -115,28 +123,36 @@ def merge_stream(
         session = batch.sparkSession
         query_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
         run_id = f"{query_id}-{batch_id}"
-        latest = latest_event_per_key(batch)
+        # The merge reads the batch once, and counts it on the way; only a merge that was done before does not.
+        seen = None if is_merged(session, fact_path, run_id) else Observation()
+        latest = latest_event_per_key(batch if seen is None else batch.observe(seen, *_offset_range()))
         tally = merge_into_fact(session, fact_path, latest, as_of, run_id, newest_only=True, once=True)
-        audit = audit_row(batch, tally, batch_id, as_of).withColumn("query_id", F.lit(query_id))
+        ranged = offset_range(batch) if seen is None else session.createDataFrame([tuple(seen.get[n] for n in RANGE)], RANGE_DDL)
+        audit = audit_row(ranged, tally, batch_id, as_of).withColumn("query_id", F.lit(query_id))
         replace_slices(audit, audit_path, ["query_id", "merge_id"])
 
     stream = landed_stream(spark, staged_path, ddl, max_files=max_files, max_bytes=max_bytes)
     return start(stream.writeStream.foreachBatch(merge_batch), checkpoint, every)
 
 
+RANGE = ["events", "min_kafka_offset", "max_kafka_offset"]
+RANGE_DDL = ", ".join(f"{name} bigint" for name in RANGE)
+
+
+def _offset_range() -> list[Column]:
+    offset = F.col("_kafka_offset")
+    return [c.alias(name) for c, name in zip((F.count(F.lit(1)), F.min(offset), F.max(offset)), RANGE, strict=True)]
+
+
 def offset_range(batch: DataFrame) -> DataFrame:
     """Number of events of a batch and the log positions they span."""
-    return batch.agg(
-        F.count(F.lit(1)).alias("events"),
-        F.min("_kafka_offset").alias("min_kafka_offset"),
-        F.max("_kafka_offset").alias("max_kafka_offset"),
-    )
+    return batch.agg(*_offset_range())
 
 
-def audit_row(batch: DataFrame, tally: DataFrame, batch_id: int, as_of: dt.datetime) -> DataFrame:
-    """One row about one merge: counts, offset range, status."""
+def audit_row(ranged: DataFrame, tally: DataFrame, batch_id: int, as_of: dt.datetime) -> DataFrame:
+    """One row about one merge: counts, offset range (a row of ``offset_range``), status."""
     done = {name: tally.select(name).scalar() for name in tally.columns}
-    return offset_range(batch).select(
+    return ranged.select(
         F.lit(batch_id).cast("bigint").alias("merge_id"),
         F.lit(as_of).cast("timestamp_ntz").alias("merge_timestamp"),
         *[count.alias(name) for name, count in done.items()],
