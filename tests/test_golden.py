@@ -305,3 +305,29 @@ def test_contract_write_leaves_the_table(spark):
     with pytest.raises(contract.ContractError, match="v: bigint instead of int"):
         contract.rebuild(df.withColumn("v", F.col("v").cast("bigint")), path, kept)
     assert {(r.k, r.v) for r in spark.read.parquet(path).collect()} == {("a", 1), ("b", None)}
+
+
+def test_relations_pair_null_keys_and_count_columns_of_either_side(spark):
+    left = spark.createDataFrame([(1, None, "a"), (None, 2, "b"), (3, 3, "c"), (4, 4, "d")], "k int, j int, v string")
+    right = spark.createDataFrame([(1, None, "a", None), (None, 2, "b", "more"), (3, 3, "c", None), (5, 5, "e", None)], "k int, j int, v string, w string")
+    want = {"same": 2, "different": 1, "only_left": 1, "only_right": 1}
+    assert dict(quality.compare_relations(left, right, ["k", "j"]).collect()) == want
+    for segments in (1, 3, 100):
+        assert dict(quality.compare_by_segments(left, right, ["k", "j"], segments).collect()) == want
+    assert dict(quality.compare_by_segments(left, left, ["k", "j"]).collect()) == {"same": 4}
+    assert quality.compare_by_segments(left.limit(0), left.limit(0), ["k"]).collect() == []
+
+
+def test_types_of_stored_generations(spark):
+    from tidemark.session import fresh_path
+    from tidemark.sinks import evolving
+
+    path = fresh_path(spark, "evolving")
+    evolving.append(spark.createDataFrame([(1, D("1.5"), 2)], "a int, d decimal(6,2), gone int"), path)
+    evolving.append(spark.createDataFrame([(1 << 40, D("2.125"))], "a long, d decimal(8,3)"), path)
+    evolving.append(spark.createDataFrame([(7, 3)], "a int, gone int"), path)
+    rows = sorted(map(tuple, evolving.read(spark, path).collect()), key=str)
+    assert rows == sorted([(1, D("1.500"), 2), (1 << 40, D("2.125"), None), (7, None, 3)], key=str)
+    with pytest.raises(merge.SchemaChangeError, match="string does not go with bigint"):
+        evolving.append(spark.createDataFrame([("x",)], "a string"), path)
+    assert evolving.read(spark, path).count() == 3

@@ -16,7 +16,7 @@ from tidemark.plans.registry import query
 from tidemark.schemas import FACT_COLUMNS, schema_of
 from tidemark.session import fresh_path, written
 from tidemark.sinks import contract as contracts
-from tidemark.sinks import csv_export, fact_table, partitions
+from tidemark.sinks import csv_export, evolving, fact_table, partitions
 from tidemark.sources import extract, files
 
 _FACT_LIST = ", ".join(FACT_COLUMNS)
@@ -198,6 +198,48 @@ def schema_append(spark: SparkSession, sf: str) -> DataFrame:
     return merge.append_rows(target, inputs.fact_of(inputs.after_cut(spark, sf), inputs.AS_OF))
 
 
+def _two_generations(spark: SparkSession, sf: str, policy: str) -> DataFrame:
+    """A stored table without profit, then rows with it, without discounts, and with wider quantities."""
+    path = fresh_path(spark, "evolving")
+    evolving.append(inputs.old_fact(spark, sf).drop("gross_profit"), path)
+    later = inputs.fact_of(inputs.after_cut(spark, sf), inputs.AS_OF).drop("discount_amount")
+    try:
+        evolving.append(later.withColumn("quantity", F.col("quantity").cast("bigint")), path, policy)
+    except merge.SchemaChangeError:
+        if policy != "fail":
+            raise
+    return evolving.read(spark, path)
+
+
+def _generations(old: str, new: str) -> str:
+    wide = "REPLACE (CAST(quantity AS BIGINT) AS quantity)"
+    return sql(
+        "old_fact new_fact",
+        f"SELECT * EXCLUDE ({old}) {wide} FROM old_fact UNION ALL BY NAME SELECT * EXCLUDE ({new}) {wide} FROM new_fact",
+    )
+
+
+@query(_generations("gross_profit", "gross_profit, discount_amount"))
+def schema_ignore(spark: SparkSession, sf: str) -> DataFrame:
+    return _two_generations(spark, sf, "ignore")
+
+
+@query(_generations("gross_profit", "discount_amount"))
+def schema_append_stored(spark: SparkSession, sf: str) -> DataFrame:
+    return _two_generations(spark, sf, "append_new_columns")
+
+
+@query(_generations("gross_profit, discount_amount", "discount_amount"))
+def schema_sync(spark: SparkSession, sf: str) -> DataFrame:
+    return _two_generations(spark, sf, "sync_all_columns")
+
+
+@query(sql("old_fact", "SELECT * EXCLUDE (gross_profit) FROM old_fact"))
+def schema_fail(spark: SparkSession, sf: str) -> DataFrame:
+    """Under this policy the second generation is refused and the table stays."""
+    return _two_generations(spark, sf, "fail")
+
+
 @query(
     sql(
         "old_fact new_fact",
