@@ -53,19 +53,19 @@ def rule_violations(spark: SparkSession, sf: str) -> DataFrame:
 
 _GATE = f"""SELECT etl_batch_id, total_records, invalid_records,
   CASE WHEN failure_reason IS NULL THEN 'load' ELSE 'quarantine' END AS decision, failure_reason FROM (
-  SELECT *, CASE WHEN total_records < 100 THEN 'too few records: ' || total_records
+  SELECT *, CASE WHEN total_records < {{least}} THEN 'too few records: ' || total_records
     {' '.join(f"WHEN null_{c} * 100 > 5.0 * total_records THEN 'too many NULLs in {c}: ' || null_{c}" for c in CRITICAL_COLUMNS)}
     WHEN invalid_records > 0 THEN 'business rules broken: ' || invalid_records END AS failure_reason
   FROM (SELECT etl_batch_id, count(*) AS total_records, {_NULLS},
       count(*) FILTER (WHERE {_BROKEN}) AS invalid_records FROM {{source}} GROUP BY etl_batch_id) g) d"""
 
 
-@query(sql("fact", _GATE.format(source="fact")))
+@query(sql("fact", _GATE.format(source="fact", least=100)))
 def dq_gate(spark: SparkSession, sf: str) -> DataFrame:
     return gate.batch_gate(inputs.fact(spark, sf))
 
 
-@query(sql("sales", _GATE.format(source="(SELECT * FROM sales WHERE NOT is_deleted) live")))
+@query(sql("sales", _GATE.format(source="(SELECT * FROM sales WHERE NOT is_deleted) live", least=100)))
 def dq_gate_raw(spark: SparkSession, sf: str) -> DataFrame:
     return gate.batch_gate(_live(spark, sf))
 
@@ -73,13 +73,13 @@ def dq_gate_raw(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     sql(
         "fact",
-        f"SELECT f.* FROM fact f JOIN ({_GATE.format(source='fact')}) g ON f.etl_batch_id = g.etl_batch_id "
+        f"SELECT f.* FROM fact f JOIN ({_GATE.format(source='fact', least=20)}) g ON f.etl_batch_id = g.etl_batch_id "
         "WHERE g.decision = 'load'",
     )
 )
 def gate_admitted_rows(spark: SparkSession, sf: str) -> DataFrame:
     fact = inputs.fact(spark, sf)
-    return gate.route_batches(fact, gate.batch_gate(fact))[0]
+    return gate.route_batches(fact, gate.batch_gate(fact, min_records=20))[0]
 
 
 @query(
@@ -295,16 +295,15 @@ def test_relationships(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     sql(
-        "parsed",
-        "SELECT substr(store_id, 2) AS store_id, count(*) AS orphan_count FROM parsed WHERE store_id IS NOT NULL "
-        "AND substr(store_id, 2) NOT IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier) GROUP BY 1",
+        "fact parsed",
+        "SELECT store_id, count(*) AS orphan_count FROM fact WHERE store_id NOT IN "
+        "(SELECT substr(store_id, 2) FROM parsed WHERE store_id IS NOT NULL) GROUP BY store_id",
     )
 )
 def orphan_stores(spark: SparkSession, sf: str) -> DataFrame:
-    """Store numbers of change events that no supplier has."""
-    rows = inputs.staged_events(spark, sf).select(F.substring("store_id", 2, 20).alias("store_id"))
-    stores = table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("store_id"))
-    return quality.orphan_keys(rows, stores, "store_id")
+    """Stores of the fact that no change event names."""
+    named = inputs.staged_events(spark, sf).select(F.substring("store_id", 2, 20).alias("store_id"))
+    return quality.orphan_keys(inputs.fact(spark, sf), named.distinct(), "store_id")
 
 
 @query(
