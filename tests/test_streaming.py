@@ -127,3 +127,38 @@ def test_only_new_data_runs_and_late_events_do_not_revive(spark):
     audit = spark.read.parquet(paths["audit"]).orderBy("merge_id").collect()
     assert [(r.rows_inserted, r.rows_updated, r.rows_deleted, r.min_kafka_offset, r.max_kafka_offset) for r in audit] == [
         (2, 0, 0, 0, 1), (0, 0, 1, 10, 10), (0, 0, 0, 20, 21)]
+
+
+def test_late_rows_are_dropped_and_counted(spark):
+    landing, path, checkpoint = (fresh_path(spark, name) for name in ("landing", "distinct", "c"))
+    hours = [(0, 0), (1, 100), (1, 100), (2, 99), (3, 98)]
+    rows = [("{}", "t", 0, offset, NOW + dt.timedelta(hours=h)) for offset, h in hours]
+    ddl = "record_content string, _kafka_topic string, _kafka_partition int, _kafka_offset long, _kafka_timestamp timestamp_ntz"
+    first = spark.createDataFrame(rows, ddl)
+    assert monitor.redelivery_delay(first) == "86400 seconds"
+    again = spark.createDataFrame([*rows, ("{}", "t", 0, 1, NOW + dt.timedelta(hours=130))], ddl)
+    assert monitor.redelivery_delay(again) == f"{30 * 3600 + 1} seconds"
+    late = []
+    for records in (first, spark.createDataFrame([("{}", "t", 0, 4, NOW + dt.timedelta(hours=75)), ("{}", "t", 0, 5, NOW + dt.timedelta(hours=77))], ddl)):
+        pipeline.land(records, landing, NOW)
+        kept = pipeline.without_redelivered(pipeline.landed_stream(spark, landing), "86400 seconds").select("_kafka_offset")
+        query = pipeline.start(kept.writeStream.format("parquet").option("path", path), checkpoint)
+        query.awaitTermination()
+        late.append(monitor.late_rows(query))
+    assert late == [0, 1]
+    assert sorted(r[0] for r in spark.read.schema("_kafka_offset long").parquet(path).collect()) == [0, 1, 2, 3, 5]
+
+
+def test_merge_that_runs_again_keeps_its_audit_row(spark, monkeypatch):
+    staged, fact, audit, checkpoint = (fresh_path(spark, name) for name in ("staged", "fact", "audit", "c"))
+    envelope.parse_envelopes(raw(spark, [record("c", image(1)), record("c", image(2))]), NOW).write.parquet(staged)
+    with monkeypatch.context() as patch:
+        patch.setattr(pipeline, "replace_slices", lambda *args: 1 / 0)  # dies after the merge, before its audit row
+        try:
+            pipeline.merge_stream(spark, staged, fact, audit, checkpoint, NOW).awaitTermination()
+        except Exception:  # noqa: BLE001
+            pass
+    assert not fact_table.exists(spark, audit)
+    pipeline.merge_stream(spark, staged, fact, audit, checkpoint, NOW).awaitTermination()
+    rows = spark.read.parquet(audit).collect()
+    assert [(r.rows_inserted, r.events, r.min_kafka_offset, r.max_kafka_offset) for r in rows] == [(2, 2, 0, 1)]

@@ -175,14 +175,22 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     sql(
         "parsed",
-        """SELECT CAST(sale_date AS DATE) AS sale_date, region, count(*) AS event_count,
-  CAST(sum(total_amount) AS DECIMAL(18,2)) AS revenue FROM parsed WHERE NOT is_deleted GROUP BY 1, 2""",
+        f"""SELECT CAST(sale_date AS DATE) AS sale_date, region, count(*) AS event_count,
+  CAST(sum(total_amount) AS DECIMAL(18,2)) AS revenue
+FROM parsed, (SELECT max(CAST(sale_date AS DATE)) AS newest FROM parsed WHERE NOT is_deleted AND NOT {_LATER}) n
+WHERE NOT is_deleted AND (NOT {_LATER} OR CAST(sale_date AS DATE) + 1 > newest - 1) GROUP BY 1, 2""",
     )
 )
 def stream_daily_window(spark: SparkSession, sf: str) -> DataFrame:
-    staged, path = _staged(spark, sf), fresh_path(spark, "windows")
-    rows = pipeline.landed_stream(spark, staged, schema_of(STAGE_COLUMNS), max_bytes=BATCH_BYTES)
-    windows.daily_window_stream(rows, path, fresh_path(spark, "checkpoint"), "3650 days").awaitTermination()
+    """Daily windows of the log, and of what comes after it as far as the windows are still open."""
+    records, names = inputs.raw_events(spark, sf), ("landing", "staged", "windows", "parsing", "counting")
+    landing, staged, path, parsing, counting = (fresh_path(spark, name) for name in names)
+    for part in (f"NOT {_LATER}", _LATER):
+        pipeline.land(records.filter(part), landing, inputs.EVENTS_AS_OF)
+        pipeline.parse_stream(pipeline.landed_stream(spark, landing), staged, parsing, inputs.EVENTS_AS_OF).awaitTermination()
+        delay = windows.sale_delay(spark.read.schema(schema_of(STAGE_COLUMNS)).parquet(staged).filter(f"NOT {_LATER}"))
+        rows = pipeline.landed_stream(spark, staged, schema_of(STAGE_COLUMNS))
+        windows.daily_window_stream(rows, path, counting, delay).awaitTermination()
     schema = "event_count bigint, revenue decimal(18,2), sale_date date, region string"
     return spark.read.schema(schema).parquet(path)
 
