@@ -294,7 +294,7 @@ def test_daily_batch(spark):
     rows = rows.withColumn("updated_at", F.when(F.year("updated_at") < 1998, F.lit(dt.datetime(2001, 9, 1))).otherwise(F.lit(dt.datetime(2001, 9, 2))).cast("timestamp_ntz"))
     sources = {code: rows.filter(F.col("region") == name) for code, name in labels.items()}
     results = [
-        daily_batch.run_daily_batch(spark, sources, warehouse, dt.date(2001, 9, d), labels) for d in (2, 3)
+        daily_batch.run_daily_batch(spark, sources, warehouse, dt.date(2001, 9, d), labels, max_failing_percentage=90.0) for d in (2, 3)
     ]
     assert all(r.loaded for r in results)
     assert [r.verification.first().status for r in results] == ["success"] * 2
@@ -306,10 +306,12 @@ def test_daily_batch(spark):
     kept, rebuilt = fact_table.read_daily(spark, warehouse.path("fact")), aggregates.daily_sales(fact, NOW)
     assert rows_of(kept) == rows_of(rebuilt)
     before = fact.count()
-    held = daily_batch.run_daily_batch(spark, sources, warehouse, dt.date(2001, 9, 2), labels, min_records=10**9)
+    held = daily_batch.run_daily_batch(spark, sources, warehouse, dt.date(2001, 9, 2), labels, min_records=10**9, max_failing_percentage=90.0)
     first = held.decision.first()
     assert not held.loaded and first.decision == "deletes_only" and "too few" in first.failure_reason
     assert held.tally.first().rows_inserted == 0
+    failing = daily_batch.run_daily_batch(spark, sources, warehouse, dt.date(2001, 9, 2), labels)
+    assert not failing.loaded and failing.tally is None and "too many failing rows" in failing.decision.first().failure_reason
     nothing = daily_batch.run_daily_batch(spark, sources, warehouse, dt.date(2001, 9, 20), labels)
     assert (nothing.decision.first().decision, nothing.loaded, nothing.tally) == ("no_data", False, None)
     assert fact_table.read_fact(spark, warehouse.path("fact")).count() <= before

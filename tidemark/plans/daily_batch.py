@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import batch_window
 from tidemark.operators import aggregates, enrich, gate, quality, staging
 from tidemark.operators.dedup import latest_change_per_key
-from tidemark.schemas import EXTRACT_COLUMNS, MIN_RECORD_COUNT, STAGE_COLUMNS, conform, schema_of
+from tidemark.schemas import EXTRACT_COLUMNS, MAX_FAILING_PERCENTAGE, MIN_RECORD_COUNT, STAGE_COLUMNS, conform, schema_of
 from tidemark.session import written
 from tidemark.sinks import csv_export, fact_table, partitions
 from tidemark.sources import extract, files
@@ -59,6 +59,7 @@ def run_daily_batch(
     as_of: dt.date,
     labels: Mapping[str, str],
     min_records: int = MIN_RECORD_COUNT,
+    max_failing_percentage: float = MAX_FAILING_PERCENTAGE,
 ) -> BatchResult:
     """Extract one day from all regions, check it, and merge it into the warehouse."""
     batch_id = batch_window(as_of).batch_id
@@ -80,7 +81,7 @@ def run_daily_batch(
     )
     good = enrich.passed(checked).drop("is_amount_valid", "validation_failure_reason")
     due = spark.createDataFrame([(batch_id,)], "etl_batch_id string")
-    decision = written(gate.batch_decisions(due, checked, markers, min_records), "decision")
+    decision = written(gate.batch_decisions(due, checked, markers, min_records, max_failing_percentage=max_failing_percentage), "decision")
     decided = decision.select("decision").first().decision
     if decided not in (gate.LOAD, gate.DELETES_ONLY):
         return BatchResult(batch_id, decision, loaded=False)

@@ -147,10 +147,10 @@ def extraction_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 _DECISIONS = f"""SELECT etl_batch_id, total_records, delete_markers, failing_records,
   CASE WHEN total_records = 0 AND delete_markers = 0 THEN 'no_data' WHEN broken IS NOT NULL THEN 'quarantine'
-    WHEN total_records < 100 AND delete_markers > 0 THEN 'deletes_only' WHEN total_records < 100 THEN 'quarantine' ELSE 'load' END AS decision,
-  coalesce(broken, CASE WHEN total_records < 100 THEN 'too few records: ' || total_records END) AS failure_reason FROM (
+    WHEN total_records < 5 AND delete_markers > 0 THEN 'deletes_only' WHEN total_records < 5 THEN 'quarantine' ELSE 'load' END AS decision,
+  coalesce(broken, CASE WHEN total_records < 5 THEN 'too few records: ' || total_records END) AS failure_reason FROM (
   SELECT *, CASE {' '.join(f"WHEN null_{c} * 100 > 5.0 * total_records THEN 'too many NULLs in {c}: ' || null_{c}" for c in CRITICAL_COLUMNS)}
-    WHEN failing_records * 100 > 10.0 * total_records THEN 'too many failing rows: ' || failing_records END AS broken
+    WHEN failing_records * 100 > 75.0 * total_records THEN 'too many failing rows: ' || failing_records END AS broken
   FROM (SELECT e.etl_batch_id, coalesce(total_records, 0) AS total_records, coalesce(delete_markers, 0) AS delete_markers,
       coalesce(failing_records, 0) AS failing_records, {', '.join(f'coalesce(null_{c}, 0) AS null_{c}' for c in CRITICAL_COLUMNS)}
     FROM (SELECT strftime(unnest(generate_series(min(updated_at), max(updated_at) + INTERVAL 62 DAY, INTERVAL 1 DAY)), '%Y%m%d') AS etl_batch_id FROM sales) e
@@ -171,6 +171,8 @@ def batch_decisions(spark: SparkSession, sf: str) -> DataFrame:
         due.select(F.date_format("day", "yyyyMMdd").alias("etl_batch_id")),
         inputs.checked(rows).withColumn("etl_batch_id", batch),
         staging.split_deleted(rows).withColumn("etl_batch_id", batch),
+        min_records=5,
+        max_failing_percentage=75.0,
     )
 
 
