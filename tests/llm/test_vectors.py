@@ -168,3 +168,10 @@ def test_large_deviations(spark):
     model = whitening.Whitening(3, [9, 12], [-(1 << 40), 0], [1 << 40, 5], np.zeros((2, 0)), [])
     got = spark.createDataFrame([([1 << 30, 4],), ([5, 1 << 40],)], "x array<long>").select(whitening.squared_deviation(model)).collect()
     assert [r[0] for r in got] == [None if v >= 1 << 63 else v for v in ((3 * (1 << 30) - 9) ** 2, 36 + (3 * (1 << 40) - 12) ** 2)]
+
+
+def test_code_sql(spark):
+    from tests.oracle_check import compare, duck
+    from tidemark.llm.queries import ORACLES
+
+    assert compare(QUERIES["op11_vector_codes"](spark, SF_TINY), duck(SF_TINY), ORACLES["op11_vector_codes"]) == []

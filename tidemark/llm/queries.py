@@ -186,7 +186,41 @@ def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-@query()
+def _code_round(k: int) -> str:
+    """Assignment by the codebooks of round ``k``, as distance * 256 + entry, and the codebooks after it."""
+    return f"""a{k} AS (
+        SELECT row, p, min(CAST(list_inner_product(v, v) - 2 * list_inner_product(v, c) + list_inner_product(c, c) AS BIGINT) * 256 + e) AS m
+        FROM parts JOIN b{k} USING (p) GROUP BY row, p
+    ), means{k} AS (
+        SELECT p, e, list(floor(total / n) ORDER BY i) AS c FROM (
+            SELECT p, m % 256 AS e, i, sum(v[i]) AS total, count(*) AS n
+            FROM (SELECT row, p, v, unnest(range(1, len(v) + 1)) AS i FROM parts) JOIN a{k} USING (row, p) GROUP BY ALL
+        ) GROUP BY p, e
+    ), b{k + 1} AS (SELECT p, e, coalesce(means{k}.c, b{k}.c) AS c FROM b{k} LEFT JOIN means{k} USING (p, e))"""
+
+
+_CODES = f"""
+    WITH v AS (
+        SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id, label, list_transform(embedding, lambda c: floor(1024 * CAST(c AS DOUBLE))) AS x
+        FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding)
+    ), parts AS (
+        SELECT row, p, x[p * (len(x) // 4) + 1 : (p + 1) * (len(x) // 4)] AS v FROM v, range(4) t(p)
+    ), b0 AS (SELECT p, row - 1 AS e, v AS c FROM parts WHERE row <= 256),
+    {", ".join(_code_round(k) for k in range(4))},
+    last AS (
+        SELECT row, p, min(CAST(list_inner_product(v, v) - 2 * list_inner_product(v, c) + list_inner_product(c, c) AS BIGINT) * 256 + e) AS m
+        FROM parts JOIN b4 USING (p) GROUP BY row, p
+    ), coded AS (
+        SELECT row, string_agg(printf('%02x', m % 256), '' ORDER BY p) AS code, CAST(sum(m // 256) AS BIGINT) AS error FROM last GROUP BY row
+    )
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+           (SELECT sha256(string_agg(CAST(CAST(c[i] AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, i))
+            FROM (SELECT p, e, c, unnest(range(1, len(c) + 1)) AS i FROM b4)) AS codebooks_sha256
+    FROM v JOIN coded USING (row)
+    """
+
+
+@query(_CODES)
 def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes of all embeddings with their errors, by codebooks of 256 entries fitted in four rounds."""
     codes, books = vector_codes.compressed(table(spark, sf_dir, "embeddings"))
