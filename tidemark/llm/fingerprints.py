@@ -30,7 +30,7 @@ INTERVALS = 64
 WIDE = 1 << 24
 
 
-def sample(bits: Column, weight: Column) -> Column:
+def sample(bits: Column, log_weight: Column) -> Column:
     """A word's value (high bits) and the hash of word and step (low 32 bits), as one number to take the least of.
 
     ``bits`` is the hash of word and sample number.
@@ -43,7 +43,7 @@ def sample(bits: Column, weight: Column) -> Column:
     rate = -F.log(uniform(0, 13) * uniform(13, 13))
     value = F.log(-F.log(uniform(26, 13) * uniform(39, 13)))
     shift = uniform(52, 12)
-    step = F.floor(F.log(weight) / rate + shift)
+    step = F.floor(log_weight / rate + shift)
     least = ((value - rate * (step - shift + 1.0) + 64.0) * float(WIDE)).cast("long")
     name = bits.bitwiseXOR(F.shiftrightunsigned(bits, 31)).bitwiseXOR(F.shiftleft(step.cast("long"), 7)).bitwiseAND(F.lit(0xFFFFFFFF))
     return F.shiftleft(least, 32).bitwiseOR(name)
@@ -135,21 +135,38 @@ def signatures(rows: DataFrame, samples: int = SAMPLES) -> DataFrame:
     term = F.when(fact, F.substring_index("word", ":", 1).cast("long")).otherwise(F.xxhash64("word").bitwiseOR(F.lit(1)))
     own = F.when(fact, F.substring_index("word", ":", -1).cast("long")).otherwise(F.col("own").cast("long"))
     terms = words.groupBy("bucket", "number", term.alias("term")).agg(F.sum(own).alias("own"), F.sum("edit").alias("edit"))
-    hashed = terms.withColumns({f"h{j}": F.xxhash64("term", F.lit(j)) for j in range(samples)}).withColumn(
-        "word", F.col("term").bitwiseAND(F.lit(1)) == 1
+
+    def on(side: int, weight: str) -> Column:
+        return F.struct(F.lit(side).alias("side"), F.col(weight).alias("weight"))
+
+    # A word of equal weight in both texts (side 3) is sampled once for both; sides 1 and 2 are one text's alone.
+    is_word = F.col("term").bitwiseAND(F.lit(1)) == 1
+    sides = (
+        F.when(~is_word, F.array(on(0, "own")))
+        .when(F.col("own") == F.col("edit"), F.array(on(3, "own")))
+        .when(F.col("edit") == 0, F.array(on(1, "own")))
+        .when(F.col("own") == 0, F.array(on(2, "edit")))
+        .otherwise(F.array(on(1, "own"), on(2, "edit")))
+    )
+    weighted = terms.select("bucket", "number", "term", F.explode(sides).alias("s")).select(
+        "bucket",
+        "number",
+        "term",
+        "s.side",
+        "s.weight",
+        F.log("s.weight").alias("log_weight"),
+        *[F.xxhash64("term", F.lit(j)).alias(f"h{j}") for j in range(samples)],
     )
-    base = F.when(F.col("own") > 0, F.col("own")).otherwise(F.col("edit"))
-    least = []
-    for j in range(samples):
-        first = sample(F.col(f"h{j}"), base)
-        again = F.when(F.col("edit") == base, first).otherwise(sample(F.col(f"h{j}"), F.col("edit")))
-        least += [
-            F.min(F.when(F.col("word") & (F.col("own") > 0), first)).alias(f"a{j}"),
-            F.min(F.when(F.col("word") & (F.col("edit") > 0), again)).alias(f"b{j}"),
-        ]
-    kept = [F.max(F.when(F.col("term") == 2 * k, F.col("own"))).alias(name) for k, name in enumerate(names)]
+    kept = [F.max(F.when(F.col("term") == 2 * k, F.col("weight"))).alias(name) for k, name in enumerate(names)]
+    least = [F.min(sample(F.col(f"h{j}"), F.col("log_weight"))).alias(f"m{j}") for j in range(samples)]
+    by_side = weighted.groupBy("bucket", "number", "side").agg(*kept, *least)
+    of_text = [
+        F.min(F.when(F.col("side").bitwiseAND(F.lit(bit)) > 0, F.col(f"m{j}"))).alias(f"{text}{j}")
+        for text, bit in (("a", 1), ("b", 2))
+        for j in range(samples)
+    ]
     low = F.lit(0xFFFFFFFF)
-    found = hashed.groupBy("bucket", "number").agg(*kept, *least)
+    found = by_side.groupBy("bucket", "number").agg(*[F.max(name).alias(name) for name in names], *of_text)
     return found.select(
         "bucket",
         "number",
