@@ -7,15 +7,19 @@ split at that share instead of the half. The medians are found by counting:
 each pass adds up bytes by node and bin, picks the bin that holds the cut and
 splits it again, so no task ever sees a node's rows together.
 
-A unit lies in one shard unless it is larger than a small share of a shard;
+Units larger than a small share of a shard (of which there are few) are placed
+first, the largest in the emptiest shard, and the tree fills the room that they
+leave. A unit thus lies in one shard, unless there is none with room for it;
 then its rows are dealt to parts that may be split. Null metadata sort first,
 null texts have no bytes. Rows with equal ids are separate documents.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +27,7 @@ from tidemark.llm.common import running_total, salted_join, text_of, written
 
 DIMENSIONS = ("n_points", "source_rank", "lang_rank")
 BINS = 1024
-# A unit above this share of a shard is dealt to parts; a cut this close to its aim is done.
+# A unit above this share of a shard is placed before the tree; a cut this close to its aim is done.
 UNIT_SHARE = 1 / 64
 TOLERANCE = 1 / 1024
 TIE_RANGE = 1 << 40
@@ -50,21 +54,55 @@ def _ranks(rows: DataFrame, column: str) -> DataFrame:
     return values.select(column, F.row_number().over(Window.orderBy(F.col(column).asc_nulls_first())).cast("long").alias(f"{column}_rank"))
 
 
-def units_of(rows: DataFrame, target: int) -> tuple[DataFrame, DataFrame]:
-    """Rows with their unit's part, and one row per unit and part: bytes and metadata of its first document."""
-    weights = rows.groupBy("unit").agg(F.sum("size").alias("_bytes"))
-    parts = F.ceil(F.col("_bytes") / max(1.0, target * UNIT_SHARE)).cast("int")
-    heavy = weights.filter(parts > 1).select("unit", parts.alias("_parts"))
+def large_units(rows: DataFrame, target: float, shards: int) -> DataFrame:
+    """Units above ``UNIT_SHARE`` of a shard with the shard that takes them whole, null where none has room.
+
+    No more than ``shards / UNIT_SHARE`` units are so large; one task places
+    them by their bytes alone.
+    """
+
+    def place(units: pd.DataFrame) -> pd.DataFrame:
+        emptiest = [(0, k) for k in range(shards)]
+        units = units.sort_values(["bytes", "unit"], ascending=[False, True])
+        found: list[int | None] = []
+        for size in units["bytes"].tolist():
+            load, shard = emptiest[0]
+            fits = load + size <= target * (1 + TOLERANCE)
+            if fits:
+                heapq.heapreplace(emptiest, (load + size, shard))
+            found.append(shard if fits else None)
+        return units.assign(shard=pd.array(found, dtype="Int64"))
+
+    weights = rows.groupBy("unit").agg(F.sum("size").alias("bytes")).filter(F.col("bytes") > target * UNIT_SHARE)
+    return written(weights.groupBy(F.lit("all")).applyInPandas(place, "unit long, bytes long, shard long"), "kd-large")
+
+
+def rooms(large: DataFrame, target: float, shards: int) -> DataFrame:
+    """The bytes left in all shards before each, as ``upto``: one row per shard and one for the end."""
+    loads = large.filter("shard is not null").groupBy("shard").agg(F.sum("bytes").alias("_load"))
+    every = large.sparkSession.range(shards + 1).select(F.col("id").alias("shard"))
+    room = F.greatest(F.lit(0.0), F.lit(float(target)) - F.coalesce("_load", F.lit(0)))
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    upto = F.coalesce(F.sum(room).over(before), F.lit(0.0)).alias("upto")
+    return written(every.join(loads, "shard", "left").select("shard", upto), "kd-rooms")
+
+
+def units_of(rows: DataFrame, large: DataFrame, target: float) -> tuple[DataFrame, DataFrame]:
+    """Rows with their unit's part or its shard, and one row per part without one: bytes and metadata of its first document."""
+    parts = F.when(F.col("shard").isNull(), F.ceil(F.col("bytes") / max(1.0, target * UNIT_SHARE)).cast("int"))
+    heavy = large.select("unit", parts.alias("_parts"), F.col("shard").alias("_shard"))
     dealt = salted_join(rows, heavy, ["unit"], F.col("row"), "left", grows=True).withColumn(
         "part", F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("row"), F.col("_parts"))).cast("int")
     )
     first = F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc_id"), "row", "n_points", "source", "lang"))
-    units = dealt.groupBy("unit", "part").agg(F.sum("size").alias("bytes"), first.alias("_first"))
+    units = dealt.filter("_shard is null").groupBy("unit", "part").agg(F.sum("size").alias("bytes"), first.alias("_first"))
     return dealt, units.select("unit", "part", "bytes", "_first.n_points", "_first.source", "_first.lang")
 
 
-def kd_leaves(units: DataFrame, leaves: int) -> DataFrame:
-    """``units`` with column ``leaf``, from 0 on."""
+def kd_leaves(units: DataFrame, leaves: int, room: DataFrame | None = None) -> DataFrame:
+    """``units`` with column ``leaf``, from 0 on; leaves fill in proportion to their ``room``, equal unless given."""
+    if room is None:
+        room = units.sparkSession.range(leaves + 1).select(F.col("id").alias("shard"), F.col("id").cast("double").alias("upto"))
     bounds = units.agg(*[F.greatest(F.max(d) - F.min(d) + 1, F.lit(1)).alias(d) for d in DIMENSIONS]).first()
     ranges = {d: bounds[d] or 1 for d in DIMENSIONS}
     now = units.withColumn("leaf", F.lit(0).cast("long")).withColumn("leaves", F.lit(leaves).cast("long")).withColumn(
@@ -72,20 +110,21 @@ def kd_leaves(units: DataFrame, leaves: int) -> DataFrame:
     )
     for _ in range(max(0, math.ceil(math.log2(max(1, leaves))))):
         wide = F.greatest(*[F.struct(((F.max(d) - F.min(d) + 1) / ranges[d]).alias("width"), F.lit(-i).alias("no"), F.min(d).alias("low"), F.max(d).alias("high")) for i, d in enumerate(DIMENSIONS)])
-        nodes = (
-            now.filter("leaves > 1")
-            .groupBy("leaf", "leaves")
-            .agg(wide.alias("_w"), F.sum("bytes").alias("_all"))
-            .select(
-                "leaf",
-                (-F.col("_w.no")).alias("dim"),
-                # The key in a node: its value in the widest dimension, ties in a fixed random order.
-                F.lit(0).cast("decimal(38,0)").alias("low"),
-                ((F.col("_w.high") - F.col("_w.low") + 1).cast("decimal(38,0)") * TIE_RANGE).alias("high"),
-                F.col("_w.low").alias("origin"),
-                (F.col("_all") * F.floor(F.col("leaves") / 2) / F.col("leaves")).alias("aim"),
-                (F.col("_all") * TOLERANCE / F.col("leaves")).alias("slack"),
-            )
+        nodes = now.filter("leaves > 1").groupBy("leaf", "leaves").agg(wide.alias("_w"), F.sum("bytes").alias("_all"))
+        half = F.floor(F.col("leaves") / 2)
+        for name, place in (("_from", F.col("leaf")), ("_mid", F.col("leaf") + half), ("_to", F.col("leaf") + F.col("leaves"))):
+            at = room.select(F.col("shard").alias("_place"), F.col("upto").alias(name))
+            nodes = nodes.join(at, place == F.col("_place")).drop("_place")
+        share = F.coalesce(F.try_divide(F.col("_mid") - F.col("_from"), F.col("_to") - F.col("_from")), F.lit(0.0))
+        nodes = nodes.select(
+            "leaf",
+            (-F.col("_w.no")).alias("dim"),
+            # The key in a node: its value in the widest dimension, ties in a fixed random order.
+            F.lit(0).cast("decimal(38,0)").alias("low"),
+            ((F.col("_w.high") - F.col("_w.low") + 1).cast("decimal(38,0)") * TIE_RANGE).alias("high"),
+            F.col("_w.low").alias("origin"),
+            (F.col("_all") * share).alias("aim"),
+            (F.col("_all") * TOLERANCE / F.col("leaves")).alias("slack"),
         )
         nodes = written(nodes, "kd-nodes")
         value = F.element_at(F.array(*[F.col(d) for d in DIMENSIONS]), F.col("dim") + 1)
@@ -97,7 +136,6 @@ def kd_leaves(units: DataFrame, leaves: int) -> DataFrame:
         )
         cut = _cuts(keyed.filter("leaves > 1"), nodes)
         lower = F.coalesce(F.col("key") < F.col("cut"), F.lit(True))
-        half = F.floor(F.col("leaves") / 2)
         split = F.col("leaves") > 1
         now = written(
             _joined(keyed, cut).select(
@@ -163,7 +201,9 @@ def kd_shards(docs: DataFrame, target_bytes: int | None = None, shards: int | No
     rows = written(measured(docs), "kd-rows")
     total = rows.agg(F.sum("size")).first()[0] or 0
     leaves = shards if shards is not None else max(1, math.ceil(total / max(1, target_bytes)))
-    dealt, units = units_of(rows, max(1, total // leaves))
+    target = max(1.0, total / leaves)
+    large = large_units(rows, target, leaves)
+    dealt, units = units_of(rows, large, target)
     ranked = units
     for column in ("source", "lang"):
         ranks = _ranks(units, column).withColumnRenamed(column, "_value")
@@ -171,10 +211,10 @@ def kd_shards(docs: DataFrame, target_bytes: int | None = None, shards: int | No
         ranked = salted_join(
             ranked.withColumn("_key", F.coalesce(column, F.lit(""))).withColumn("_none", F.col(column).isNull()), key, ["_key", "_none"], F.col("unit")
         ).drop("_key", "_none")
-    placed = kd_leaves(written(ranked.drop("source", "lang"), "kd-start"), leaves)
-    sharded = written(
-        dealt.join(placed.select("unit", "part", F.col("leaf").alias("shard")), ["unit", "part"]), "kd-sharded"
-    ).withColumn("_one", F.lit(1).cast("long"))
+    placed = kd_leaves(written(ranked.drop("source", "lang"), "kd-start"), leaves, rooms(large, target, leaves))
+    whole = dealt.filter("_shard is not null").withColumn("shard", F.col("_shard"))
+    in_tree = dealt.filter("_shard is null").join(placed.select("unit", "part", F.col("leaf").alias("shard")), ["unit", "part"])
+    sharded = written(whole.unionByName(in_tree), "kd-sharded").withColumn("_one", F.lit(1).cast("long"))
     numbered = running_total(sharded, ["shard", "doc_id", "row"], "_one", "_at", "kd-slots")
     first = numbered.groupBy("shard").agg(F.min("_at").alias("_first"))
     return salted_join(numbered, first, ["shard"], F.col("row")).select(
