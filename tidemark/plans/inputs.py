@@ -25,43 +25,48 @@ def sales(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def completed(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows of completed sales; models count no others."""
+    """Rows of completed sales."""
     return sales(spark, sf).filter(F.col("status") == COMPLETED)
 
 
+def taken(spark: SparkSession, sf: str, completed_only: bool) -> DataFrame:
+    """The sales rows that models are built from: all, or those of completed sales."""
+    return completed(spark, sf) if completed_only else sales(spark, sf)
+
+
 def checked(rows: DataFrame) -> DataFrame:
     """Staged, enriched rows with their failure reason."""
     return enrich.with_reason(enrich.enrich(staging.stage_transactions(rows)))
 
 
-def validated(spark: SparkSession, sf: str) -> DataFrame:
-    return enrich.passed(checked(completed(spark, sf)))
+def validated(spark: SparkSession, sf: str, completed_only: bool = False) -> DataFrame:
+    return enrich.passed(checked(taken(spark, sf, completed_only)))
 
 
-def fact(spark: SparkSession, sf: str) -> DataFrame:
-    return enrich.as_fact(validated(spark, sf), AS_OF)
+def fact(spark: SparkSession, sf: str, completed_only: bool = False) -> DataFrame:
+    return enrich.as_fact(validated(spark, sf, completed_only), AS_OF)
 
 
 def fact_of(rows: DataFrame, stamp: dt.datetime) -> DataFrame:
     return enrich.as_fact(enrich.passed(checked(rows)), stamp)
 
 
-def before_cut(spark: SparkSession, sf: str) -> DataFrame:
-    return completed(spark, sf).filter(F.col("updated_at") < F.lit(CUT).cast("timestamp_ntz"))
+def before_cut(spark: SparkSession, sf: str, completed_only: bool = False) -> DataFrame:
+    return taken(spark, sf, completed_only).filter(F.col("updated_at") < F.lit(CUT).cast("timestamp_ntz"))
 
 
-def after_cut(spark: SparkSession, sf: str) -> DataFrame:
-    return completed(spark, sf).filter(F.col("updated_at") >= F.lit(CUT).cast("timestamp_ntz"))
+def after_cut(spark: SparkSession, sf: str, completed_only: bool = False) -> DataFrame:
+    return taken(spark, sf, completed_only).filter(F.col("updated_at") >= F.lit(CUT).cast("timestamp_ntz"))
 
 
-def old_fact(spark: SparkSession, sf: str) -> DataFrame:
+def old_fact(spark: SparkSession, sf: str, completed_only: bool = False) -> DataFrame:
     """The fact as built from all versions before the cut."""
-    return fact_of(before_cut(spark, sf), CUT)
+    return fact_of(before_cut(spark, sf, completed_only), CUT)
 
 
-def changes(spark: SparkSession, sf: str) -> DataFrame:
+def changes(spark: SparkSession, sf: str, completed_only: bool = False) -> DataFrame:
     """One change per key from all versions since the cut: valid live rows and deletes."""
-    rows = after_cut(spark, sf)
+    rows = after_cut(spark, sf, completed_only)
     live = enrich.passed(checked(rows)).drop("is_amount_valid", "validation_failure_reason")
     deleted = staging.split_deleted(rows).select(*STAGING_MODEL_COLUMNS)
     return latest_change_per_key(staging.union_live_and_markers(live, deleted))

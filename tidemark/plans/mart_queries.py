@@ -126,10 +126,11 @@ def revenue_by_dim(spark: SparkSession, sf: str) -> DataFrame:
 FROM (SELECT CAST(unnest(generate_series(min(sale_date), max(sale_date), INTERVAL 1 DAY)) AS DATE) AS sale_date FROM daily) s
 CROSS JOIN (SELECT DISTINCT region FROM daily) r
 LEFT JOIN daily d ON d.sale_date = s.sale_date AND d.region = r.region""",
+        completed_only=True,
     )
 )
 def gap_fill_daily(spark: SparkSession, sf: str) -> DataFrame:
-    return aggregates.gap_filled_daily(aggregates.daily_sales(inputs.fact(spark, sf), inputs.AS_OF))
+    return aggregates.gap_filled_daily(aggregates.daily_sales(inputs.fact(spark, sf, completed_only=True), inputs.AS_OF))
 
 
 @query(

@@ -76,8 +76,8 @@ DATA_LIST = (
 UPDATED_LIST = [name for name in DATA_LIST.split(", ") if name not in ("sale_id", "created_at")]
 
 
-def chain(prefix: str, where: str, stamp: str) -> dict[str, str]:
-    """Staged, checked and fact rows of the sales rows that satisfy ``where``."""
+def chain(prefix: str, where: str, stamp: str, kept: str) -> dict[str, str]:
+    """Staged, checked and fact rows of the sales rows that satisfy ``kept`` and ``where``."""
     return {
         f"{prefix}staged": f"""{prefix}staged AS (
   SELECT sale_id, customer_id, product_id, store_id, sale_date, created_at, updated_at, quantity, unit_price,
@@ -86,7 +86,7 @@ def chain(prefix: str, where: str, stamp: str) -> dict[str, str]:
     _cdc_operation, _cdc_source_ts, etl_batch_id, etl_loaded_at
   FROM (SELECT *, row_number() OVER (PARTITION BY sale_id
           ORDER BY updated_at DESC NULLS LAST, _cdc_source_ts DESC NULLS LAST, {CONTENT}) AS rn
-        FROM sales WHERE status = 'completed' AND etl_batch_id IS NOT NULL AND NOT is_deleted AND {where}) ranked
+        FROM sales WHERE {kept}etl_batch_id IS NOT NULL AND NOT is_deleted AND {where}) ranked
   WHERE rn = 1)""",
         f"{prefix}checked": f"""{prefix}checked AS (
   SELECT *, CASE WHEN quantity <= 0 THEN 'invalid_quantity' WHEN unit_price <= 0 THEN 'invalid_price'
@@ -106,14 +106,16 @@ def chain(prefix: str, where: str, stamp: str) -> dict[str, str]:
     }
 
 
-CHANGES = f"""changes AS (
+def changes(kept: str) -> str:
+    """One change per key since the cut, of the sales rows that satisfy ``kept``."""
+    return f"""changes AS (
   SELECT {DATA_LIST}, is_deleted FROM (
     SELECT *, row_number() OVER (PARTITION BY sale_id
       ORDER BY updated_at DESC NULLS LAST, is_deleted DESC NULLS LAST, {CONTENT}) AS rn
     FROM (
       SELECT {DATA_LIST}, is_deleted FROM new_checked WHERE validation_failure_reason IS NULL
       UNION ALL BY NAME
-      SELECT {STAGED_LIST} FROM sales WHERE status = 'completed' AND is_deleted AND updated_at >= {CUT}) both_kinds) ranked
+      SELECT {STAGED_LIST} FROM sales WHERE {kept}is_deleted AND updated_at >= {CUT}) both_kinds) ranked
   WHERE rn = 1)"""
 
 ACTIONS = f"""actions AS (
@@ -210,22 +212,27 @@ LATEST_EVENT = f"""latest_event AS (
       ORDER BY _cdc_source_ts DESC NULLS LAST, _kafka_offset DESC NULLS LAST, is_deleted DESC NULLS LAST, {CONTENT}) AS rn
     FROM parsed) ranked WHERE rn = 1)"""
 
-_PARTS: dict[str, str] = {
-    "sales": SALES,
-    **chain("", "true", AS_OF),
-    **chain("old_", f"updated_at < {CUT}", CUT),
-    **chain("new_", f"updated_at >= {CUT}", AS_OF),
-    "changes": CHANGES,
-    "actions": ACTIONS,
-    "merged": MERGED,
-    "daily": f"daily AS ({daily('fact')})",
-    "old_daily": f"old_daily AS ({daily('old_fact')})",
-    "stores": STORES,
-    "log": LOG,
-    "delivered": DELIVERED,
-    "parsed": PARSED,
-    "latest_event": LATEST_EVENT,
-}
+def _parts(kept: str) -> dict[str, str]:
+    return {
+        "sales": SALES,
+        **chain("", "true", AS_OF, kept),
+        **chain("old_", f"updated_at < {CUT}", CUT, kept),
+        **chain("new_", f"updated_at >= {CUT}", AS_OF, kept),
+        "changes": changes(kept),
+        "actions": ACTIONS,
+        "merged": MERGED,
+        "daily": f"daily AS ({daily('fact')})",
+        "old_daily": f"old_daily AS ({daily('old_fact')})",
+        "stores": STORES,
+        "log": LOG,
+        "delivered": DELIVERED,
+        "parsed": PARSED,
+        "latest_event": LATEST_EVENT,
+    }
+
+
+# Without and with the condition that a sale is completed.
+_PARTS = {False: _parts(""), True: _parts("status = 'completed' AND ")}
 _NEEDS: dict[str, list[str]] = {
     "staged": ["sales"],
     "checked": ["staged"],
@@ -248,8 +255,11 @@ _NEEDS: dict[str, list[str]] = {
 }
 
 
-def sql(needs: str, statement: str) -> str:
-    """The statement with everything it needs in front; ``needs`` is space separated."""
+def sql(needs: str, statement: str, completed_only: bool = False) -> str:
+    """The statement with everything it needs in front; ``needs`` is space separated.
+
+    With ``completed_only`` the models take the rows of completed sales alone.
+    """
     ordered: list[str] = []
 
     def visit(name: str) -> None:
@@ -260,4 +270,4 @@ def sql(needs: str, statement: str) -> str:
 
     for name in needs.split():
         visit(name)
-    return "WITH " + ",\n".join(_PARTS[name] for name in ordered) + "\n" + statement
+    return "WITH " + ",\n".join(_PARTS[completed_only][name] for name in ordered) + "\n" + statement

@@ -160,7 +160,7 @@ _DECISIONS = f"""SELECT etl_batch_id, total_records, delete_markers, failing_rec
       WHERE status = 'completed' AND is_deleted GROUP BY 1) m USING (etl_batch_id)) c) d"""
 
 
-@query(sql("checked", _DECISIONS))
+@query(sql("checked", _DECISIONS, completed_only=True))
 def batch_decisions(spark: SparkSession, sf: str) -> DataFrame:
     """A decision about every day that a batch was due, also those for which nothing or only deletes came."""
     rows = inputs.completed(spark, sf)
@@ -300,12 +300,13 @@ def test_relationships(spark: SparkSession, sf: str) -> DataFrame:
         "fact parsed",
         "SELECT store_id, count(*) AS orphan_count FROM fact WHERE store_id NOT IN "
         "(SELECT substr(store_id, 2) FROM parsed WHERE store_id IS NOT NULL) GROUP BY store_id",
+        completed_only=True,
     )
 )
 def orphan_stores(spark: SparkSession, sf: str) -> DataFrame:
     """Stores of the fact that no change event names."""
     named = inputs.staged_events(spark, sf).select(F.substring("store_id", 2, 20).alias("store_id"))
-    return quality.orphan_keys(inputs.fact(spark, sf), named.distinct(), "store_id")
+    return quality.orphan_keys(inputs.fact(spark, sf, completed_only=True), named.distinct(), "store_id")
 
 
 @query(
@@ -314,12 +315,13 @@ def orphan_stores(spark: SparkSession, sf: str) -> DataFrame:
         _test_row("row_count_between", "*", "error", _counted("n < 1"), "(SELECT count(*) AS n FROM sales) c")
         + " UNION ALL "
         + _test_row("row_count_between", "etl_batch_id", "warn", _counted("n < 20 OR n > 250"), "(SELECT count(*) AS n FROM fact GROUP BY etl_batch_id) c"),
+        completed_only=True,
     )
 )
 def test_row_count(spark: SparkSession, sf: str) -> DataFrame:
     """The source has rows at all, and each batch of the fact about as many as usual."""
     whole = quality.row_count_results(inputs.sales(spark, sf), 1)
-    return whole.unionByName(quality.row_count_results(inputs.fact(spark, sf), 20, 250, quality.WARN, by="etl_batch_id"))
+    return whole.unionByName(quality.row_count_results(inputs.fact(spark, sf, completed_only=True), 20, 250, quality.WARN, by="etl_batch_id"))
 
 
 @query(
@@ -348,10 +350,11 @@ def daily_completeness(spark: SparkSession, sf: str) -> DataFrame:
                 _test_row("relationships", "store_id", "warn", "count(*)", "fact WHERE store_id NOT IN (SELECT store_id FROM stores)"),
             ]
         ),
+        completed_only=True,
     )
 )
 def fact_test_suite(spark: SparkSession, sf: str) -> DataFrame:
-    fact = inputs.fact(spark, sf)
+    fact = inputs.fact(spark, sf, completed_only=True)
     rows = [
         quality.not_null(c, quality.WARN if c in ("net_amount", "gross_profit") else quality.ERROR)
         for c in ("sale_id", "customer_id", "store_id", "sale_date", "region", "net_amount", "gross_profit")
@@ -375,38 +378,36 @@ def stored_failures(spark: SparkSession, sf: str) -> DataFrame:
     return failing.select("_kafka_offset", "sale_id", F.array_join("failed_tests", ",").alias("failed_tests"))
 
 
-_COMPARED = sql(
-    "old_fact fact",
-    f"""SELECT CASE WHEN n.sale_id IS NULL THEN 'only_left' WHEN o.sale_id IS NULL THEN 'only_right'
+_COMPARED = f"""SELECT CASE WHEN n.sale_id IS NULL THEN 'only_left' WHEN o.sale_id IS NULL THEN 'only_right'
   WHEN o.updated_at = n.updated_at AND o.product_id = n.product_id AND o.store_id = n.store_id AND o.total_amount = n.total_amount
    AND o.quantity = n.quantity AND o.net_amount = n.net_amount AND o.gross_profit = n.gross_profit
    AND o._cdc_operation = n._cdc_operation THEN 'same' ELSE 'different' END AS outcome, count(*) AS row_count
-FROM old_fact o FULL OUTER JOIN fact n ON o.sale_id = n.sale_id GROUP BY 1""",
-)
+FROM old_fact o FULL OUTER JOIN fact n ON o.sale_id = n.sale_id GROUP BY 1"""
 
 
-@query(_COMPARED)
+@query(sql("old_fact fact", _COMPARED))
 def compare_relations(spark: SparkSession, sf: str) -> DataFrame:
     stamps = ("_row_inserted_at", "_row_updated_at")
     old, new = inputs.old_fact(spark, sf).drop(*stamps), inputs.fact(spark, sf).drop(*stamps)
     return quality.compare_relations(old, new, ["sale_id"])
 
 
-@query(_COMPARED)
+@query(sql("old_fact fact", _COMPARED, completed_only=True))
 def compare_segments(spark: SparkSession, sf: str) -> DataFrame:
     """The same comparison by digests of segments of stored tables."""
     stamps = ("_row_inserted_at", "_row_updated_at")
-    old, new = (written(df.drop(*stamps), "compared") for df in (inputs.old_fact(spark, sf), inputs.fact(spark, sf)))
+    facts = (of(spark, sf, completed_only=True) for of in (inputs.old_fact, inputs.fact))
+    old, new = (written(df.drop(*stamps), "compared") for df in facts)
     return quality.compare_by_segments(old, new, ["sale_id"])
 
 
 @query(
     sql(
         "sales",
-        f"""SELECT *, 'left' AS side FROM (SELECT sale_id, product_id, total_amount FROM sales WHERE status = 'completed' AND updated_at < {CUT}
+        f"""SELECT *, 'left' AS side FROM (SELECT sale_id, product_id, total_amount FROM sales WHERE updated_at < {CUT}
   EXCEPT ALL SELECT sale_id, product_id, total_amount FROM sales WHERE NOT is_deleted) a
 UNION ALL SELECT *, 'right' AS side FROM (SELECT sale_id, product_id, total_amount FROM sales WHERE NOT is_deleted
-  EXCEPT ALL SELECT sale_id, product_id, total_amount FROM sales WHERE status = 'completed' AND updated_at < {CUT}) b""",
+  EXCEPT ALL SELECT sale_id, product_id, total_amount FROM sales WHERE updated_at < {CUT}) b""",
     )
 )
 def row_differences(spark: SparkSession, sf: str) -> DataFrame:

@@ -68,12 +68,12 @@ def replayed_batch(spark: SparkSession, sf: str) -> DataFrame:
     return fact_table.read_fact(spark, path)
 
 
-@query(sql("merged", "SELECT * FROM merged"))
+@query(sql("merged", "SELECT * FROM merged", completed_only=True))
 def merge_bucketed_fact(spark: SparkSession, sf: str) -> DataFrame:
     """Merge into a table that is partitioned by month and key bucket."""
     path = fresh_path(spark, "fact")
-    fact_table.write_fact(inputs.old_fact(spark, sf), path, buckets=4)
-    fact_table.merge_into_fact(spark, path, inputs.changes(spark, sf), inputs.AS_OF, "run-1")
+    fact_table.write_fact(inputs.old_fact(spark, sf, completed_only=True), path, buckets=4)
+    fact_table.merge_into_fact(spark, path, inputs.changes(spark, sf, completed_only=True), inputs.AS_OF, "run-1")
     return fact_table.read_fact(spark, path)
 
 
@@ -97,15 +97,15 @@ def _corrections(fact: DataFrame) -> DataFrame:
 def _merged_three_times(spark: SparkSession, sf: str, **options) -> str:
     """The first load, the later changes and corrections, each merged; where the table lies."""
     path = fresh_path(spark, "fact")
-    fact_table.merge_into_fact(spark, path, inputs.old_fact(spark, sf), inputs.CUT, "batch-1", **options)
-    fact_table.merge_into_fact(spark, path, inputs.changes(spark, sf), inputs.AS_OF, "batch-2", **options)
+    fact_table.merge_into_fact(spark, path, inputs.old_fact(spark, sf, completed_only=True), inputs.CUT, "batch-1", **options)
+    fact_table.merge_into_fact(spark, path, inputs.changes(spark, sf, completed_only=True), inputs.AS_OF, "batch-2", **options)
     corrections = written(_corrections(fact_table.read_fact(spark, path)), "corrections")
     fact_table.merge_into_fact(spark, path, corrections, inputs.AS_OF, "batch-3", **options)
     return path
 
 
 @query(
-    sql("merged", "SELECT 1").removesuffix("\nSELECT 1")
+    sql("merged", "SELECT 1", completed_only=True).removesuffix("\nSELECT 1")
     + f",\n{_CORRECTED}\nSELECT * EXCLUDE (_aggregated_at) FROM ({daily('corrected')}) d"
 )
 def stored_daily(spark: SparkSession, sf: str) -> DataFrame:
@@ -127,9 +127,9 @@ def upsert_fact(spark: SparkSession, sf: str) -> DataFrame:
     return merge.upsert(inputs.old_fact(spark, sf), delta, inputs.AS_OF)
 
 
-@query(sql("fact", "SELECT * FROM fact WHERE sale_id NOT IN (SELECT sale_id FROM sales WHERE status = 'completed' AND is_deleted)"))
+@query(sql("fact", "SELECT * FROM fact WHERE sale_id NOT IN (SELECT sale_id FROM sales WHERE is_deleted)"))
 def delete_by_markers(spark: SparkSession, sf: str) -> DataFrame:
-    return merge.delete_by_markers(inputs.fact(spark, sf), staging.delete_markers(inputs.completed(spark, sf)))
+    return merge.delete_by_markers(inputs.fact(spark, sf), staging.delete_markers(inputs.sales(spark, sf)))
 
 
 _NEWER = "(SELECT * FROM fact WHERE etl_loaded_at > (SELECT coalesce(max(etl_loaded_at), TIMESTAMP '1900-01-01') FROM old_fact))"
@@ -138,11 +138,11 @@ _NEWER = "(SELECT * FROM fact WHERE etl_loaded_at > (SELECT coalesce(max(etl_loa
 @query(
     sql(
         "old_fact fact",
-        f"SELECT * FROM ({_UPSERTED.format(delta=_NEWER)}) u WHERE sale_id NOT IN (SELECT sale_id FROM sales WHERE status = 'completed' AND is_deleted)",
+        f"SELECT * FROM ({_UPSERTED.format(delta=_NEWER)}) u WHERE sale_id NOT IN (SELECT sale_id FROM sales WHERE is_deleted)",
     )
 )
 def incremental_fact(spark: SparkSession, sf: str) -> DataFrame:
-    markers = staging.delete_markers(inputs.completed(spark, sf))
+    markers = staging.delete_markers(inputs.sales(spark, sf))
     target = written(inputs.old_fact(spark, sf), "fact")
     return incremental.incremental_fact(target, inputs.validated(spark, sf), inputs.AS_OF, markers)
 
@@ -201,8 +201,8 @@ def schema_append(spark: SparkSession, sf: str) -> DataFrame:
 def _two_generations(spark: SparkSession, sf: str, policy: str) -> DataFrame:
     """A stored table without profit, then rows with it, without discounts, and with wider quantities."""
     path = fresh_path(spark, "evolving")
-    evolving.append(inputs.old_fact(spark, sf).drop("gross_profit"), path)
-    later = inputs.fact_of(inputs.after_cut(spark, sf), inputs.AS_OF).drop("discount_amount")
+    evolving.append(inputs.old_fact(spark, sf, completed_only=True).drop("gross_profit"), path)
+    later = inputs.fact_of(inputs.after_cut(spark, sf, completed_only=True), inputs.AS_OF).drop("discount_amount")
     try:
         evolving.append(later.withColumn("quantity", F.col("quantity").cast("bigint")), path, policy)
     except merge.SchemaChangeError:
@@ -216,6 +216,7 @@ def _generations(old: str, new: str) -> str:
     return sql(
         "old_fact new_fact",
         f"SELECT * EXCLUDE ({old}) {wide} FROM old_fact UNION ALL BY NAME SELECT * EXCLUDE ({new}) {wide} FROM new_fact",
+        completed_only=True,
     )
 
 
@@ -234,7 +235,7 @@ def schema_sync(spark: SparkSession, sf: str) -> DataFrame:
     return _two_generations(spark, sf, "sync_all_columns")
 
 
-@query(sql("old_fact", "SELECT * EXCLUDE (gross_profit) FROM old_fact"))
+@query(sql("old_fact", "SELECT * EXCLUDE (gross_profit) FROM old_fact", completed_only=True))
 def schema_fail(spark: SparkSession, sf: str) -> DataFrame:
     """Under this policy the second generation is refused and the table stays."""
     return _two_generations(spark, sf, "fail")
@@ -301,12 +302,12 @@ def scd2_hard_deletes(spark: SparkSession, sf: str) -> DataFrame:
     return _snapshots(spark, sf, invalidate_hard_deletes=False)
 
 
-@query(sql("merged", _history(AS_OF)))
+@query(sql("merged", _history(AS_OF), completed_only=True))
 def stored_history(spark: SparkSession, sf: str) -> DataFrame:
     """The version history kept beside the fact: only changed keys are ever written."""
     path = fresh_path(spark, "fact")
-    fact_table.write_fact(inputs.old_fact(spark, sf), path)
-    fact_table.merge_into_fact(spark, path, inputs.changes(spark, sf), inputs.AS_OF, "run-1", history=True)
+    fact_table.write_fact(inputs.old_fact(spark, sf, completed_only=True), path)
+    fact_table.merge_into_fact(spark, path, inputs.changes(spark, sf, completed_only=True), inputs.AS_OF, "run-1", history=True)
     return fact_table.read_history(spark, path)
 
 
@@ -362,11 +363,11 @@ def insert_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     return fact_table.read_fact(spark, path)
 
 
-@query(sql("fact", "SELECT * FROM fact"))
+@query(sql("fact", "SELECT * FROM fact", completed_only=True))
 def microbatch_rebuild(spark: SparkSession, sf: str) -> DataFrame:
     """The whole fact written slice by slice, from its first month to its last."""
     path = fresh_path(spark, "fact")
-    fact = written(inputs.fact(spark, sf), "fact")
+    fact = written(inputs.fact(spark, sf, completed_only=True), "fact")
     bounds = fact.agg(
         F.to_date(F.trunc(F.min("sale_date"), "month")).alias("first"),
         F.add_months(F.trunc(F.max("sale_date"), "month"), 1).alias("end"),
@@ -378,21 +379,21 @@ def microbatch_rebuild(spark: SparkSession, sf: str) -> DataFrame:
     return fact_table.read_fact(spark, path)
 
 
-@query(sql("fact", "SELECT * FROM fact"))
+@query(sql("fact", "SELECT * FROM fact", completed_only=True))
 def full_refresh(spark: SparkSession, sf: str) -> DataFrame:
     """A table truncated and loaded again: nothing of its first content stays."""
     path = fresh_path(spark, "fact")
-    partitions.rebuild(inputs.old_fact(spark, sf), path)
-    partitions.rebuild(inputs.fact(spark, sf), path)
+    partitions.rebuild(inputs.old_fact(spark, sf, completed_only=True), path)
+    partitions.rebuild(inputs.fact(spark, sf, completed_only=True), path)
     return spark.read.schema(schema_of(FACT_COLUMNS)).parquet(path)
 
 
-@query(sql("fact", "SELECT * FROM fact"))
+@query(sql("fact", "SELECT * FROM fact", completed_only=True))
 def contract_write(spark: SparkSession, sf: str) -> DataFrame:
     """A table under contract: rows that keep it are stored, a write with one breaking row changes nothing."""
     path, contract = fresh_path(spark, "fact"), fact_contract()
     rules = {"net amount above the total": F.col("net_amount") <= F.col("total_amount")}
-    good = written(inputs.fact(spark, sf), "fact")
+    good = written(inputs.fact(spark, sf, completed_only=True), "fact")
     contracts.rebuild(good, path, contract, rules)
     newest = good.agg(F.max("sale_id").alias("sale_id")).scalar()
     bad = good.withColumn("store_id", F.when(F.col("sale_id") != newest, F.col("store_id")))
@@ -416,11 +417,12 @@ def fact_contract() -> StructType:
     sql(
         "fact",
         f"SELECT region, payment_method, count(*) AS sale_count, {money('sum(net_amount)')} AS revenue FROM fact GROUP BY region, payment_method",
+        completed_only=True,
     )
 )
 def sql_over_sources(spark: SparkSession, sf: str) -> DataFrame:
     """A statement over frames that are registered by name."""
-    files.register_sources({"tidemark_fact": inputs.fact(spark, sf)})
+    files.register_sources({"tidemark_fact": inputs.fact(spark, sf, completed_only=True)})
     return spark.sql(
         "SELECT region, payment_method, count(*) AS sale_count, CAST(sum(net_amount) AS DECIMAL(18,2)) AS revenue "
         "FROM tidemark_fact GROUP BY region, payment_method"
@@ -435,7 +437,13 @@ def clustered_fact_scan(spark: SparkSession, sf: str) -> DataFrame:
     return month.filter(F.col("region") == "ASIA")
 
 
-@query(sql("checked", "SELECT validation_failure_reason, count(*) AS row_count FROM checked WHERE validation_failure_reason IS NOT NULL GROUP BY 1"))
+@query(
+    sql(
+        "checked",
+        "SELECT validation_failure_reason, count(*) AS row_count FROM checked WHERE validation_failure_reason IS NOT NULL GROUP BY 1",
+        completed_only=True,
+    )
+)
 def quarantine_table(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_path(spark, "quarantine")
     checked = written(inputs.checked(inputs.completed(spark, sf)), "checked")
