@@ -75,3 +75,9 @@ def test_counts_read_their_input_once(spark):
 
 def test_batch_scan_prunes(spark):
     assert "PartitionFilters: [isnotnull(etl_batch_id" in plan(catalog.QUERIES["batch_scan"](spark, SF_TINY))
+
+
+def test_gate_builds_the_fact_once_and_moves_no_rows_by_batch(spark):
+    text = plan(catalog.QUERIES["gate_admitted_rows"](spark, SF_TINY))
+    assert "Window" not in text and "SortMergeJoin" not in text
+    assert "Exchange hashpartitioning" not in text and text.count("FileScan") == 2

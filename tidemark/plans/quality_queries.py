@@ -78,8 +78,10 @@ def dq_gate_raw(spark: SparkSession, sf: str) -> DataFrame:
     )
 )
 def gate_admitted_rows(spark: SparkSession, sf: str) -> DataFrame:
-    fact = inputs.fact(spark, sf)
-    return gate.route_batches(fact, gate.batch_gate(fact, min_records=20))[0]
+    # Rows and decisions are stored: the fact is built once, and the few decisions have a known size.
+    fact = written(inputs.fact(spark, sf), "fact")
+    decisions = written(gate.batch_gate(fact, min_records=20), "decisions")
+    return gate.route_batches(fact, decisions)[0]
 
 
 @query(
