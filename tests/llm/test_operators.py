@@ -369,3 +369,24 @@ def test_empty_tables(empty):
     assert secret_scan.scan(empty).count() == 0
     model = language_id.fit_text_model(empty)
     assert language_id.document_languages(empty, model).count() == 0
+
+
+def test_word_ids_are_the_tokenizers_and_made_once():
+    """Forms of a word share its ids, marks of any kind close a word, and special tokens keep their case."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tidemark.llm import packing
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    words, calls = packing.WordIds(tokenizer), []
+    make = words.tokenize
+    words.tokenize = lambda piece: calls.append(piece) or make(piece)
+    encode = packing.word_encoder(public_tokenizers.path("word_bpe_49k.json"))
+    for text in ("Stehen&&& stehen$$$ STEHEN stehen*** Stehen,", "Größe### GRÖSSE größe%%%", "dogs' don't it's'' 's a'", "x<|endoftext|>Y", "A<|EndOfText|>b",
+                 "µm Ångström Ångstrom İstanbul ȺaȺ!", "éTÉ ﬁnª a_b __init__ (so) \"'So", "", " \t\n A\tB C", "ΣΑΣ ΑΣ."):
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert list(memoryview(encode(text)).cast("I")) == ids, text
+        parts = [words[word] for word in text.replace("\n", " ").split(" ")]
+        assert list(memoryview(b"".join(parts)).cast("I")) == ids, text
+    assert calls.count("stehen") == 1 and len([c for c in calls if c.startswith("gr")]) == 2

@@ -15,6 +15,7 @@ pieces share the id.
 from __future__ import annotations
 
 import heapq
+import string
 from array import array
 from collections.abc import Callable, Iterator
 
@@ -33,8 +34,8 @@ GROUP_PIECES = 1024
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long"
 # Entries of a generation of a word cache; two generations are held.
 CACHE_WORDS = 200_000
-# Marks that the tokenizer always separates from the letters before them.
-MARKS = ".,;:!?"
+# Marks that the tokenizer always separates from the letters before them, and keeps together, at the end of a word.
+MARKS = string.punctuation
 LATIN_END = "\u0250"
 
 _encoders: dict[str, Callable[[str], bytes]] = {}
@@ -43,6 +44,8 @@ _encoders: dict[str, Callable[[str], bytes]] = {}
 class Cache(dict):
     """Values made by a function, in two generations: what is not used while one fills up is dropped."""
 
+    room = CACHE_WORDS
+
     def __init__(self, make: Callable[[str], bytes]):
         super().__init__()
         self.make, self.old = make, {}
@@ -51,7 +54,7 @@ class Cache(dict):
         value = self.old.get(word)
         if value is None:
             value = self.make(word)
-        if len(self) >= CACHE_WORDS:
+        if len(self) >= self.room:
             self.old = dict(self)
             self.clear()
         if len(word) <= 64:
@@ -64,14 +67,64 @@ class Cache(dict):
         self.old = {}
 
 
+class WordIds(Cache):
+    """Ids of words as little-endian 32-bit integers.
+
+    A word of letters is one piece for the tokenizer's model, and is made in
+    lower case once for all its forms with capitals and closing marks, as the
+    tokenizer folds case and splits marks off. All other words go through the
+    whole tokenizer.
+    """
+
+    # Forms of a word and the word itself share one cache.
+    room = 400_000
+
+    def __init__(self, tokenizer):
+        super().__init__(self.made)
+        self.tokenizer, self.tokenize = tokenizer, tokenizer.model.tokenize
+        self.bytes_of = [i.to_bytes(4, "little") for i in range(tokenizer.get_vocab_size())]
+        # Bytes as the byte-level alphabet writes them: printable Latin-1 as it is, the others from 256 on.
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in printable]
+        self.alphabet = {b: 256 + k for k, b in enumerate(others)}
+        self.special = [token.content.lower() for token in tokenizer.get_added_tokens_decoder().values()]
+
+    def folded(self, text: str) -> str:
+        """The text in lower case where the tokenizer's folding is Python's: Latin-1 without special tokens, which it finds before."""
+        if not text.isascii():
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return text
+        low = text.lower()
+        return text if any(token in low for token in self.special) else low
+
+    def made(self, word: str) -> bytes:
+        stem = word.rstrip(MARKS)
+        low = stem.lower()
+        if stem.isascii():
+            piece = low if stem.isalpha() else ""
+        # Latin letters whose lower case is one letter each, composed already.
+        elif stem.isalpha() and max(stem) < LATIN_END and len(low) == len(stem) and low.isalpha():
+            piece = low.encode().decode("latin-1").translate(self.alphabet)
+        else:
+            piece = ""
+        if not piece:
+            return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        if len(low) < len(word):
+            return self[low] + self[word[len(low) :]]
+        if low != word:
+            return self[low]
+        bytes_of = self.bytes_of
+        return b"".join([bytes_of[token.id] for token in self.tokenize(piece)])
+
+
 def word_encoder(tokenizer_path: str) -> Callable[[str], bytes]:
     """Text to its token ids as little-endian 32-bit integers.
 
     The tokenizer drops white space and never joins what it separates, so the
     ids of a text are those of its words one after another, and a word is
-    encoded once as long as a worker's cache holds it. Words of letters share an
-    entry with and without closing marks, in upper and lower case, as the
-    tokenizer folds case and splits marks off. Only spaces and line feeds
+    encoded once as long as a worker holds it. Only spaces and line feeds
     split words; other white space is left to the tokenizer.
     """
     if tokenizer_path not in _encoders:
@@ -80,37 +133,9 @@ def word_encoder(tokenizer_path: str) -> Callable[[str], bytes]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-
-        model = tokenizer.model
-        # Bytes as the byte-level alphabet writes them: printable Latin-1 as it is, the others from 256 on.
-        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        others = [b for b in range(256) if b not in printable]
-        alphabet = {b: 256 + k for k, b in enumerate(others)}
-
-        def encoded(word: str) -> bytes:
-            return array("I", tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-
-        def of_letters(stem: str) -> bytes:
-            # A word of letters is one piece for the tokenizer's model.
-            piece = stem if stem.isascii() else stem.encode().decode("latin-1").translate(alphabet)
-            return array("I", [token.id for token in model.tokenize(piece)]).tobytes()
-
-        letters, marks = Cache(of_letters), Cache(encoded)
-
-        def by_parts(word: str) -> bytes:
-            stem = word.rstrip(MARKS)
-            low = stem.lower()
-            low = word if low == word else low  # one key for both caches
-            # Latin letters whose lower case is one letter each, composed already.
-            if not stem.isalpha() or max(stem) >= LATIN_END or len(low) != len(stem) or not low.isalpha():
-                return encoded(word)
-            return letters[low] + (marks[word[len(stem) :]] if len(stem) < len(word) else b"")
-
-        words = Cache(by_parts)
-        for cache in (letters, marks, words):
-            hold("packing", cache.forget)
-        _encoders[tokenizer_path] = lambda text: b"".join(map(words.__getitem__, text.replace("\n", " ").split(" ")))
+        words = WordIds(Tokenizer.from_file(tokenizer_path))
+        hold("packing", words.forget)
+        _encoders[tokenizer_path] = lambda text: b"".join(map(words.__getitem__, words.folded(text).replace("\n", " ").split(" ")))
     return _encoders[tokenizer_path]
 
 
