@@ -47,7 +47,8 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     Of rows with equal id and text one stays.
     """
     hashed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"))
-    keys = written(hashed.groupBy("doc_id", "text_hash").count(), "pipeline-keys")
+    keys = written(hashed.groupBy("doc_id", "text_hash").count(), "pipeline-keys", docs.count())
+    rows = keys.count()
     many = keys.groupBy(F.col("doc_id").alias("_id")).count().filter("count > 1 OR _id IS NULL").select("_id")
     lowest = min(keys.agg(F.min("doc_id")).first()[0] or 0, 0)
     texts_apart = keys.join(many, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(
@@ -57,14 +58,14 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     same = F.col("doc_id").eqNullSafe(F.col("__doc")) & F.xxhash64("text").eqNullSafe(F.col("__text"))
     numbered = docs.join(numbers, same, "left").withColumn("__number", F.coalesce("__number", "doc_id"))
     groups = near_dedup.near_groups(numbered.select(F.col("__number").alias("doc_id"), "text"), words=5, num=80, den=100)
-    known = written(groups.groupBy("doc_id", "component_id").count().drop("count"), "pipeline-groups")
+    known = written(groups.groupBy("doc_id", "component_id").count().drop("count"), "pipeline-groups", rows)
     named = known.join(numbers, F.col("doc_id") == F.col("__number"), "left").select(
         F.col("doc_id").alias("number"), "component_id", F.when(F.col("__number").isNull(), F.col("doc_id")).otherwise(F.col("__doc")).alias("id")
     )
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", (-F.col("number")).alias("n")))
     stays = named.groupBy("component_id").agg((-first["n"]).alias("_stays"))
     rest = salted_join(named, stays, ["component_id"], F.col("number"), grows=True).filter("number != _stays")
-    gone = written(rest.select(F.col("number").alias("__gone")), "pipeline-near")
+    gone = written(rest.select(F.col("number").alias("__gone")), "pipeline-near", rows)
     kept = numbered.join(gone, F.col("__number") == F.col("__gone"), "left_anti").select(*docs.columns)
     return single_rows(kept, keys.withColumn("copies", F.explode(F.sequence(F.lit(1), F.least("count", F.lit(2)))))).select(*docs.columns)
 

@@ -7,9 +7,9 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import written
+from tidemark.session import WIDE_FILE_ROWS, written
 
-__all__ = ["SPACE", "WORD", "count_words", "running_total", "salted_join", "single_rows", "smallest_hashes", "spread", "without_rows", "without_space", "written"]
+__all__ = ["SPACE", "WIDE_FILE_ROWS", "WORD", "count_words", "running_total", "salted_join", "single_rows", "smallest_hashes", "spread", "without_rows", "without_space", "written"]
 
 # White space as the contracts have it, and a word.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -31,15 +31,16 @@ def count_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
-def running_total(df: DataFrame, order: list[str], value: str, out: str, purpose: str) -> DataFrame:
+def running_total(df: DataFrame, order: list[str], value: str, out: str, purpose: str, rows: int | None = None) -> DataFrame:
     """``df`` with the sum of ``value`` over all rows before it in ``order``, as ``out``.
 
     A range shuffle deals sorted rows out evenly; totals run within a part, and
     one row per part gives the parts' offsets. The parts are stored, so a lost
     executor cannot move their bounds between the two uses. Nulls come last.
+    ``rows``, if known, bounds the files.
     """
     keys = [F.col(c).asc_nulls_last() for c in order]
-    placed = written(df.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id()), purpose)
+    placed = written(df.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id()), purpose, rows)
     totals = placed.groupBy("_part").agg(F.sum(value).alias("_sum"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
@@ -101,6 +102,6 @@ def single_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
 def without_rows(docs: DataFrame, keys: DataFrame, gone: str) -> DataFrame:
     """``docs`` without the rows for which ``gone`` holds in ``keys`` (doc_id, text_hash), one row per id and text."""
     out = keys.groupBy("doc_id", "text_hash").agg(F.min(F.expr(gone)).alias("__gone")).filter("__gone")
-    listed = written(out.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__out")), "gone")
+    listed = written(out.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__out")), "gone", keys.count())
     same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__hash") == F.col("__out"))
     return single_rows(docs, keys).join(listed, same, "left_anti").select(*docs.columns)

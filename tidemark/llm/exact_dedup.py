@@ -111,11 +111,12 @@ def exact_groups(docs: DataFrame) -> DataFrame:
         ),
         "exact-prints",
     )
-    bits = quotient_bits(prints.count())
-    repeats = written(repeated_fingerprints(prints, bits), "exact-repeats")
+    rows = prints.count()
+    bits = quotient_bits(rows)
+    repeats = written(repeated_fingerprints(prints, bits), "exact-repeats", rows)
     routed = prints.join(repeats, "fp", "left_semi")
     # A stored list of ids, so that Spark knows its size before it joins the texts.
-    ids = written(routed.select("doc_id").distinct(), "exact-routed")
+    ids = written(routed.select("doc_id").distinct(), "exact-routed", rows)
     bytes_equal = (
         docs.select("doc_id", "text")
         .join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
@@ -147,4 +148,4 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with its columns. Texts move only for rows that go or repeat."""
-    return without_rows(docs, written(exact_groups(docs), "exact-groups"), "not kept")
+    return without_rows(docs, written(exact_groups(docs), "exact-groups", docs.count()), "not kept")

@@ -107,7 +107,8 @@ def mix(
         ),
         "mix-sizes",
     )
-    streamed = running_total(sized, ["source", "doc_id", "text_hash"], "size", "at", "mix-streams")
+    rows = sized.count()
+    streamed = running_total(sized, ["source", "doc_id", "text_hash"], "size", "at", "mix-streams", rows)
     totals = streamed.groupBy("source").agg(F.sum("size").alias("source_size"), F.min("at").alias("_base"))
     full = F.floor(F.col("source_size") / block_words)
     take = F.least(F.round("target").cast("long"), F.col("source_size") * MOST_REPEATS)
@@ -134,6 +135,7 @@ def mix(
             F.col("at"),
         ).select("doc_id", "size", "text_hash", "source_no", "source_size", "target", (F.col("at") - F.col("_base")).alias("start")),
         "mix-documents",
+        rows,
     )
     return Mix(documents, sources, _slots(sources, block_words, shard_blocks, seed), _pieces(documents, block_words))
 

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import carrier, claim, document_chunks, hashes, mixed, packed, record_batch, runs, sequences, unpacked
-from tidemark.llm.common import running_total, salted_join, text_of, written
+from tidemark.llm.common import WIDE_FILE_ROWS, running_total, salted_join, text_of, written
 from tidemark.llm.graph import components
 
 PART_BYTES = 6_500_000
@@ -170,10 +170,10 @@ def shared_grams(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     )
 
 
-def chained(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """Edges between neighbours in the order of gram, size and id, where the sizes allow a link."""
+def chained(rows: DataFrame, num: int, den: int, most: int | None = None) -> DataFrame:
+    """Edges between neighbours in the order of gram, size and id, where the sizes allow a link; ``most`` bounds the rows, if known."""
     order = ["gram", "n", "rep"]
-    placed = written(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "near-order")
+    placed = written(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "near-order", most)
     near = (F.col("_gram") == F.col("gram")) & (F.col("_n") * den >= F.col("n") * num)
     within = Window.partitionBy("_part").orderBy(*order)
     inside = placed.select("gram", "n", "rep", *[F.lag(c).over(within).alias(f"_{c}") for c in order])
@@ -192,15 +192,17 @@ def blocks(reps: DataFrame, num: int, den: int) -> DataFrame:
     least = F.ceil(F.col("n") * num / den)
     first = F.row_number().over(Window.partitionBy("rep").orderBy("df", "gram"))
     prefix = rows.join(often, "gram").withColumn("_at", first).filter((F.col("_at") <= F.col("f") - least + 1) & (F.col("df") > 1))
-    block = components(chained(prefix.select("gram", "n", "rep"), num, den))
+    known = reps.agg(F.count("*"), F.sum(F.size("grams") - least + 1)).first()
+    count, most = known[0], known[1] or 0
+    block = components(chained(prefix.select("gram", "n", "rep"), num, den, most), most)
     members = written(
-        reps.join(block.select(F.col("node").alias("rep"), F.col("component").alias("block")), "rep"), "near-members"
+        reps.join(block.select(F.col("node").alias("rep"), F.col("component").alias("block")), "rep"), "near-members", count, WIDE_FILE_ROWS
     )
     counted = members.select("block", "n", "rep", F.size("grams").cast("long").alias("weight"))
-    placed = running_total(counted, ["block", "n", "rep"], "weight", "at", "near-places")
+    placed = running_total(counted, ["block", "n", "rep"], "weight", "at", "near-places", count)
     starts = placed.groupBy("block").agg(F.min("at").alias("_start"))
     numbered = placed.join(starts, "block").select("rep", F.floor((F.col("at") - F.col("_start")) / CHUNK_GRAMS).alias("chunk"))
-    return written(members.join(numbered, "rep"), "near-chunks")
+    return written(members.join(numbered, "rep"), "near-chunks", count, WIDE_FILE_ROWS)
 
 
 def divide_skip(ids: np.ndarray, sizes: np.ndarray, grams: list[np.ndarray], sides: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
@@ -262,7 +264,8 @@ def divide_skip(ids: np.ndarray, sizes: np.ndarray, grams: list[np.ndarray], sid
 
 
 def links(candidates: DataFrame, num: int, den: int) -> DataFrame:
-    """Links between candidates, enough to connect all that are connected."""
+    """Links between stored candidates, enough to connect all that are connected."""
+    count = candidates.count()
     ranges = candidates.groupBy("block", "chunk").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     other = ranges.select("block", F.col("chunk").alias("chunk2"), F.col("low").alias("low2"))
     pairs = written(
@@ -270,6 +273,7 @@ def links(candidates: DataFrame, num: int, den: int) -> DataFrame:
         .filter((F.col("chunk") <= F.col("chunk2")) & (F.col("high") * den >= F.col("low2") * num))
         .select("block", "chunk", "chunk2"),
         "near-pairs",
+        count,
     )
     rows = candidates.select("block", F.col("chunk").alias("_chunk"), "rep", "n", "grams")
     left = pairs.withColumn("_chunk", F.col("chunk")).withColumn("side", F.when(F.col("chunk") == F.col("chunk2"), 2).otherwise(0))
@@ -294,16 +298,17 @@ def near_groups(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
     """
     known = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), text_of().alias("text"))
     sets = written(shared_grams(known, words, num, den), "near-sets")
+    count = sets.count()
     able = sets.filter(F.col("grams").isNotNull())
     first = Window.partitionBy("class").orderBy("doc_id")
     one = able.withColumn("_n", F.row_number().over(first)).filter("_n = 1")
     # An id may have several sets, so representatives have numbers of their own; stored, they stay as they are.
-    reps = written(one.select("class", F.monotonically_increasing_id().alias("rep"), F.col("doc_id").alias("least"), "n", "grams"), "near-reps")
-    to_class = written(able.select("doc_id", "class").distinct().join(reps.select("class", "rep", "least"), "class"), "near-classes")
+    reps = written(one.select("class", F.monotonically_increasing_id().alias("rep"), F.col("doc_id").alias("least"), "n", "grams"), "near-reps", count, WIDE_FILE_ROWS)
+    to_class = written(able.select("doc_id", "class").distinct().join(reps.select("class", "rep", "least"), "class"), "near-classes", count)
     # Rows that share an id may be in several classes: the id connects them.
     same_id = to_class.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"), F.count("*").alias("k")).filter("k > 1")
     same = to_class.join(same_id.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b")).filter("a != b")
-    found = components(links(blocks(reps.select("rep", "n", "grams"), num, den), num, den).unionByName(same))
+    found = components(links(blocks(reps.select("rep", "n", "grams"), num, den), num, den).unionByName(same), count)
     members = found.withColumnRenamed("node", "rep").join(reps.select("rep", "least"), "rep")
     lowest = members.groupBy("component").agg(F.min("least").alias("component_id"))
     named = salted_join(members.drop("least"), lowest, ["component"], F.col("rep"), grows=True).select("rep", "component_id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -19,6 +20,10 @@ RECOMMENDED_CONF = {
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
 }
 
+# Rows in a file of a stored table of a few numbers a row, and of one whose rows hold arrays.
+FILE_ROWS = 20_000
+WIDE_FILE_ROWS = 5_000
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -54,12 +59,19 @@ def fresh_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/tidemark/{purpose}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, rows: int | None = None, each: int = FILE_ROWS) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Used where one result feeds several later jobs: lineage is cut, and an
     executor that is lost costs only the tasks it was running.
+
+    A task writes a file, and on a local file system each file starts a process
+    to set its mode, which counts an executor's memory twice while it starts.
+    Where the caller knows about how many ``rows`` there are at most, files are
+    as many as these need with ``each`` rows in one, or one a core, and no more.
     """
+    if rows is not None:
+        df = df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / each)))
     path = fresh_path(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
