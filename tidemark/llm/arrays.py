@@ -18,6 +18,7 @@ MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 _held: dict[str, list[Callable[[], None]]] = {}
+_owner: list[str] = []
 
 
 def hold(owner: str, forget: Callable[[], None]) -> None:
@@ -26,7 +27,13 @@ def hold(owner: str, forget: Callable[[], None]) -> None:
 
 
 def claim(owner: str) -> None:
-    """Empty the caches of all others: workers outlive their tasks and come to other operators with what they hold."""
+    """Empty the caches of all others: workers outlive their tasks and come to other operators with what they hold.
+
+    Costs nothing as long as the worker stays with one operator, so groups may call it.
+    """
+    if _owner == [owner]:
+        return
+    _owner[:] = [owner]
     others = [name for name in _held if name != owner]
     for name in others:
         for forget in _held[name]:

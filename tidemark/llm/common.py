@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import WIDE_FILE_ROWS, written
 
-__all__ = ["SPACE", "WIDE_FILE_ROWS", "WORD", "count_words", "running_total", "salted_join", "single_rows", "smallest_hashes", "spread", "without_rows", "without_space", "written"]
+__all__ = ["SPACE", "WIDE_FILE_ROWS", "WORD", "count_words", "running_total", "salted_join", "single_rows", "smallest_hashes", "spread", "text_batches", "without_rows", "without_space", "written"]
+
+# Rows and bytes of an Arrow batch of texts, which tasks hold in the JVM and in Python at once.
+BATCH_ROWS = 500
+BATCH_BYTES = 2_000_000
 
 # White space as the contracts have it, and a word.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -79,6 +85,31 @@ def smallest_hashes(rows: DataFrame, counts: DataFrame, by: str, key: str, most:
     return near.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= most).drop("_n")
 
 
+@contextmanager
+def text_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs that start here hand texts to Python in small Arrow batches.
+
+    Spark's batches of 10,000 rows are tens of MB of texts, doubled as a batch
+    grows, per running task. Their native memory stays with the executor and
+    adds to a heap that may be full, as do their copies in the Python worker.
+    Only for tasks whose results do not depend on batches.
+    """
+    conf = spark.conf
+    rows = int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    held = {
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(min(rows, BATCH_ROWS) if rows > 0 else BATCH_ROWS),
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES),
+    }
+    before = {name: conf.get(name) for name in held}
+    for name, value in held.items():
+        conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            conf.set(name, value)
+
+
 def spread(rows: int, each: int) -> int:
     """How many groups of about ``each`` rows hold ``rows``."""
     return max(1, math.ceil(rows / each))

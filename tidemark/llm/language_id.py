@@ -27,7 +27,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import salted_join, smallest_hashes, text_of, written
+from tidemark.llm.arrays import claim
+from tidemark.llm.common import salted_join, smallest_hashes, text_batches, text_of, written
 
 SAMPLE_ROWS = 2000
 BUCKETS = 1 << 16
@@ -70,6 +71,7 @@ def fit_text_model(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> TextModel
     ids = written(smallest_hashes(labelled, counts, "lang", "doc_id", sample_rows).distinct(), "language-sample")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        claim("language")
         counts: dict[str, np.ndarray] = {}
         for batch in batches:
             for lang, text in zip(batch["lang"], batch["text"], strict=True):
@@ -84,7 +86,8 @@ def fit_text_model(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> TextModel
 
     schema = "lang string, counts binary"
     sample = docs.select("doc_id", "lang", text_of().alias("text")).join(ids, ["doc_id", "lang"])
-    rows = sorted((r.lang, r.counts) for r in sample.mapInPandas(count, schema).groupBy("lang").applyInPandas(add, schema).collect())
+    with text_batches(docs.sparkSession):
+        rows = sorted((r.lang, r.counts) for r in sample.mapInPandas(count, schema).groupBy("lang").applyInPandas(add, schema).collect())
     columns = []
     for _, counts in rows:
         c = np.frombuffer(bytes(counts), np.int64) + SMOOTHING
@@ -100,6 +103,7 @@ def with_likelihoods(rows: DataFrame, model: TextModel, column: str, markup: boo
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "likelihoods array<double>", "grams long"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        claim("language")
         weights = spread.value
         for batch in batches:
             sums, grams = [], []
@@ -130,14 +134,15 @@ def fused(evidence: DataFrame, languages: list[str], key: str) -> DataFrame:
     size = len(languages)
     top = F.aggregate("likelihoods", F.lit(float("-inf")), lambda a, x: F.greatest(a, x))
     exps = F.transform("likelihoods", lambda x: F.exp(x - F.col("_top")))
-    alone = written(
-        evidence.withColumn("_top", top)
-        .withColumn("_exp", exps)
-        .withColumn("_sum", F.aggregate("_exp", F.lit(0.0), lambda a, x: a + x))
-        .withColumn("p", F.transform("_exp", lambda x: x / F.col("_sum")))
-        .drop("_top", "_exp", "_sum"),
-        "language-evidence",
-    )
+    with text_batches(evidence.sparkSession):
+        alone = written(
+            evidence.withColumn("_top", top)
+            .withColumn("_exp", exps)
+            .withColumn("_sum", F.aggregate("_exp", F.lit(0.0), lambda a, x: a + x))
+            .withColumn("p", F.transform("_exp", lambda x: x / F.col("_sum")))
+            .drop("_top", "_exp", "_sum"),
+            "language-evidence",
+        )
     sums = F.array(*[F.sum(F.col("p")[i]) for i in range(size)])
 
     def total(*by: str) -> DataFrame:

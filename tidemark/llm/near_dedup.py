@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import carrier, claim, document_chunks, hashes, mixed, packed, record_batch, runs, sequences, unpacked
-from tidemark.llm.common import WIDE_FILE_ROWS, running_total, salted_join, text_of, written
+from tidemark.llm.common import WIDE_FILE_ROWS, running_total, salted_join, text_batches, text_of, written
 from tidemark.llm.graph import components
 
 PART_BYTES = 6_500_000
@@ -281,6 +281,7 @@ def links(candidates: DataFrame, num: int, den: int) -> DataFrame:
     sent = rows.join(left.unionByName(right), ["block", "_chunk"])
 
     def search(group: pd.DataFrame) -> pd.DataFrame:
+        claim("search")
         group = group.sort_values(["n", "rep"], ignore_index=True)
         found = divide_skip(
             group["rep"].to_numpy(np.int64), group["n"].to_numpy(np.int64), list(group["grams"]), group["side"].to_numpy(), num, den
@@ -297,7 +298,8 @@ def near_groups(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100)
     n-gram sets.
     """
     known = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), text_of().alias("text"))
-    sets = written(shared_grams(known, words, num, den), "near-sets")
+    with text_batches(docs.sparkSession):
+        sets = written(shared_grams(known, words, num, den), "near-sets")
     count = sets.count()
     able = sets.filter(F.col("grams").isNotNull())
     first = Window.partitionBy("class").orderBy("doc_id")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import CHUNK_BYTES, claim, hold, record_batch, texts
-from tidemark.llm.common import spread, text_of, written
+from tidemark.llm.common import spread, text_batches, text_of, written
 
 CAPACITY = 4096
 END_TOKEN = 2
@@ -76,9 +76,6 @@ class WordIds(Cache):
     whole tokenizer.
     """
 
-    # Forms of a word and the word itself share one cache.
-    room = 400_000
-
     def __init__(self, tokenizer):
         super().__init__(self.made)
         self.tokenizer, self.tokenize = tokenizer, tokenizer.model.tokenize
@@ -242,5 +239,6 @@ def packed_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPAC
     """
     tokens = tokenised(docs, tokenizer_path, capacity)
     number = F.monotonically_increasing_id().alias("piece")
-    pieces = written(tokens.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", number), "pieces")
+    with text_batches(docs.sparkSession):
+        pieces = written(tokens.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", number), "pieces")
     return packed(pieces, pieces.count(), capacity).drop("piece")
